@@ -47,15 +47,17 @@ def type_cells(rows: DataFrame, null_as_text: bool = False) -> DataFrame:
         *kept,
         "reason",
         F.when(~good, F.col("raw")).alias("raw"),
-        *[_stored(name, good) for name in CELLS],
+        *[F.when(good, F.col(n)).alias(n) if n in UNSIGNED else F.col(n) for n in CELLS],
     )
 
 
 def _parsed(name: str, text: Column, null_as_text: bool) -> Column:
     if name in UNSIGNED:
-        # Digits beyond 38 cannot be held; 10^38-1 keeps the row "out of range".
-        wide = F.coalesce(text.try_cast("decimal(38,0)"), F.lit("9" * 38).cast("decimal(38,0)"))
-        value = F.when(text.rlike(INTEGER_TEXT), wide)
+        # An integer too long for its type becomes -1: out of range like any negative.
+        stored = UNSIGNED[name][1]
+        value = F.when(
+            text.rlike(INTEGER_TEXT), F.coalesce(text.try_cast(stored), F.lit(-1).cast(stored))
+        )
     elif name == "transfer_amount":
         value = text.try_cast(AMOUNT)
     elif name == "transaction_time":
@@ -64,9 +66,3 @@ def _parsed(name: str, text: Column, null_as_text: bool) -> Column:
         value = F.coalesce(text, F.lit("None")) if null_as_text else text
     return value.alias(name)
 
-
-def _stored(name: str, good: Column) -> Column:
-    value = F.col(name)
-    if name in UNSIGNED:
-        value = F.when(good, value.try_cast(UNSIGNED[name][1]))
-    return value.alias(name)

@@ -38,6 +38,9 @@ ELEMENT_TOO_LARGE = "ELEMENT_TOO_LARGE"
 # A row must fit into one string value; a larger one rejects its file.
 MAX_ELEMENT_BYTES = 1 << 30
 
+# Splits are cut again after this many pieces (2^18), for more even tasks.
+PART_BITS = 18
+
 # Files as Python's and Jackson's strict readers see them.
 JSON_OPTIONS = {"allowSingleQuotes": "false"}
 BLANKS = " \t\r\n"
@@ -252,8 +255,10 @@ def _depth_change(value: Column, inside: Column) -> Column:
 
 
 def _general(pieces: DataFrame, staging: Staging, typer: Typer) -> Documents:
-    in_block = ("file", "block")
+    in_block = ("file", "block", "part")
+    order = ("block", "part")
     before = _earlier("mid", within=in_block)
+    pieces = pieces.withColumn("part", F.shiftright("mid", PART_BITS))
 
     # 1. Per piece, what it does to the string state, and to the depth for either state at
     #    the start of its split.
@@ -263,13 +268,13 @@ def _general(pieces: DataFrame, staging: Staging, typer: Typer) -> Documents:
     traced = staging.put(
         "traced",
         quoted.select(
-            "file", "file_size", "block", "mid", "value", "quotes", "odd",
+            *in_block, "file_size", "mid", "value", "quotes", "odd",
             *[_step(F.col("odd") != start).alias(f"step{start}") for start in (0, 1)],
         ),
     )
 
     # 2. String state and depth at the start of every split.
-    splits = traced.groupBy("file", "file_size", "block").agg(
+    splits = traced.groupBy(*in_block, "file_size").agg(
         F.sum("quotes").alias("quotes"),
         F.sum("step0").alias("step0"),
         F.sum("step1").alias("step1"),
@@ -279,22 +284,23 @@ def _general(pieces: DataFrame, staging: Staging, typer: Typer) -> Documents:
         F.max("mid").alias("last_mid"),
     )
     whole = Window.partitionBy("file")
+    at = F.struct(*order)
     states = splits.select(
         *in_block,
         "first_mid",
         "last_mid",
-        (_total_before(F.col("quotes"), _earlier("block")) % 2).alias("state"),
+        (_total_before(F.col("quotes"), _earlier(*order)) % 2).alias("state"),
         "step0",
         "step1",
-        (F.min("block").over(whole) == F.col("block")).alias("first_block"),
-        (F.max("block").over(whole) == F.col("block")).alias("last_block"),
+        (F.min(at).over(whole) == at).alias("first_block"),
+        (F.max(at).over(whole) == at).alias("last_block"),
         # Pieces without a bracket of their own: the unfinished last one, if any.
         (F.sum("n").over(whole) + F.sum("bytes").over(whole) - F.col("file_size")).alias("open"),
     )
     step = F.when(F.col("state") == 0, F.col("step0")).otherwise(F.col("step1"))
     starts = states.select(
         *[c for c in states.columns if c not in ("step0", "step1")],
-        _total_before(step, _earlier("block")).alias("depth0"),
+        _total_before(step, _earlier(*order)).alias("depth0"),
     )
 
     # 3. Depth around each piece.  An element ends where a cut returns to depth 1 or 0.
@@ -314,46 +320,68 @@ def _general(pieces: DataFrame, staging: Staging, typer: Typer) -> Documents:
         "levelled",
         levelled.select(
             *in_block, "mid", "value", "depth", "after", "cut", "ends", "is_first", "open",
-            "group0", (ends_open & ((F.col("state") + F.col("odd") + F.col("quotes")) % 2 != 0))
+            "group0", ((F.col("state") + F.col("odd")) % 2 == 0).alias("outside"),
+            (ends_open & ((F.col("state") + F.col("odd") + F.col("quotes")) % 2 != 0))
             .alias("in_string"),
         ),
     )
     verdicts = staging.put("verdicts", _structure(levelled))
 
     # 4. Pieces of one element share a group number; join them.
-    counted = levelled.groupBy(*in_block).agg(F.sum(F.col("ends").cast("int")).alias("ended"))
-    numbered = counted.select(*in_block, _total_before(F.col("ended"), _earlier("block")).alias("base"))
-    grouped = levelled.join(numbered, list(in_block)).withColumn(
-        "group", F.col("base") + F.col("group0")
-    )
-    grouped = grouped.join(
-        verdicts.where(F.col("status") == LOADED).select("file"), "file", "left_semi"
-    )
-    size = grouped.groupBy("file", "group").agg(
-        F.sum(F.octet_length("value").cast("bigint") + 1).alias("size")
+    counted = levelled.groupBy(*in_block).agg(
+        F.sum(F.col("ends").cast("int")).alias("ended"),
+        F.sum(F.octet_length("value").cast("bigint") + 1).alias("size"),
+    )
+    numbered = staging.put(
+        "numbered",
+        counted.select(
+            *in_block, "size", _total_before(F.col("ended"), _earlier(*order)).alias("base")
+        ),
     )
-    too_large = staging.put(
-        "too_large", size.where(F.col("size") > MAX_ELEMENT_BYTES).select("file").distinct()
+    grouped = (
+        levelled.join(verdicts.where(F.col("status") == LOADED).select("file"), "file", "left_semi")
+        .join(numbered.drop("size"), list(in_block))
+        .withColumn("group", F.col("base") + F.col("group0"))
     )
-    elements = staging.put("elements", _elements(grouped.join(too_large, "file", "left_anti")))
-
-    # 5. A file with one unreadable element is rejected as a whole.
-    unreadable = elements.where("texts IS NULL").select("file").distinct()
-    files = (
-        verdicts.join(too_large.withColumn("large", F.lit(True)), "file", "left")
-        .join(unreadable.withColumn("broken", F.lit(True)), "file", "left")
-        .select(
+    too_large = _too_large(grouped, numbered)
+    if too_large is not None:
+        too_large = staging.put("too_large", too_large)
+        grouped = grouped.join(too_large, "file", "left_anti")
+        verdicts = verdicts.join(too_large.withColumn("large", F.lit(True)), "file", "left").select(
             "file",
-            F.when(F.col("status") != LOADED, F.col("status"))
-            .when(F.col("large"), ELEMENT_TOO_LARGE)
-            .when(F.col("broken"), BAD_JSON)
-            .otherwise(LOADED)
+            F.when((F.col("status") == LOADED) & F.col("large"), ELEMENT_TOO_LARGE)
+            .otherwise(F.col("status"))
             .alias("status"),
         )
+    elements = staging.put("elements", typer(_elements(grouped)))
+
+    # 5. A file with one unreadable element is rejected as a whole.
+    unreadable = elements.where("broken").select("file").distinct()
+    files = verdicts.join(unreadable.withColumn("bad", F.lit(True)), "file", "left").select(
+        "file", F.when(F.col("bad"), BAD_JSON).otherwise(F.col("status")).alias("status")
     )
     files = staging.put("files", files)
     good = elements.join(files.where(F.col("status") == LOADED).select("file"), "file", "left_semi")
-    return Documents(typer(_numbered(good)), files)
+    return Documents(_numbered(good), files)
+
+
+def _too_large(grouped: DataFrame, numbered: DataFrame) -> DataFrame | None:
+    """Files with an element no string value can hold; None if there cannot be any.
+
+    An element reaches past the split it starts in only if it is still open at the start
+    of the next ones, so sizes of splits bound it.  Only files over that bound are summed
+    up element by element.
+    """
+    order = Window.partitionBy("file").orderBy("block", "part")
+    bound = numbered.withColumn("ahead", F.lag("size", 1, 0).over(order)).groupBy("file", "base")
+    bound = bound.agg((F.sum("size") + F.max("ahead")).alias("bound"))
+    suspects = bound.where(F.col("bound") > MAX_ELEMENT_BYTES).select("file").distinct()
+    if suspects.isEmpty():
+        return None
+    sizes = grouped.join(suspects, "file", "left_semi").groupBy("file", "group").agg(
+        F.sum(F.octet_length("value").cast("bigint") + 1).alias("size")
+    )
+    return sizes.where(F.col("size") > MAX_ELEMENT_BYTES).select("file").distinct()
 
 
 def _step(inside: Column) -> Column:
@@ -393,65 +421,99 @@ def _structure(levelled: DataFrame) -> DataFrame:
 
 
 def _elements(grouped: DataFrame) -> DataFrame:
-    """One line per group: the texts of its elements, NULL if they cannot be read.
+    """One line per element: its group, its number ``i`` there, its text and its cells.
 
     A group that ends at depth 1 holds exactly one array, its last element: the bracket
-    that ends it.  The group that closes the document holds none.
+    that ends it.  The group that closes the document holds none.  ``broken`` marks what
+    cannot be read, ``mixed`` groups of more than the array.
     """
+    # Blanks after the end of the document form a last group without an end.  They and
+    # the pieces that are a whole group, mostly all, need no shuffle.
+    opens = F.col("is_first") | (F.col("outside") & (F.col("depth") <= 1))
+    alone = opens & F.col("ends")
+    columns = ("file", "group", "after", "is_first")
+    single = grouped.where(alone).select(*columns, F.col("value").alias("text"))
     pieces = F.transform(
         F.sort_array(F.collect_list(F.struct("block", "mid", "value"))), lambda p: p["value"]
     )
-    joined = grouped.groupBy("file", "group").agg(
-        pieces.alias("pieces"),
-        F.max(F.when(F.col("ends"), F.col("after"))).alias("after"),
-        F.bool_or("is_first").alias("is_first"),
+    joined = (
+        grouped.where(~alone)
+        .groupBy("file", "group")
+        .agg(
+            F.max(F.when(F.col("ends"), F.col("after"))).alias("after"),
+            F.bool_or("is_first").alias("is_first"),
+            F.array_join(pieces, "]").alias("text"),
+        )
+        .where("after IS NOT NULL")
+        .select(*columns, "text")
     )
-    # Blanks after the end of the document form a last group without an end.
-    joined = joined.where("after IS NOT NULL").select(
+    text = F.btrim("text", F.lit(BLANKS))
+    whole = single.unionByName(joined).select(
         "file",
         "group",
         (F.col("after") == 1).alias("has_array"),
         "is_first",
-        F.btrim(F.array_join("pieces", "]"), F.lit(BLANKS)).alias("text"),
+        F.substring(text, 1, 1).alias("lead"),
+        F.btrim(F.substring(text, 2, 2**31 - 1), F.lit(BLANKS)).alias("inner"),
     )
-    lead = F.when(F.col("is_first"), F.lit("[")).otherwise(F.lit(","))
-    inner = F.expr("substring(text, 2)")
-    listed = F.concat(
-        F.lit("["), inner, F.when(F.col("has_array"), "]").otherwise(""), F.lit("]")
-    )
-    nothing = ~F.col("has_array") & (F.btrim(inner, F.lit(BLANKS)) == "")
+    # "[" opens the document, "," continues it, nothing at all closes it.
+    led = F.col("lead") == F.when(F.col("is_first"), "[").otherwise(",")
+    has_array, inner = F.col("has_array"), F.col("inner")
+    no_texts = F.array().cast("array<string>")
     texts = (
-        F.when((F.col("text") == "") & ~F.col("has_array") & ~F.col("is_first"), _no_texts())
-        .when(~F.startswith("text", lead), F.lit(None))
-        # "[" alone opens an empty document, "," alone promises an element.
-        .when(nothing, F.when(F.col("is_first"), _no_texts()))
-        .otherwise(_cells(listed))
+        F.when(~F.col("is_first") & ~has_array & (F.col("lead") == ""), no_texts)
+        .when(~led, F.lit(None))
+        .when(has_array & F.startswith(inner, F.lit("[")), F.array(F.concat(inner, F.lit("]"))))
+        # "[" alone is an empty document, "," alone promises an element.
+        .when(~has_array & (inner == ""), F.when(F.col("is_first"), no_texts))
+        .otherwise(
+            _cells(F.concat(F.lit("["), inner, F.when(has_array, "]]").otherwise("]")))
+        )
+    )
+    listed = whole.select("file", "group", "has_array", texts.alias("texts"))
+    items = F.coalesce("texts", F.array(F.lit(None).cast("string")))
+    placed = listed.select(
+        "file",
+        "group",
+        F.col("texts").isNull().alias("unread"),
+        F.col("has_array"),
+        F.size("texts").alias("n"),
+        F.posexplode(items).alias("i", "raw"),
+    )
+    is_array = F.col("has_array") & (F.col("i") == F.col("n") - 1)
+    parsed = placed.withColumn("is_array", is_array).withColumn(
+        "cells", F.when(F.col("is_array"), _cells(F.col("raw")))
+    )
+    return parsed.select(
+        "file",
+        "group",
+        "i",
+        (F.col("unread") | (F.col("is_array") & F.col("cells").isNull())).alias("broken"),
+        (F.col("has_array") & (F.col("n") != 1)).alias("mixed"),
+        F.coalesce("raw", F.lit("null")).alias("raw"),
+        "cells",
     )
-    return joined.select("file", "group", "has_array", texts.alias("texts"))
 
 
-def _no_texts() -> Column:
-    return F.array().cast("array<string>")
+def _numbered(elements: DataFrame) -> DataFrame:
+    """Number the elements through each file.
 
+    Where every group is one row, its number is the position.  Files with other elements
+    between the rows count what their groups hold, chunk by chunk.
+    """
+    uneven = elements.where("mixed").select("file").distinct()
+    even = elements.join(uneven, "file", "left_anti").withColumn("pos", F.col("group") + F.col("i"))
 
-def _numbered(elements: DataFrame) -> DataFrame:
-    """Explode elements and number them through each file, chunk by chunk."""
-    chunk = F.floor(F.col("group") / 100_000)
-    sized = elements.withColumn("chunk", chunk).withColumn("n", F.size("texts"))
-    totals = sized.groupBy("file", "chunk").agg(F.sum("n").alias("n"))
+    chunked = elements.join(uneven, "file", "left_semi").withColumn(
+        "chunk", F.floor(F.col("group") / 100_000)
+    )
+    totals = chunked.groupBy("file", "chunk").agg(F.count("*").alias("n"))
     bases = totals.select(
         "file", "chunk", _total_before(F.col("n"), _earlier("chunk")).alias("base")
     )
-    inside = _earlier("group", within=("file", "chunk"))
-    placed = (
-        sized.join(bases, ["file", "chunk"])
-        .withColumn("start", F.col("base") + _total_before(F.col("n"), inside))
-        .select("file", "start", "n", "has_array", F.posexplode("texts").alias("i", "raw"))
-    )
-    is_array = F.col("has_array") & (F.col("i") == F.col("n") - 1)
-    return placed.select(
-        "file",
-        (F.col("start") + F.col("i")).alias("pos"),
-        F.coalesce("raw", F.lit("null")).alias("raw"),
-        F.when(is_array, _cells(F.col("raw"))).alias("cells"),
+    inside = F.row_number().over(Window.partitionBy("file", "chunk").orderBy("group", "i"))
+    counted = chunked.join(bases, ["file", "chunk"]).withColumn(
+        "pos", F.col("base") + inside - 1
     )
+    kept = [c for c in elements.columns if c not in ("file", "group", "i", "broken", "mixed")]
+    return even.select("file", "pos", *kept).unionByName(counted.select("file", "pos", *kept))
