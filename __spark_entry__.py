@@ -26,8 +26,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 EVENT_DAYS = ("2024-01-05", "2024-01-20")
 SHIP_DAYS = ("1996-01-15", "1998-03-14")
 RSD = 0.02
-# Input files written per load.
-DOCUMENTS = 8
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -169,12 +167,14 @@ def _adhoc_rollup_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _input_files(spark: SparkSession, *loads: DataFrame) -> str:
     folder = scratch_dir(spark, "json")
     for rows in loads:
-        fixtures.write_json_documents(
-            rows.select(fixtures.json_row(rows).alias("value")), folder, DOCUMENTS
-        )
+        fixtures.write_json_documents(_as_json(rows), folder)
     return folder
 
 
+def _as_json(rows: DataFrame) -> DataFrame:
+    return rows.select(fixtures.json_row(rows).alias("value"))
+
+
 def _typed(rows: DataFrame) -> DataFrame:
     return _boundary(type_cells(rows.withColumn("raw", F.lit(""))).select(*CELLS))
 
@@ -211,7 +211,7 @@ def _faulty_files(spark: SparkSession, sf_dir: str) -> str:
         .otherwise(row())
     )
     folder = scratch_dir(spark, "json")
-    fixtures.write_json_documents(df.select(text.alias("value")), folder, DOCUMENTS)
+    fixtures.write_json_documents(df.select(text.alias("value")), folder)
     return folder
 
 
@@ -238,9 +238,7 @@ def _ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = fixtures.arrivals(spark, sf_dir)
     folder = _input_files(spark, first)
     ingest_new(spark, folder, root)
-    fixtures.write_json_documents(
-        second.select(fixtures.json_row(second).alias("value")), folder, DOCUMENTS
-    )
+    fixtures.write_json_documents(_as_json(second), folder)
     ingest_new(spark, folder, root)
     ingest_new(spark, folder, root)
     return _boundary(tables.read_table(spark, tables.transactions(root)).select(*CELLS))

@@ -79,11 +79,11 @@ def json_row(df: DataFrame) -> Column:
     return F.concat(F.lit("["), F.concat_ws(",", *[cells[c] for c in CELLS]), F.lit("]"))
 
 
-def write_json_documents(rows: DataFrame, folder: str, documents: int) -> None:
+def write_json_documents(rows: DataFrame, folder: str) -> None:
     """Write one column of JSON texts as files that each hold one JSON array.
 
-    A task writes one document and streams its rows.  Spark names text files ``.txt``,
-    so the committed files are renamed.
+    A task writes one document and streams its rows; ``rebalance`` makes as many tasks as
+    the data needs.  Spark names text files ``.txt``, so the committed files are renamed.
     """
     name = rows.columns[0]
 
@@ -98,7 +98,7 @@ def write_json_documents(rows: DataFrame, folder: str, documents: int) -> None:
                 yield pd.DataFrame({name: texts})
         yield pd.DataFrame({name: ["[]" if first else "]"]})
 
-    spread = rows.repartition(documents)
+    spread = rows.hint("rebalance")
     spread.mapInPandas(as_array, f"{name} string").write.mode("append").text(folder)
     spark = rows.sparkSession
     for path in glob_paths(spark, f"{literal_path(folder)}/part-*.txt"):
