@@ -52,7 +52,11 @@ Typer = Callable[[DataFrame], DataFrame]
 
 @dataclass(frozen=True)
 class Documents:
-    """``rows``: file, pos and what the typer made of (raw, cells); ``files``: file, status."""
+    """What was read.
+
+    ``rows``: file, pos and what the typer made of (raw, cells).
+    ``files``: file, status, rows_ok and rows_rejected, one line per file.
+    """
 
     rows: DataFrame
     files: DataFrame
@@ -93,19 +97,25 @@ def parse_documents(pieces: DataFrame, staging: Staging, typer: Typer) -> Docume
     """Parse the pieces of any number of files.
 
     ``typer`` maps rows with ``raw`` (text of the element) and ``cells`` (array of
-    strings, NULL if the element is no array) to the columns to keep.
+    strings, NULL if the element is no array) to the columns to keep.  Rows it gives a
+    ``reason`` count as rejected.
     """
     pieces = pieces.withColumn("mid", F.monotonically_increasing_id())
     flat = staging.put("flat", typer(_flat_rows(pieces)))
     blocks = staging.put("blocks", _judge_flat(flat))
+    kept = [c for c in flat.columns if c not in _PIECE_COLUMNS]
     rows = (
-        flat.where(F.col("kind").isin("head", "row"))
+        flat.where(IS_ROW)
         .join(blocks.where("flat").select("file", "block", "first_mid", "before"), ["file", "block"])
         .withColumn("pos", F.col("before") + F.col("mid") - F.col("first_mid"))
+        .select("file", "pos", *kept)
+    )
+    files = (
+        blocks.where("flat")
+        .groupBy("file")
+        .agg(F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected"))
+        .select("file", F.lit(LOADED).alias("status"), *_counts())
     )
-    kept = [c for c in flat.columns if c not in _PIECE_COLUMNS]
-    rows = rows.select("file", "pos", *kept)
-    files = blocks.where("flat").select("file", F.lit(LOADED).alias("status")).distinct()
 
     others = blocks.where("NOT flat").select("file").distinct()
     if others.isEmpty():
@@ -116,8 +126,20 @@ def parse_documents(pieces: DataFrame, staging: Staging, typer: Typer) -> Docume
     )
 
 
+def _rejected(rows: DataFrame) -> Column:
+    return F.col("reason").isNotNull() if "reason" in rows.columns else F.lit(False)
+
+
+def _counts() -> list[Column]:
+    return [
+        (F.col("rows") - F.col("rejected")).alias("rows_ok"),
+        F.col("rejected").alias("rows_rejected"),
+    ]
+
+
 # --- flat files -----------------------------------------------------------------------
 
+IS_ROW = "kind IN ('head', 'row')"
 _PIECE_COLUMNS = ("file", "file_size", "block", "mid", "kind", "bytes")
 
 
@@ -186,9 +208,12 @@ def _flat_rows(pieces: DataFrame) -> DataFrame:
 def _judge_flat(flat: DataFrame) -> DataFrame:
     """One line per split: is its file flat, and how many pieces come before the split."""
     kind, mid = F.col("kind"), F.col("mid")
+    is_row = F.expr(IS_ROW)
     blocks = flat.groupBy("file", "file_size", "block").agg(
         F.count("*").alias("n"),
         F.sum("bytes").alias("bytes"),
+        F.count_if(is_row).alias("rows"),
+        F.count_if(is_row & _rejected(flat)).alias("rejected"),
         F.count_if(kind == "other").alias("others"),
         F.count_if(kind == "head").alias("heads"),
         F.count_if(kind == "blank").alias("blanks"),
@@ -197,42 +222,37 @@ def _judge_flat(flat: DataFrame) -> DataFrame:
         F.min(F.when(kind == "blank", mid)).alias("first_blank"),
         F.max(F.when(kind != "blank", mid)).alias("last_full"),
     )
-    at_start = (F.col("block") == 0) & (F.col("head_mid") == F.col("first_mid"))
-    in_order = F.coalesce(F.col("last_full") < F.col("first_blank"), F.lit(True))
-    files = blocks.groupBy("file", "file_size").agg(
-        F.sum("n").alias("n"),
-        F.sum("bytes").alias("bytes"),
-        F.sum("others").alias("others"),
-        F.sum("heads").alias("heads"),
-        F.sum("blanks").alias("blanks"),
-        F.bool_or(F.coalesce(at_start, F.lit(False))).alias("starts"),
-        F.bool_and(in_order).alias("in_order"),
-        F.min(F.when(F.col("blanks") > 0, F.col("block"))).alias("blank_block"),
-        F.max(F.when(F.col("last_full").isNotNull(), F.col("block"))).alias("full_block"),
-    )
+    whole = Window.partitionBy("file")
+
+    def total(name: str) -> Column:
+        return F.sum(name).over(whole)
+
+    starts = F.max((F.col("block") == 0) & (F.col("head_mid") == F.col("first_mid"))).over(whole)
+    ordered = F.min(F.coalesce(F.col("last_full") < F.col("first_blank"), F.lit(True))).over(whole)
+    blank_block = F.min(F.when(F.col("blanks") > 0, F.col("block"))).over(whole)
+    full_block = F.max(F.when(F.col("last_full").isNotNull(), F.col("block"))).over(whole)
     # Every piece but an unfinished last one ended in a bracket of its own.  A finished
     # document leaves one blank piece between its last two brackets, and one more if
     # blanks follow.
-    brackets = F.col("file_size") - F.col("bytes")
-    closes = ((brackets == F.col("n")) & (F.col("blanks") == 1)) | (
-        (brackets == F.col("n") - 1) & (F.col("blanks") == 2)
-    )
+    missing = total("n") + total("bytes") - F.col("file_size")
+    closes = ((missing == 0) & (total("blanks") == 1)) | ((missing == 1) & (total("blanks") == 2))
     is_flat = (
-        (F.col("others") == 0)
-        & (F.col("heads") == 1)
-        & F.col("starts")
-        & F.col("in_order")
-        & (F.col("blank_block") >= F.col("full_block"))
+        (total("others") == 0)
+        & (total("heads") == 1)
+        & starts
+        & ordered
+        & (blank_block >= full_block)
         & closes
     )
-    verdict = files.select("file", F.coalesce(is_flat, F.lit(False)).alias("flat"))
-    earlier = _earlier("block")
     return blocks.select(
         "file",
         "block",
         "first_mid",
-        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
-    ).join(verdict, "file")
+        "rows",
+        "rejected",
+        _total_before(F.col("n"), _earlier("block")).alias("before"),
+        F.coalesce(is_flat, F.lit(False)).alias("flat"),
+    )
 
 
 # --- all other files ------------------------------------------------------------------
@@ -360,7 +380,18 @@ def _general(pieces: DataFrame, staging: Staging, typer: Typer) -> Documents:
     files = verdicts.join(unreadable.withColumn("bad", F.lit(True)), "file", "left").select(
         "file", F.when(F.col("bad"), BAD_JSON).otherwise(F.col("status")).alias("status")
     )
-    files = staging.put("files", files)
+    counts = elements.groupBy("file").agg(
+        F.count("*").alias("rows"), F.count_if(_rejected(elements)).alias("rejected")
+    )
+    loaded = F.col("status") == LOADED
+    files = staging.put(
+        "files",
+        files.join(counts, "file", "left").select(
+            "file",
+            "status",
+            *[F.when(loaded, F.coalesce(c, F.lit(0))).otherwise(0) for c in _counts()],
+        ).toDF("file", "status", "rows_ok", "rows_rejected"),
+    )
     good = elements.join(files.where(F.col("status") == LOADED).select("file"), "file", "left_semi")
     return Documents(_numbered(good), files)
 

@@ -102,12 +102,7 @@ def _load_batch(
     )
     tables.write_commit(bad_rows.unionByName(bad_files), tables.rejects(root), batch_id)
 
-    counts = rows.groupBy("file").agg(
-        F.count_if(F.col("reason").isNull()).alias("rows_ok"),
-        F.count_if(F.col("reason").isNotNull()).alias("rows_rejected"),
-    )
-    audit = files.join(counts, "file", "left").na.fill(0, ["rows_ok", "rows_rejected"])
-    tables.write_commit(audit, tables.ingest_audit(root), batch_id)
+    tables.write_commit(files, tables.ingest_audit(root), batch_id)
 
     # Last, so that the marker of the facts commits the whole batch.
     good = rows.where("reason IS NULL").select(

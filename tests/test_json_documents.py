@@ -91,7 +91,7 @@ def same_cell(cell: str | None, value) -> bool:
     return float(cell) == value
 
 
-@pytest.mark.parametrize("split_bytes, count", [(64, 24), (300, 60), (1 << 27, 300)])
+@pytest.mark.parametrize("split_bytes, count", [(64, 12), (300, 40), (1 << 27, 240)])
 def test_random_documents(spark, tmp_path, monkeypatch, split_bytes, count):
     monkeypatch.setattr(jd, "PART_BITS", 2 if split_bytes < 1000 else 18)
     rng = random.Random(split_bytes)
