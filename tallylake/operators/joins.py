@@ -1,0 +1,19 @@
+"""Broadcasts with a checked size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a file name and a few numbers, about 200 bytes each in a hash table.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Mark a join side for broadcast if it has few enough rows.
+
+    Larger ones are left to Catalyst, which shuffles both sides and cuts skewed keys.
+    ``rows`` saves counting where the number is known.
+    """
+    known = df.count() if rows is None else rows
+    return F.broadcast(df) if known <= BROADCAST_ROWS else df

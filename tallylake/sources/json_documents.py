@@ -26,6 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallylake.operators.joins import small_side
 from tallylake.session import scratch_dir
 from tallylake.sources.staging import Staging
 from tallylake.sources.tables import literal_path
@@ -47,6 +48,9 @@ BLANKS = " \t\r\n"
 # A string literal, closed or running to the end of the piece.
 STRING_LITERAL = r'"[^"\\]*+(?:\\[\s\S][^"\\]*+)*+(?:"|\\?\z)'
 
+# Up to so many files are read again by name rather than by scanning all input again.
+FILES_BY_NAME = 10_000
+
 Typer = Callable[[DataFrame], DataFrame]
 
 
@@ -71,11 +75,20 @@ def file_pattern(folder: str) -> str:
     return f"{literal_path(folder)}/*.json"
 
 
+def read_pieces(spark: SparkSession, *patterns: str) -> DataFrame:
+    return with_position(
+        spark.read.format("text").options(**text_options()).load(list(patterns))
+    )
+
+
 def with_position(df: DataFrame) -> DataFrame:
     """Columns a text scan must carry; ``mid`` is added by ``parse_documents``."""
+    # Spark reports names as in a URI, where a plus sign stands for itself.
+    name = F.col("_metadata.file_name")
+    decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
     return df.select(
         "value",
-        F.col("_metadata.file_name").alias("file"),
+        F.when(F.contains(name, F.lit("%")), decoded).otherwise(name).alias("file"),
         F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_block_start").alias("block"),
     )
@@ -86,27 +99,32 @@ def read_json_rows(spark: SparkSession, folder: str) -> DataFrame:
 
     ``cells`` is NULL for an element that is no array.
     """
-    pieces = with_position(
-        spark.read.format("text").options(**text_options()).load(file_pattern(folder))
-    )
+    pieces = read_pieces(spark, file_pattern(folder))
     staging = Staging(spark, scratch_dir(spark, "json-rows"))
-    return parse_documents(pieces, staging, lambda rows: rows.drop("raw")).rows
+    return parse_documents(pieces, folder, staging, lambda rows: rows.drop("raw")).rows
 
 
-def parse_documents(pieces: DataFrame, staging: Staging, typer: Typer) -> Documents:
-    """Parse the pieces of any number of files.
+def parse_documents(
+    pieces: DataFrame, folder: str, staging: Staging, typer: Typer
+) -> Documents:
+    """Parse the pieces of any number of files of one folder.
 
     ``typer`` maps rows with ``raw`` (text of the element) and ``cells`` (array of
     strings, NULL if the element is no array) to the columns to keep.  Rows it gives a
     ``reason`` count as rejected.
     """
-    pieces = pieces.withColumn("mid", F.monotonically_increasing_id())
-    flat = staging.put("flat", typer(_flat_rows(pieces)))
+    flat = staging.put("flat", typer(_flat_rows(_with_order(pieces))))
     blocks = staging.put("blocks", _judge_flat(flat))
+    sizes = blocks.agg(
+        F.count("*").alias("blocks"),
+        F.count_distinct(F.when(~F.col("flat"), F.col("file"))).alias("others"),
+    ).first()
+
     kept = [c for c in flat.columns if c not in _PIECE_COLUMNS]
+    starts = blocks.where("flat").select("file", "block", "first_mid", "before")
     rows = (
         flat.where(IS_ROW)
-        .join(blocks.where("flat").select("file", "block", "first_mid", "before"), ["file", "block"])
+        .join(small_side(starts, sizes.blocks), ["file", "block"])
         .withColumn("pos", F.col("before") + F.col("mid") - F.col("first_mid"))
         .select("file", "pos", *kept)
     )
@@ -116,16 +134,25 @@ def parse_documents(pieces: DataFrame, staging: Staging, typer: Typer) -> Docume
         .agg(F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected"))
         .select("file", F.lit(LOADED).alias("status"), *_counts())
     )
+    if not sizes.others:
+        return Documents(rows, files)
 
     others = blocks.where("NOT flat").select("file").distinct()
-    if others.isEmpty():
-        return Documents(rows, files)
-    general = _general(pieces.join(others, "file", "left_semi"), staging, typer)
+    if sizes.others <= FILES_BY_NAME:
+        names = [literal_path(f"{folder.rstrip('/')}/{r.file}") for r in others.collect()]
+        pieces = read_pieces(staging.spark, *names)
+    else:
+        pieces = pieces.join(small_side(others, sizes.others), "file", "left_semi")
+    general = _general(_with_order(pieces), staging, typer)
     return Documents(
         rows.unionByName(general.rows.select(rows.columns)), files.unionByName(general.files)
     )
 
 
+def _with_order(pieces: DataFrame) -> DataFrame:
+    return pieces.withColumn("mid", F.monotonically_increasing_id())
+
+
 def _rejected(rows: DataFrame) -> Column:
     return F.col("reason").isNotNull() if "reason" in rows.columns else F.lit(False)
 
@@ -359,7 +386,7 @@ def _general(pieces: DataFrame, staging: Staging, typer: Typer) -> Documents:
         ),
     )
     grouped = (
-        levelled.join(verdicts.where(F.col("status") == LOADED).select("file"), "file", "left_semi")
+        levelled.join(small_side(_loaded(verdicts)), "file", "left_semi")
         .join(numbered.drop("size"), list(in_block))
         .withColumn("group", F.col("base") + F.col("group0"))
     )
@@ -392,8 +419,13 @@ def _general(pieces: DataFrame, staging: Staging, typer: Typer) -> Documents:
             *[F.when(loaded, F.coalesce(c, F.lit(0))).otherwise(0) for c in _counts()],
         ).toDF("file", "status", "rows_ok", "rows_rejected"),
     )
-    good = elements.join(files.where(F.col("status") == LOADED).select("file"), "file", "left_semi")
-    return Documents(_numbered(good), files)
+    return Documents(
+        _numbered(elements.join(small_side(_loaded(files)), "file", "left_semi")), files
+    )
+
+
+def _loaded(files: DataFrame) -> DataFrame:
+    return files.where(F.col("status") == LOADED).select("file")
 
 
 def _too_large(grouped: DataFrame, numbered: DataFrame) -> DataFrame | None:
@@ -532,9 +564,15 @@ def _numbered(elements: DataFrame) -> DataFrame:
     Where every group is one row, its number is the position.  Files with other elements
     between the rows count what their groups hold, chunk by chunk.
     """
+    kept = [c for c in elements.columns if c not in ("file", "group", "i", "broken", "mixed")]
+    by_group = F.col("group") + F.col("i")
     uneven = elements.where("mixed").select("file").distinct()
-    even = elements.join(uneven, "file", "left_anti").withColumn("pos", F.col("group") + F.col("i"))
+    n_uneven = uneven.count()
+    if not n_uneven:
+        return elements.select("file", by_group.alias("pos"), *kept)
 
+    uneven = small_side(uneven, n_uneven)
+    even = elements.join(uneven, "file", "left_anti").withColumn("pos", by_group)
     chunked = elements.join(uneven, "file", "left_semi").withColumn(
         "chunk", F.floor(F.col("group") / 100_000)
     )
@@ -546,5 +584,4 @@ def _numbered(elements: DataFrame) -> DataFrame:
     counted = chunked.join(bases, ["file", "chunk"]).withColumn(
         "pos", F.col("base") + inside - 1
     )
-    kept = [c for c in elements.columns if c not in ("file", "group", "i", "broken", "mixed")]
     return even.select("file", "pos", *kept).unionByName(counted.select("file", "pos", *kept))

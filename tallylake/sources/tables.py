@@ -117,6 +117,13 @@ def is_committed(spark: SparkSession, table: Table, seq: int) -> bool:
     return any(c.seq == seq for c in _marked(spark, table, "delta"))
 
 
+def unfinished(spark: SparkSession, table: Table) -> list[str]:
+    """Folders of deltas a failed writer left without a marker."""
+    folders = glob_paths(spark, f"{literal_path(table.path)}/delta/{table.seq}=*")
+    done = {c.seq for c in _marked(spark, table, "delta")}
+    return [f for f in folders if int(f.rsplit("=", 1)[1]) not in done]
+
+
 def _read(spark: SparkSession, table: Table, part: str, commits: list[Commit]) -> DataFrame:
     return (
         spark.read.schema(table.schema)

@@ -68,7 +68,7 @@ def ingest_new(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         staging = Staging(batch.sparkSession, staging_folder)
-        _load_batch(batch, batch_id, root, staging, stamp, null_as_text)
+        _load_batch(batch, batch_id, folder, root, staging, stamp, null_as_text)
         done.append(batch_id)
 
     query = (
@@ -83,14 +83,22 @@ def ingest_new(
 
 
 def _load_batch(
-    batch: DataFrame, batch_id: int, root: str, staging: Staging, stamp: int, null_as_text: bool
+    batch: DataFrame,
+    batch_id: int,
+    folder: str,
+    root: str,
+    staging: Staging,
+    stamp: int,
+    null_as_text: bool,
 ) -> None:
     facts = tables.transactions(root)
     if tables.is_committed(staging.spark, facts, batch_id):
         # The run before stopped after the commit and before the checkpoint noted it.
         _same_files(batch, batch_id, root, staging.spark)
         return
-    documents = parse_documents(batch, staging, lambda rows: type_cells(rows, null_as_text))
+    documents = parse_documents(
+        batch, folder, staging, lambda rows: type_cells(rows, null_as_text)
+    )
     rows, files = documents.rows, documents.files
 
     bad_rows = rows.where("reason IS NOT NULL").select("file", "pos", "raw", "reason")

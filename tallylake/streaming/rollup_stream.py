@@ -15,12 +15,19 @@ def stream_user_30min(spark: SparkSession, root: str, checkpoint: str | None = N
 
     With a watermark of zero a window stays open until the newest event reaches its end,
     so of late rows those in the newest window still count and older ones do not: the
-    rule of the batch rollup.  It is applied per micro-batch, one per call.  Call it after
-    a load has finished, from the process that loads.
+    rule of the batch rollup.  It is applied per micro-batch, one per call.  A failed
+    load has to be repeated before the stream goes on.
     """
     source = tables.transactions(root)
     target = tables.user_30min_stream(root)
-    facts = spark.readStream.schema(source.schema).parquet(f"{source.path}/delta")
+    if tables.unfinished(spark, source):
+        # Its files would count now and again under new names after the retry.
+        raise RuntimeError(f"a load into {source.path} has failed; repeat it first")
+    facts = (
+        spark.readStream.schema(source.schema)
+        .option("maxFileAge", "36500d")
+        .parquet(f"{source.path}/delta")
+    )
     counts = (
         facts.withWatermark("transaction_time", "0 minutes")
         .groupBy(F.window("transaction_time", "30 minutes"), "site_id", "username")

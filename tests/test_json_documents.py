@@ -94,6 +94,7 @@ def same_cell(cell: str | None, value) -> bool:
 @pytest.mark.parametrize("split_bytes, count", [(64, 12), (300, 40), (1 << 27, 240)])
 def test_random_documents(spark, tmp_path, monkeypatch, split_bytes, count):
     monkeypatch.setattr(jd, "PART_BITS", 2 if split_bytes < 1000 else 18)
+    monkeypatch.setattr(jd, "FILES_BY_NAME", 0 if split_bytes == 300 else 10_000)
     rng = random.Random(split_bytes)
     documents = {}
     folder = tmp_path / "in"
@@ -109,10 +110,9 @@ def test_random_documents(spark, tmp_path, monkeypatch, split_bytes, count):
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
     try:
-        pieces = jd.with_position(
-            spark.read.format("text").options(**jd.text_options()).load(jd.file_pattern(str(folder)))
-        )
-        parsed = jd.parse_documents(pieces, Staging(spark, str(tmp_path / "st")), lambda r: r.drop("raw"))
+        pieces = jd.read_pieces(spark, jd.file_pattern(str(folder)))
+        staging = Staging(spark, str(tmp_path / "staging"))
+        parsed = jd.parse_documents(pieces, str(folder), staging, lambda r: r.drop("raw"))
         status = {r.file: r.status for r in parsed.files.collect()}
         found = {name: {} for name in documents}
         for r in parsed.rows.collect():
@@ -137,3 +137,44 @@ def test_random_documents(spark, tmp_path, monkeypatch, split_bytes, count):
                 assert cells is not None and len(cells) == len(row), (name, pos, text)
                 assert all(map(same_cell, cells, row)), (name, pos, text, cells, row)
     assert {"LOADED", "BAD_JSON"} <= kinds
+
+
+def test_odd_file_names(spark, tmp_path):
+    """Names with blanks, percent signs and glob characters, in a folder like that."""
+    folder = tmp_path / "in {a,b} [1] %20"
+    folder.mkdir()
+    for name in ("a b", "100%", "%41", "x[1]", "{y,z}", "é", "q'1", "1+1 %2B"):
+        (folder / f"{name}.json").write_text('[[1,"]"]]')
+        (folder / f"{name} flat.json").write_text("[[1,2]]")
+    rows = jd.read_json_rows(spark, str(folder)).collect()
+    assert {r.file for r in rows} == {p.name for p in folder.iterdir()}
+    assert len(rows) == 16
+
+
+def test_a_large_element_rejects_its_file(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "long.json").write_text('[[1,"' + "x]" * 400 + '"],[2]]')
+    (folder / "short.json").write_text('[[1,"' + "x]" * 40 + '"],[2]]')
+    monkeypatch.setattr(jd, "MAX_ELEMENT_BYTES", 500)
+    pieces = jd.read_pieces(spark, jd.file_pattern(str(folder)))
+    staging = Staging(spark, str(tmp_path / "staging"))
+    parsed = jd.parse_documents(pieces, str(folder), staging, lambda r: r.drop("raw"))
+    status = {r.file: r.status for r in parsed.files.collect()}
+    assert status == {"long.json": jd.ELEMENT_TOO_LARGE, "short.json": jd.LOADED}
+    assert {r.file for r in parsed.rows.collect()} == {"short.json"}
+
+
+def test_rows_of_one_file_are_parsed_in_many_tasks(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "one.json").write_text(json.dumps([[i, "x" * 50] for i in range(20_000)]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        pieces = jd.read_pieces(spark, jd.file_pattern(str(folder)))
+        assert pieces.rdd.getNumPartitions() > 8
+        rows = jd.read_json_rows(spark, str(folder))
+        assert rows.selectExpr("count(*)", "min(pos)", "max(pos)").first()[:] == (20_000, 0, 19_999)
+        assert rows.where("cells[0] <> cast(pos AS string)").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from conftest import SMALL
 from oracle import spark_bag
@@ -133,3 +135,26 @@ def test_views(spark, lake):
 def test_unknown_mode(spark, lake):
     with pytest.raises(ValueError):
         rollups.refresh_site_daily(spark, lake, mode="merge")
+
+
+def test_stream_waits_for_a_failed_load(spark, lake):
+    first, second = fixtures.arrivals(spark, SMALL)
+    tables.write_transactions(first, lake, 0)
+    stream_user_30min(spark, lake)
+    tables.write_transactions(second, lake, 1)
+    marker = Path(lake) / "transactions/delta/batch_id=1/_SUCCESS"
+    marker.rename(Path(lake) / "moved")
+    with pytest.raises(RuntimeError):
+        stream_user_30min(spark, lake)
+    tables.write_transactions(second, lake, 1)
+    stream_user_30min(spark, lake)
+    total = rollups.read_user_30min_stream(spark, lake).selectExpr("max(window_start)").first()[0]
+    assert total is not None
+    # Rows of the newest window of the first load and later ones are all counted.
+    rollups.refresh_user_30min(spark, lake)
+    stored = tables.read_table(spark, tables.transactions(lake))
+    newest = first.selectExpr("max(transaction_time)").first()[0]
+    fresh = f"window_start > timestamp '{newest}'"
+    assert spark_bag(rollups.read_user_30min_stream(spark, lake).where(fresh)) == spark_bag(
+        aggregates.user_30min(stored).where(fresh)
+    )
