@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -50,6 +51,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="tallylake-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _machine_folder()
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+@functools.cache
+def _machine_folder() -> str:
+    return tempfile.mkdtemp(prefix="tallylake-")
