@@ -71,8 +71,11 @@ def _audit(spark: SparkSession, root: str, table: Table, run: int, mark: int | N
     if mark is not None and seen is not None:
         arrived = tables.read_after(spark, facts, seen)
         late = time_range(arrived, before=_datetime(mark)).count()
-    row = spark.createDataFrame([(through, late)], audit.columns)
-    tables.write_commit(row.coalesce(1), audit, run)
+    row = spark.range(0, 1, 1, 1).select(
+        F.lit(through).cast("bigint").alias("through_batch"),
+        F.lit(late).cast("bigint").alias("late_rows"),
+    )
+    tables.write_commit(row, audit, run)
 
 
 def refresh_user_30min(spark: SparkSession, root: str) -> int:

@@ -312,10 +312,16 @@ def _general(pieces: DataFrame, staging: Staging, typer: Typer) -> Documents:
     quoted = pieces.withColumn("quotes", _quotes(F.col("value"))).withColumn(
         "odd", _total_before(F.col("quotes"), before) % 2
     )
+    # Later steps that only count leave the text itself unread.
+    body = F.btrim(F.col("value"), F.lit(BLANKS))
     traced = staging.put(
         "traced",
         quoted.select(
             *in_block, "file_size", "mid", "value", "quotes", "odd",
+            F.octet_length("value").cast("bigint").alias("bytes"),
+            (body == "").alias("blank"),
+            F.startswith(body, F.lit("[")).alias("opens_array"),
+            F.is_valid_utf8("value").alias("utf8"),
             *[_step(F.col("odd") != start).alias(f"step{start}") for start in (0, 1)],
         ),
     )
@@ -326,7 +332,7 @@ def _general(pieces: DataFrame, staging: Staging, typer: Typer) -> Documents:
         F.sum("step0").alias("step0"),
         F.sum("step1").alias("step1"),
         F.count("*").alias("n"),
-        F.sum(F.octet_length("value").cast("bigint")).alias("bytes"),
+        F.sum("bytes").alias("bytes"),
         F.min("mid").alias("first_mid"),
         F.max("mid").alias("last_mid"),
     )
@@ -366,7 +372,7 @@ def _general(pieces: DataFrame, staging: Staging, typer: Typer) -> Documents:
     levelled = staging.put(
         "levelled",
         levelled.select(
-            *in_block, "mid", "value", "depth", "after", "cut", "ends", "is_first", "open",
+            *in_block, "mid", "value", "bytes", "blank", "opens_array", "utf8", "depth", "after", "cut", "ends", "is_first", "open",
             "group0", ((F.col("state") + F.col("odd")) % 2 == 0).alias("outside"),
             (ends_open & ((F.col("state") + F.col("odd") + F.col("quotes")) % 2 != 0))
             .alias("in_string"),
@@ -377,7 +383,7 @@ def _general(pieces: DataFrame, staging: Staging, typer: Typer) -> Documents:
     # 4. Pieces of one element share a group number; join them.
     counted = levelled.groupBy(*in_block).agg(
         F.sum(F.col("ends").cast("int")).alias("ended"),
-        F.sum(F.octet_length("value").cast("bigint") + 1).alias("size"),
+        F.sum(F.col("bytes") + 1).alias("size"),
     )
     numbered = staging.put(
         "numbered",
@@ -442,7 +448,7 @@ def _too_large(grouped: DataFrame, numbered: DataFrame) -> DataFrame | None:
     if suspects.isEmpty():
         return None
     sizes = grouped.join(suspects, "file", "left_semi").groupBy("file", "group").agg(
-        F.sum(F.octet_length("value").cast("bigint") + 1).alias("size")
+        F.sum(F.col("bytes") + 1).alias("size")
     )
     return sizes.where(F.col("size") > MAX_ELEMENT_BYTES).select("file").distinct()
 
@@ -455,15 +461,14 @@ def _step(inside: Column) -> Column:
 
 def _structure(levelled: DataFrame) -> DataFrame:
     """Status of each file as far as brackets and quotes tell."""
-    body = F.btrim(F.col("value"), F.lit(BLANKS))
     beyond = ~F.col("is_first") & (F.col("depth") <= 0)
     facts = levelled.groupBy("file").agg(
-        F.bool_or(F.col("is_first") & ~F.startswith(body, F.lit("["))).alias("no_array"),
+        F.bool_or(F.col("is_first") & ~F.col("opens_array")).alias("no_array"),
         F.bool_or(F.col("after") < 0).alias("negative"),
-        F.bool_or(beyond & (F.col("cut") | (body != ""))).alias("tail"),
+        F.bool_or(beyond & (F.col("cut") | ~F.col("blank"))).alias("tail"),
         F.count_if(F.col("cut") & (F.col("after") == 0)).alias("closed"),
         F.bool_or("in_string").alias("in_string"),
-        F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
+        F.bool_and("utf8").alias("utf8"),
         F.first("open").alias("open"),
     )
     sound = (

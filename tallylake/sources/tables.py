@@ -132,12 +132,17 @@ def _read(spark: SparkSession, table: Table, part: str, commits: list[Commit]) -
     )
 
 
+def _no_rows(spark: SparkSession, table: Table) -> DataFrame:
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema.fields]
+    return spark.range(0).select(*nothing)
+
+
 def read_table(spark: SparkSession, table: Table) -> DataFrame:
     """All committed rows under the declared schema; no rows if nothing was committed."""
     base, deltas = live_commits(spark, table)
     parts = [_read(spark, table, p, found) for p, found in (("base", base), ("delta", deltas)) if found]
     if not parts:
-        return spark.createDataFrame([], table.schema)
+        return _no_rows(spark, table)
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -145,7 +150,7 @@ def read_after(spark: SparkSession, table: Table, seq: int) -> DataFrame:
     """Rows of the commits after ``seq``, whether or not a compaction covers them."""
     deltas = [c for c in _marked(spark, table, "delta") if c.seq > seq]
     if not deltas:
-        return spark.createDataFrame([], table.schema)
+        return _no_rows(spark, table)
     return _read(spark, table, "delta", deltas)
 
 
