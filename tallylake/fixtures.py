@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallylake.schema import AMOUNT, CELLS
-from tallylake.sources.tables import glob_paths, literal_path
+from tallylake.sources.paths import glob_paths, literal_path, rename
 
 
 def event_transactions(spark: SparkSession, sf_dir: str, raw_users: bool = False) -> DataFrame:
@@ -102,6 +102,4 @@ def write_json_documents(rows: DataFrame, folder: str) -> None:
     spread.mapInPandas(as_array, f"{name} string").write.mode("append").text(folder)
     spark = rows.sparkSession
     for path in glob_paths(spark, f"{literal_path(folder)}/part-*.txt"):
-        source = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target = spark._jvm.org.apache.hadoop.fs.Path(path.removesuffix(".txt") + ".json")
-        source.getFileSystem(spark._jsc.hadoopConfiguration()).rename(source, target)
+        rename(spark, path, path.removesuffix(".txt") + ".json")

@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from tallylake.operators.joins import small_side
 from tallylake.session import scratch_dir
+from tallylake.sources.paths import literal_path
 from tallylake.sources.staging import Staging
-from tallylake.sources.tables import literal_path
 
 LOADED = "LOADED"
 ROOT_NOT_ARRAY = "ROOT_NOT_ARRAY"

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallylake.sources.paths import delete_folder
+
 
 class Staging:
     """Named Parquet tables in one folder of the shared scratch space.
@@ -21,3 +23,7 @@ class Staging:
         path = f"{self.folder}/{name}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        """Remove the folder once nothing reads it any more."""
+        delete_folder(self.spark, self.folder)

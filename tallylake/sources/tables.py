@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from tallylake import schema
 from tallylake.functions.timeparts import day, month_number
+from tallylake.sources.paths import glob_paths, literal_path
 
 
 @dataclass(frozen=True)
@@ -82,18 +83,6 @@ def rollup_audit(rollup: Table) -> Table:
     return Table(f"{rollup.path}_audit", schema.ROLLUP_AUDIT, "run_id")
 
 
-def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths matching a pattern, on whatever file system the path names."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [s.getPath().toString() for s in fs.globStatus(path) or []]
-
-
-def literal_path(path: str) -> str:
-    """Escape the characters a Hadoop glob would interpret."""
-    return re.sub(r"([*?\[\]{}\\])", r"\\\1", path.rstrip("/"))
-
-
 def _marked(spark: SparkSession, table: Table, part: str) -> list[Commit]:
     tag = f"/{table.tag}=*" if table.tag else ""
     pattern = f"{literal_path(table.path)}/{part}/{table.seq}=*{tag}/_SUCCESS"

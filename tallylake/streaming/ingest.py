@@ -78,7 +78,10 @@ def ingest_new(
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+    try:
+        query.awaitTermination()
+    finally:
+        Staging(spark, staging_folder).clear()
     return _summary(spark, root, done, time.time() - started)
 
 
