@@ -174,6 +174,10 @@ def compact_user_30min(spark: SparkSession, root: str) -> int | None:
     return _compact(spark, tables.user_30min(root), USER_KEYS)
 
 
+def compact_user_30min_stream(spark: SparkSession, root: str) -> int | None:
+    return _compact(spark, tables.user_30min_stream(root), USER_KEYS)
+
+
 def compact_site_daily(spark: SparkSession, root: str) -> int | None:
     return _compact(spark, tables.site_daily(root), SITE_KEYS)
 

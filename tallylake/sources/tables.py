@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from tallylake import schema
 from tallylake.functions.timeparts import day, month_number
-from tallylake.sources.paths import glob_paths, literal_path
+from tallylake.sources.paths import delete_folder, glob_paths, literal_path
 
 
 @dataclass(frozen=True)
@@ -103,14 +103,25 @@ def live_commits(spark: SparkSession, table: Table) -> tuple[list[Commit], list[
 
 
 def is_committed(spark: SparkSession, table: Table, seq: int) -> bool:
-    return any(c.seq == seq for c in _marked(spark, table, "delta"))
+    base, deltas = live_commits(spark, table)
+    return any(c.seq >= seq for c in base) or any(c.seq == seq for c in deltas)
+
+
+def last_seq(spark: SparkSession, table: Table) -> int:
+    """The newest commit, -1 if there is none."""
+    base, deltas = live_commits(spark, table)
+    return max((c.seq for c in base + deltas), default=-1)
+
+
+def _folders(spark: SparkSession, table: Table, part: str) -> dict[int, str]:
+    found = glob_paths(spark, f"{literal_path(table.path)}/{part}/{table.seq}=*")
+    return {int(f.rsplit("=", 1)[1]): f for f in found}
 
 
 def unfinished(spark: SparkSession, table: Table) -> list[str]:
     """Folders of deltas a failed writer left without a marker."""
-    folders = glob_paths(spark, f"{literal_path(table.path)}/delta/{table.seq}=*")
     done = {c.seq for c in _marked(spark, table, "delta")}
-    return [f for f in folders if int(f.rsplit("=", 1)[1]) not in done]
+    return [f for seq, f in _folders(spark, table, "delta").items() if seq not in done]
 
 
 def _read(spark: SparkSession, table: Table, part: str, commits: list[Commit]) -> DataFrame:
@@ -143,12 +154,6 @@ def read_after(spark: SparkSession, table: Table, seq: int) -> DataFrame:
     return _read(spark, table, "delta", deltas)
 
 
-def last_seq(spark: SparkSession, table: Table) -> int:
-    """The newest commit, -1 if there is none."""
-    base, deltas = live_commits(spark, table)
-    return max((c.seq for c in base + deltas), default=-1)
-
-
 def is_built(spark: SparkSession, table: Table) -> bool:
     """False for a table that is missing or empty: both mean a full build."""
     return not read_table(spark, table).isEmpty()
@@ -214,3 +219,20 @@ def compact(
     tag = min((c.tag for c in base + deltas), default=None) if table.tag else None
     write_commit(transform(read_table(spark, table)), table, deltas[-1].seq, tag, "base")
     return deltas[-1].seq
+
+
+def remove_covered(spark: SparkSession, table: Table) -> int:
+    """Delete the commits a base has replaced; returns how many.
+
+    For quiet times: no query on the table may still run, and for transactions the
+    streamed rollup must have caught up.
+    """
+    base, _ = live_commits(spark, table)
+    if not base:
+        return 0
+    through = base[0].seq
+    old = [f for seq, f in _folders(spark, table, "delta").items() if seq <= through]
+    old += [f for seq, f in _folders(spark, table, "base").items() if seq < through]
+    for folder in old:
+        delete_folder(spark, folder)
+    return len(old)

@@ -69,6 +69,10 @@ def test_reading_merges_runs(spark, lake, monkeypatch, floors):
     for _ in range(2):
         rollups.compact_user_30min(spark, lake)
         rollups.compact_site_daily(spark, lake)
+        rollups.compact_user_30min_stream(spark, lake)
+        for table in (user, site, tables.user_30min_stream(lake)):
+            tables.remove_covered(spark, table)
+        assert spark_bag(rollups.read_user_30min_stream(spark, lake)) == want
         assert spark_bag(rollups.read_user_30min(spark, lake)) == want
         assert spark_bag(rollups.read_site_daily(spark, lake)) == want_site
     rollups.refresh_all(spark, lake)

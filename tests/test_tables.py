@@ -59,6 +59,10 @@ def test_compaction(spark, lake):
     assert tables.compact(spark, table, fold) == 1
     tables.write_transactions(df, lake, 1)
     assert spark_bag(tables.read_table(spark, table).select(columns)) == want
+    assert tables.remove_covered(spark, table) == 2
+    assert not list(Path(lake).glob("transactions/delta/*"))
+    assert tables.is_committed(spark, table, 1) and not tables.is_committed(spark, table, 2)
+    assert spark_bag(tables.read_table(spark, table).select(columns)) == want
     # A later batch is seen next to the base and folded into the next one.
     tables.write_transactions(df.where("site_id = 1"), lake, 2)
     extra = df.where("site_id = 1").count()
@@ -103,3 +107,10 @@ def test_replace_latest_needs_an_order(spark):
     df = fixtures.event_transactions(spark, SMALL)
     with pytest.raises(ValueError):
         dedup.replace_latest(df, ["site_id"], [])
+
+
+def test_one_key_holding_all_rows(spark):
+    df = fixtures.lineitem_transactions(spark, SMALL).withColumn("site_id", F.lit(1))
+    kept = dedup.replace_latest(df, ["site_id"], (*ORDER, "transaction_id"))
+    best = df.orderBy(*[F.col(c).desc() for c in (*ORDER, "transaction_id")]).limit(1)
+    assert spark_bag(kept.select(df.columns)) == spark_bag(best)
