@@ -36,7 +36,8 @@ def type_cells(rows: DataFrame, null_as_text: bool = False) -> DataFrame:
     )
     unusable = [F.when(F.col(n).isNull(), F.lit(f"BAD_CELL:{n}")) for n in CELLS]
     outside = [
-        F.when(~F.col(n).between(0, F.lit(Decimal(top))), F.lit("OUT_OF_RANGE")) for n, (top, _) in UNSIGNED.items()
+        F.when(~F.col(n).between(0, F.lit(Decimal(top))), F.lit("OUT_OF_RANGE"))
+        for n, (top, _) in UNSIGNED.items()
     ]
     judged = wide.withColumn(
         "reason",

@@ -11,8 +11,8 @@ and only blank pieces follow, then each piece is exactly one row.
 
 *Other* files (a ``]`` inside a string, nested cells, rows that are no arrays, broken
 text) take the general way: string state and bracket depth at the start of each piece are
-running totals over the file.  A running total is formed inside each input split, whose
-size is bounded, and over one number per split; no task ever sees a whole file.
+running totals over the file.  A running total is formed inside each part of an input
+split, whose size is bounded, and over one line per part; no task ever sees a whole file.
 
 Positions: ``block`` is the start of the input split and ``mid`` counts up inside it, so
 (file, block, mid) is the order of the text.
@@ -42,7 +42,7 @@ MAX_ELEMENT_BYTES = 1 << 30
 # Splits are cut again after this many pieces (2^18), for more even tasks.
 PART_BITS = 18
 
-# Files as Python's and Jackson's strict readers see them.
+# Strict JSON: double quotes only.
 JSON_OPTIONS = {"allowSingleQuotes": "false"}
 BLANKS = " \t\r\n"
 # A string literal, closed or running to the end of the piece.
@@ -372,8 +372,9 @@ def _general(pieces: DataFrame, staging: Staging, typer: Typer) -> Documents:
     levelled = staging.put(
         "levelled",
         levelled.select(
-            *in_block, "mid", "value", "bytes", "blank", "opens_array", "utf8", "depth", "after", "cut", "ends", "is_first", "open",
-            "group0", ((F.col("state") + F.col("odd")) % 2 == 0).alias("outside"),
+            *in_block, "mid", "value", "bytes", "blank", "opens_array", "utf8", "open",
+            "depth", "after", "cut", "ends", "is_first", "group0",
+            ((F.col("state") + F.col("odd")) % 2 == 0).alias("outside"),
             (ends_open & ((F.col("state") + F.col("odd") + F.col("quotes")) % 2 != 0))
             .alias("in_string"),
         ),

@@ -58,7 +58,9 @@ def test_end_day_is_included(spark):
     texts = ["2025-05-31 23:59:59.999", "2025-06-01 00:00:00", "2025-06-01 23:59:59.999",
              "2025-06-02 00:00:00", "2025-04-30 23:59:59.999"]
     df = spark.createDataFrame([(t, "u") for t in texts], "t string, username string")
-    df = df.selectExpr("username", "cast(t AS timestamp) AS transaction_time", "1.00BD AS transfer_amount")
+    df = df.selectExpr(
+        "username", "cast(t AS timestamp) AS transaction_time", "1.00BD AS transfer_amount"
+    )
     counted = rows(reports.daily_unique_users(df))
     assert [str(r[0]) for r in counted] == ["2025-05-31", "2025-06-01"]
     assert rows(reports.top_users(df))[0][1] == 3
