@@ -47,8 +47,15 @@ def high_water(
     return None if last.tag == NO_FLOOR else last.tag
 
 
-def _since(facts: DataFrame, mark: int | None) -> DataFrame:
-    return facts if mark is None else time_range(facts, _datetime(mark))
+def _facts(spark: SparkSession, root: str, mark: int | None) -> tuple[DataFrame, int]:
+    """Transactions from the mark on, and the last batch among them.
+
+    A load that commits while the rollup is being built is left to the next run.
+    """
+    table = tables.transactions(root)
+    through = tables.last_seq(spark, table)
+    facts = tables.read_table(spark, table, through)
+    return (facts if mark is None else time_range(facts, _datetime(mark))), through
 
 
 def commit_run(
@@ -59,17 +66,18 @@ def commit_run(
     tables.write_commit(df.sortWithinPartitions(*keys), table, run, floor)
 
 
-def _audit(spark: SparkSession, root: str, table: Table, run: int, mark: int | None) -> None:
+def _audit(
+    spark: SparkSession, root: str, table: Table, run: int, mark: int | None, through: int
+) -> None:
     """Note how many rows arrived since the last run too late for the rollup.
 
     Only the batches after that run are read.
     """
     facts, audit = tables.transactions(root), tables.rollup_audit(table)
-    through = tables.last_seq(spark, facts)
     seen = tables.read_table(spark, audit).agg(F.max("through_batch")).first()[0]
     late = 0
     if mark is not None and seen is not None:
-        arrived = tables.read_after(spark, facts, seen)
+        arrived = tables.read_after(spark, facts, seen).where(F.col("batch_id") <= through)
         late = time_range(arrived, before=_datetime(mark)).count()
     row = spark.range(0, 1, 1, 1).select(
         F.lit(through).cast("bigint").alias("through_batch"),
@@ -86,10 +94,10 @@ def refresh_user_30min(spark: SparkSession, root: str) -> int:
     """
     table = tables.user_30min(root)
     mark = high_water(spark, table, "window_start")
-    facts = _since(tables.read_table(spark, tables.transactions(root)), mark)
+    facts, through = _facts(spark, root, mark)
     run = tables.last_seq(spark, table) + 1
     commit_run(aggregates.user_30min(facts), table, USER_KEYS, run, mark)
-    _audit(spark, root, table, run, mark)
+    _audit(spark, root, table, run, mark, through)
     return run
 
 
@@ -103,7 +111,7 @@ def refresh_site_daily(spark: SparkSession, root: str, mode: str = "insert_new")
         raise ValueError(f"unknown mode {mode!r}")
     table = tables.site_daily(root)
     mark = high_water(spark, table, "day")
-    facts = _since(tables.read_table(spark, tables.transactions(root)), mark)
+    facts, through = _facts(spark, root, mark)
     run = tables.last_seq(spark, table) + 1
     new = aggregates.site_daily(facts)
     if mark is not None and mode == "insert_new":
@@ -111,7 +119,7 @@ def refresh_site_daily(spark: SparkSession, root: str, mode: str = "insert_new")
         stored = tables.read_table(spark, table).where(F.col("day") >= F.lit(_datetime(mark).date()))
         new = new.join(stored.select(*SITE_KEYS), list(SITE_KEYS), "left_anti")
     commit_run(new, table, SITE_KEYS, run, mark)
-    _audit(spark, root, table, run, mark)
+    _audit(spark, root, table, run, mark, through)
     return run
 
 

@@ -8,10 +8,12 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings results depend on.  Days and 30-minute buckets are cut in UTC, and
-# timestamps are written as INT64 because INT96 carries no row-group statistics,
-# without which a time range prunes nothing inside a month.
+# Settings the library counts on.  Days and 30-minute buckets are cut in UTC.  A sum that
+# does not fit its column raises, which is ANSI behaviour.  Timestamps are written as INT64
+# because INT96 carries no row-group statistics, without which a time range prunes nothing
+# inside a month.
 SQL_SETTINGS = {
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.adaptive.enabled": "true",

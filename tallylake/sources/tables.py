@@ -137,9 +137,13 @@ def _no_rows(spark: SparkSession, table: Table) -> DataFrame:
     return spark.range(0).select(*nothing)
 
 
-def read_table(spark: SparkSession, table: Table) -> DataFrame:
-    """All committed rows under the declared schema; no rows if nothing was committed."""
+def read_table(spark: SparkSession, table: Table, through: int | None = None) -> DataFrame:
+    """All committed rows under the declared schema; no rows if nothing was committed.
+
+    ``through`` leaves out deltas that were committed later.
+    """
     base, deltas = live_commits(spark, table)
+    deltas = [c for c in deltas if through is None or c.seq <= through]
     parts = [_read(spark, table, p, found) for p, found in (("base", base), ("delta", deltas)) if found]
     if not parts:
         return _no_rows(spark, table)

@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 from conftest import SMALL
 from oracle import spark_bag
+from pyspark.errors import ArithmeticException
 
 from tallylake import fixtures
 from tallylake.operators import aggregates
@@ -162,3 +163,33 @@ def test_stream_waits_for_a_failed_load(spark, lake):
     assert spark_bag(rollups.read_user_30min_stream(spark, lake).where(fresh)) == spark_bag(
         aggregates.user_30min(stored).where(fresh)
     )
+
+
+def test_a_sum_that_does_not_fit_raises(spark):
+    df = fixtures.event_transactions(spark, SMALL).selectExpr(
+        "* EXCEPT (transfer_amount)",
+        "cast(9999999999999999.99 AS decimal(18,2)) AS transfer_amount",
+    )
+    with pytest.raises(ArithmeticException):
+        aggregates.site_daily(df).collect()
+
+
+def test_a_load_during_a_run_is_left_to_the_next(spark, lake, monkeypatch):
+    first, second = fixtures.arrivals(spark, SMALL)
+    tables.write_transactions(first, lake, 0)
+    write = tables.write_commit
+
+    def load_then_write(df, table, *args, **kwargs):
+        if table == tables.user_30min(lake) and not tables.is_committed(
+            spark, tables.transactions(lake), 1
+        ):
+            tables.write_transactions(second, lake, 1)
+        write(df, table, *args, **kwargs)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "write_commit", load_then_write)
+        rollups.refresh_user_30min(spark, lake)
+    rollups.refresh_user_30min(spark, lake)
+    audit = tables.read_table(spark, tables.rollup_audit(tables.user_30min(lake)))
+    seen = {r.run_id: (r.through_batch, r.late_rows > 0) for r in audit.collect()}
+    assert seen == {0: (0, False), 1: (1, True)}
