@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -319,9 +321,20 @@ def queries() -> dict[str, Query]:
         "compact_transactions": _compact_transactions,
         "month_partition_scan": _month_partition_scan,
     }
+    if _has_llm():
+        registered |= importlib.import_module("tallylake.llm.queries").queries()
+        registered["pipeline"] = importlib.import_module("corpus_pipeline").run
     return {name: _configured(query) for name, query in registered.items()}
 
 
+def _has_llm() -> bool:
+    """The corpus operators and their pipeline may be left out of an installation."""
+    return all(
+        importlib.util.find_spec(name) is not None
+        for name in ("tallylake.llm", "tallylake.llm.queries", "corpus_pipeline")
+    )
+
+
 def _configured(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(configure(spark), sf_dir)
@@ -397,7 +410,7 @@ _TWO_WINDOWS = f"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    sql = {
         "daily_count": f"SELECT {_DAY} AS day, count(*) AS total_count FROM ({_SHIPMENTS}) GROUP BY 1",
         "daily_amount": f"""
             SELECT {_DAY} AS day, CAST(sum(transfer_amount) AS DECIMAL(38,2)) AS total_amount
@@ -496,6 +509,9 @@ def oracle_sql() -> dict[str, str]:
                    CAST(sum(transfer_amount) AS DECIMAL(38,2)) AS total_amount
             FROM ({_SHIPMENTS}) WHERE {_between(SHIP_DAYS)} GROUP BY 1, 2""",
     }
+    if _has_llm():
+        sql |= importlib.import_module("tallylake.llm.sql").oracle_sql()
+    return sql
 
 
 def _latest(keys: str, order: tuple[str, ...]) -> str:

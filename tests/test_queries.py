@@ -19,10 +19,11 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    own = {name for name in registry.queries() if not name.startswith(("op", "pipeline"))}
+    assert own <= set(registry.oracle_sql()) <= set(registry.queries())
 
 
-@pytest.mark.parametrize("name", list(registry.queries()))
+@pytest.mark.parametrize("name", list(registry.oracle_sql()))
 def test_query(spark, con, name):
     df = registry.queries()[name](spark, SMALL)
     sql = registry.oracle_sql()[name]
