@@ -53,7 +53,8 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "warc")
-    return warc.page_facts(warc.transactions(table(spark, sf_dir, "pages"), folder))
+    pages = table(spark, sf_dir, "pages")
+    return warc.page_facts(warc.transactions(pages, folder, with_payloads=False))
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,9 @@ archive by the records' lengths.  Transactions are assembled by joins on concurr
 
 from __future__ import annotations
 
+import base64
 import gzip
+import hashlib
 import io
 from collections.abc import Iterator
 from typing import BinaryIO
@@ -102,7 +104,8 @@ def plan_captures(
         .where("capture <> refers_to")
         .select("capture", "refers_to")
     )
-    return rows.join(revisits, "capture", "left")
+    # Written, so that its size is known: where it is small, payloads are not shuffled.
+    return rows.join(staged(revisits, "warc-revisits"), "capture", "left")
 
 
 def write_archives(
@@ -195,16 +198,20 @@ RECORD = {
     "target_uri": pa.string(),
     "payload_digest": pa.string(),
     "http_header": pa.string(),
+    "payload_bytes": pa.int64(),
+    "payload_sha1": pa.string(),
     "payload": pa.binary(),
 }
 RECORD_SCHEMA = (
     "record_id string, type string, concurrent_to array<string>, refers_to string,"
-    " target_uri string, payload_digest string, http_header string, payload binary"
+    " target_uri string, payload_digest string, http_header string, payload_bytes bigint,"
+    " payload_sha1 string, payload binary"
 )
 ROWS_AT_ONCE = 500
+CAPTURED = ("response", "revisit")
 
 
-def _row(headers: dict[str, list[str]], block: bytes) -> tuple:
+def _row(headers: dict[str, list[str]], block: bytes, with_payloads: bool) -> tuple:
     def one(name: str) -> str | None:
         return headers.get(name, [None])[0]
 
@@ -220,7 +227,9 @@ def _row(headers: dict[str, list[str]], block: bytes) -> tuple:
         one("warc-target-uri"),
         one("warc-payload-digest"),
         http_header,
-        block,
+        len(block),
+        base64.b32encode(hashlib.sha1(block).digest()).decode(),
+        block if with_payloads or one("warc-type") not in CAPTURED else None,
     )
 
 
@@ -230,10 +239,12 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, list(RECORD))
 
 
-def read_records(spark: SparkSession, folder: str) -> DataFrame:
+def read_records(spark: SparkSession, folder: str, with_payloads: bool = True) -> DataFrame:
     """All records of the gzipped archives in a folder; an archive is read by one task.
 
-    The task holds the archive as it is stored, and the records of one batch.
+    The task holds the archive as it is stored, and the records of one batch.  Size and SHA-1
+    are those of the payload as read; without payloads those of responses and revisits are
+    left null.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,7 +253,7 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
                 rows = []
                 with gzip.GzipFile(fileobj=io.BytesIO(content.as_py())) as archive:
                     for headers, block in parse_records(archive):
-                        rows.append(_row(headers, block))
+                        rows.append(_row(headers, block, with_payloads))
                         if len(rows) == ROWS_AT_ONCE:
                             yield _batch(rows)
                             rows = []
@@ -268,7 +279,7 @@ def assemble(records: DataFrame) -> DataFrame:
     response give no row.  Of several requests of one response the smallest id is taken.
     """
     part = F.struct("record_id", "type", "http_header", "payload")
-    main = records.where(F.col("type").isin("response", "revisit"))
+    main = records.where(F.col("type").isin(*CAPTURED))
     requests = records.where(F.col("type") == "request")
     metadata = records.where(F.col("type") == "metadata")
 
@@ -302,7 +313,14 @@ def assemble(records: DataFrame) -> DataFrame:
             F.col("record_id").alias("response_id"),
             "target_uri",
             F.struct(
-                "record_id", "type", "refers_to", "payload_digest", "http_header", "payload"
+                "record_id",
+                "type",
+                "refers_to",
+                "payload_digest",
+                "http_header",
+                "payload_bytes",
+                "payload_sha1",
+                "payload",
             ).alias("response"),
         )
         .join(asked.select("response_id", "request"), "response_id", "left")
@@ -324,17 +342,20 @@ def transactions(
     payload_col: str = "html",
     min_revisit_bytes: int = MIN_REVISIT_BYTES,
     records_per_file: int = RECORDS_PER_FILE,
+    with_payloads: bool = True,
 ) -> DataFrame:
     """Writes a capture for every row of ``pages`` to ``folder`` and assembles them again.
 
     A null payload is an empty one, a null URL an empty target; a null id is left out of the
     metadata.  Rows that repeat an id are captures of their own; of equal payloads one row is
     the response, that with the smallest id, the rest are revisits.  Other columns are ignored;
-    an empty table leaves archives without records and gives no rows.
+    an empty table leaves archives without records and gives no rows.  Without payloads the
+    rows carry the payloads' size and SHA-1 only.
     """
     captures = plan_captures(pages, id_col, url_col, payload_col, min_revisit_bytes)
     write_archives(captures, folder, records_per_file)
-    return assemble(read_records(pages.sparkSession, folder))
+    # Written, since the assembly reads the records once for each of their sorts.
+    return assemble(staged(read_records(pages.sparkSession, folder, with_payloads), "warc-records"))
 
 
 def page_facts(captures: DataFrame) -> DataFrame:
@@ -351,8 +372,8 @@ def page_facts(captures: DataFrame) -> DataFrame:
         F.nullif(F.regexp_extract(fields, r"page-id: (-?\d+)", 1), F.lit(""))
         .cast("bigint")
         .alias("page_id"),
-        F.octet_length("response.payload").cast("bigint").alias("payload_bytes"),
-        base32_sha1(F.col("response.payload")).alias("payload_digest"),
+        F.col("response.payload_bytes").alias("payload_bytes"),
+        F.col("response.payload_sha1").alias("payload_digest"),
     )
     rows = staged(rows, "warc-facts")
     known = rows.where(F.col("record_type") == "response").select(
