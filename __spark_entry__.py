@@ -6,7 +6,7 @@ import importlib
 import importlib.util
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallylake import fixtures
@@ -14,7 +14,7 @@ from tallylake.functions.cells import type_cells
 from tallylake.functions.timeparts import day_range
 from tallylake.operators import aggregates, dedup
 from tallylake.plans import reports, rollups
-from tallylake.plans.views import register_views
+from tallylake.plans.views import adhoc_sql, register_views
 from tallylake.schema import CELLS
 from tallylake.session import configure, scratch_dir
 from tallylake.sources import tables
@@ -51,6 +51,27 @@ def _daily_currency_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.daily_currency_count(fixtures.lineitem_transactions(spark, sf_dir))
 
 
+def _placed(report: DataFrame) -> DataFrame:
+    """A report with each row's place in it; a report is as small as its groups."""
+    row = report.withColumn("_row", F.monotonically_increasing_id())
+    return row.withColumn("place", F.row_number().over(Window.orderBy("_row"))).drop("_row")
+
+
+def _daily_count_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fixtures.lineitem_transactions(spark, sf_dir)
+    return _placed(reports.daily_count(df, "total_count", descending=True))
+
+
+def _daily_currency_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fixtures.lineitem_transactions(spark, sf_dir)
+    return _placed(reports.daily_currency_count(df, "currency_code, total_count", descending=True))
+
+
+def _daily_unique_users_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fixtures.lineitem_transactions(spark, sf_dir)
+    return _placed(reports.daily_unique_users(df, *SHIP_DAYS, by_site=True))
+
+
 def _top_users_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.top_users(fixtures.lineitem_transactions(spark, sf_dir), *SHIP_DAYS)
 
@@ -148,6 +169,25 @@ def _rollup_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, audit).select("run_id", "late_rows")
 
 
+def _adhoc_sql_after_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same SQL before and after a second load: it sees what was loaded in between."""
+    root = scratch_dir(spark, "lake")
+    counts = []
+    for batch, rows in enumerate(fixtures.arrivals(spark, sf_dir)):
+        tables.write_transactions(rows, root, batch)
+        found = adhoc_sql(
+            spark,
+            root,
+            """
+            SELECT site_id, count(*) AS txn_count,
+                   CAST(sum(transfer_amount) AS DECIMAL(38,2)) AS total_amount
+            FROM transactions GROUP BY site_id
+            """,
+        )
+        counts.append(found.withColumn("loads", F.lit(batch + 1)))
+    return counts[0].unionByName(counts[1])
+
+
 def _adhoc_rollup_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _two_arrivals(spark, sf_dir, rollups.refresh_all)
     register_views(spark, root)
@@ -262,6 +302,21 @@ def _replace_latest_stored_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.replace_latest(df, dedup.BY_STORED_KEY, STORED_KEY_ORDER).drop("_version")
 
 
+def _replace_latest_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads that share ids with other amounts: the later version of each id stays."""
+    root = scratch_dir(spark, "lake")
+    first = fixtures.event_transactions(spark, sf_dir)
+    second = first.where("transaction_id % 3 = 0").withColumn(
+        "transfer_amount", F.expr("cast(transfer_amount + 1 as decimal(18,2))")
+    )
+    # The later version is loaded first: its stamp decides, not the order of the loads.
+    for batch, (rows, version) in enumerate([(second, 2), (first, 1)]):
+        tables.write_transactions(rows.withColumn("_version", F.lit(version)), root, batch)
+    stored = tables.read_table(spark, tables.transactions(root))
+    latest = dedup.replace_latest(stored, dedup.BY_TRANSACTION_ID, dedup.LATEST)
+    return _boundary(latest.select(*CELLS, F.col("_version").alias("version")))
+
+
 def _compact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads that repeat half of each other, folded into one row per transaction."""
     root = scratch_dir(spark, "lake")
@@ -311,6 +366,11 @@ def queries() -> dict[str, Query]:
         "rollup_site_daily_refresh": _rollup_site_daily_refresh,
         "rollup_late_rows": _rollup_late_rows,
         "adhoc_rollup_sql": _adhoc_rollup_sql,
+        "adhoc_sql_after_load": _adhoc_sql_after_load,
+        "daily_count_placed": _daily_count_placed,
+        "daily_currency_placed": _daily_currency_placed,
+        "daily_unique_users_placed": _daily_unique_users_placed,
+        "replace_latest_versions": _replace_latest_versions,
         "ingest_json_rows": _ingest_json_rows,
         "ingest_json_brackets": _ingest_json_brackets,
         "ingest_rejects": _ingest_rejects,
@@ -498,6 +558,30 @@ def oracle_sql() -> dict[str, str]:
         "ingest_incremental": "SELECT "
         + _CELLS.format(user="username", time=_MILLIS)
         + f" FROM ({_FOLDED})",
+        "adhoc_sql_after_load": f"""
+            {_ARRIVALS}
+            SELECT site_id, count(*) AS txn_count,
+                   CAST(sum(transfer_amount) AS DECIMAL(38,2)) AS total_amount, loads
+            FROM t, (VALUES (1), (2)) AS l(loads) WHERE is_first OR loads = 2
+            GROUP BY site_id, loads""",
+        "daily_count_placed": f"""
+            SELECT *, row_number() OVER (ORDER BY total_count DESC, day) AS place
+            FROM (SELECT {_DAY} AS day, count(*) AS total_count FROM ({_SHIPMENTS}) GROUP BY 1)""",
+        "daily_currency_placed": f"""
+            SELECT *, row_number() OVER (ORDER BY currency_code DESC, total_count DESC, day) AS place
+            FROM (SELECT {_DAY} AS day, currency_code, count(*) AS total_count
+                  FROM ({_SHIPMENTS}) GROUP BY 1, 2)""",
+        "daily_unique_users_placed": f"""
+            SELECT *, row_number() OVER (ORDER BY day, site_id) AS place
+            FROM (SELECT {_DAY} AS day, site_id, count(DISTINCT username) AS total_count
+                  FROM ({_SHIPMENTS}) WHERE {_between(SHIP_DAYS)} GROUP BY 1, 2)""",
+        "replace_latest_versions": "SELECT "
+        + _CELLS.format(user="username", time="transaction_time").replace(
+            "transfer_amount,",
+            "CAST(transfer_amount + CASE WHEN transaction_id % 3 = 0 THEN 1 ELSE 0 END"
+            " AS DECIMAL(18,2)) AS transfer_amount,",
+        )
+        + f", CASE WHEN transaction_id % 3 = 0 THEN 2 ELSE 1 END AS version FROM ({_FOLDED})",
         "replace_latest_transactions": _latest("transaction_id", SHIPMENT_ORDER),
         "replace_latest_stored_key": _latest(
             "site_id, username, transaction_time", STORED_KEY_ORDER

@@ -17,7 +17,6 @@ from tallylake.sources.tables import Table
 EPOCH = dt.datetime(1970, 1, 1)
 # Floor of a full build: below every bucket.
 NO_FLOOR = -(2**62)
-FLOORS_IN_FILTER = 1000
 
 USER_KEYS = ("window_start", "site_id", "username")
 SITE_KEYS = ("day", "site_id")
@@ -71,10 +70,11 @@ def _audit(
 ) -> None:
     """Note how many rows arrived since the last run too late for the rollup.
 
-    Only the batches after that run are read.
+    Only the batches after that run are read.  Written before the run's rows, whose marker
+    commits both: a run that stops in between is repeated under its number and counts again.
     """
     facts, audit = tables.transactions(root), tables.rollup_audit(table)
-    seen = tables.read_table(spark, audit).agg(F.max("through_batch")).first()[0]
+    seen = tables.seen_batch(spark, table)
     late = 0
     if mark is not None and seen is not None:
         arrived = tables.read_after(spark, facts, seen).where(F.col("batch_id") <= through)
@@ -96,8 +96,8 @@ def refresh_user_30min(spark: SparkSession, root: str) -> int:
     mark = high_water(spark, table, "window_start")
     facts, through = _facts(spark, root, mark)
     run = tables.last_seq(spark, table) + 1
-    commit_run(aggregates.user_30min(facts), table, USER_KEYS, run, mark)
     _audit(spark, root, table, run, mark, through)
+    commit_run(aggregates.user_30min(facts), table, USER_KEYS, run, mark)
     return run
 
 
@@ -118,8 +118,8 @@ def refresh_site_daily(spark: SparkSession, root: str, mode: str = "insert_new")
         # New rows start at the newest stored day, so only that day can hold their keys.
         stored = tables.read_table(spark, table).where(F.col("day") >= F.lit(_datetime(mark).date()))
         new = new.join(stored.select(*SITE_KEYS), list(SITE_KEYS), "left_anti")
-    commit_run(new, table, SITE_KEYS, run, mark)
     _audit(spark, root, table, run, mark, through)
+    commit_run(new, table, SITE_KEYS, run, mark)
     return run
 
 
@@ -146,9 +146,8 @@ def _current(spark: SparkSession, table: Table, keys: tuple[str, ...]) -> DataFr
 
     A run writes no bucket below its floor, and its floor is the largest bucket stored
     before it.  So two runs can share a key only where a bucket equals a floor.  All
-    other rows pass through unshuffled; only the floor buckets are grouped.  With too
-    many runs since the last compaction to list their floors, everything from the lowest
-    floor on is grouped, which gives the same rows.
+    other rows pass through unshuffled; only the floor buckets are grouped, in the same way
+    for any number of runs since the last compaction.
     """
     base, deltas = tables.live_commits(spark, table)
     commits = base + deltas
@@ -161,10 +160,7 @@ def _current(spark: SparkSession, table: Table, keys: tuple[str, ...]) -> DataFr
         return rows.select(*table.columns.names)
     bucket = F.col(keys[0])
     kind = table.columns[keys[0]].dataType
-    if len(floors) <= FLOORS_IN_FILTER:
-        contested = bucket.isin(*[_instant_of(f, kind) for f in floors])
-    else:
-        contested = bucket >= _instant_of(floors[0], kind)
+    contested = bucket.isin(*[_instant_of(f, kind) for f in floors])
     latest = last_inserted(rows.where(contested), keys, aggregates.ROLLUP_MEASURES, table.seq)
     alone = rows.where(~contested)
     return alone.select(*table.columns.names).unionByName(latest.select(*table.columns.names))

@@ -26,7 +26,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallylake.operators.joins import small_side
 from tallylake.session import scratch_dir
 from tallylake.sources.paths import literal_path
 from tallylake.sources.staging import Staging
@@ -124,7 +123,7 @@ def parse_documents(
     starts = blocks.where("flat").select("file", "block", "first_mid", "before")
     rows = (
         flat.where(IS_ROW)
-        .join(small_side(starts, sizes.blocks), ["file", "block"])
+        .join(starts, ["file", "block"])
         .withColumn("pos", F.col("before") + F.col("mid") - F.col("first_mid"))
         .select("file", "pos", *kept)
     )
@@ -142,7 +141,7 @@ def parse_documents(
         names = [literal_path(f"{folder.rstrip('/')}/{r.file}") for r in others.collect()]
         pieces = read_pieces(staging.spark, *names)
     else:
-        pieces = pieces.join(small_side(others, sizes.others), "file", "left_semi")
+        pieces = pieces.join(others, "file", "left_semi")
     general = _general(_with_order(pieces), staging, typer)
     return Documents(
         rows.unionByName(general.rows.select(rows.columns)), files.unionByName(general.files)
@@ -393,7 +392,7 @@ def _general(pieces: DataFrame, staging: Staging, typer: Typer) -> Documents:
         ),
     )
     grouped = (
-        levelled.join(small_side(_loaded(verdicts)), "file", "left_semi")
+        levelled.join(_loaded(verdicts), "file", "left_semi")
         .join(numbered.drop("size"), list(in_block))
         .withColumn("group", F.col("base") + F.col("group0"))
     )
@@ -427,7 +426,7 @@ def _general(pieces: DataFrame, staging: Staging, typer: Typer) -> Documents:
         ).toDF("file", "status", "rows_ok", "rows_rejected"),
     )
     return Documents(
-        _numbered(elements.join(small_side(_loaded(files)), "file", "left_semi")), files
+        _numbered(elements.join(_loaded(files), "file", "left_semi")), files
     )
 
 
@@ -573,11 +572,9 @@ def _numbered(elements: DataFrame) -> DataFrame:
     kept = [c for c in elements.columns if c not in ("file", "group", "i", "broken", "mixed")]
     by_group = F.col("group") + F.col("i")
     uneven = elements.where("mixed").select("file").distinct()
-    n_uneven = uneven.count()
-    if not n_uneven:
+    if uneven.isEmpty():
         return elements.select("file", by_group.alias("pos"), *kept)
 
-    uneven = small_side(uneven, n_uneven)
     even = elements.join(uneven, "file", "left_anti").withColumn("pos", by_group)
     chunked = elements.join(uneven, "file", "left_semi").withColumn(
         "chunk", F.floor(F.col("group") / 100_000)

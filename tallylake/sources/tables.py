@@ -128,7 +128,7 @@ def _read(spark: SparkSession, table: Table, part: str, commits: list[Commit]) -
     return (
         spark.read.schema(table.schema)
         .option("basePath", f"{table.path}/{part}")
-        .parquet(*[c.path for c in commits])
+        .parquet(*[literal_path(c.path) for c in commits])
     )
 
 
@@ -158,11 +158,6 @@ def read_after(spark: SparkSession, table: Table, seq: int) -> DataFrame:
     return _read(spark, table, "delta", deltas)
 
 
-def is_built(spark: SparkSession, table: Table) -> bool:
-    """False for a table that is missing or empty: both mean a full build."""
-    return not read_table(spark, table).isEmpty()
-
-
 def write_commit(
     df: DataFrame, table: Table, seq: int, tag: int | None = None, part: str = "delta"
 ) -> None:
@@ -185,7 +180,8 @@ def with_month_layout(df: DataFrame) -> DataFrame:
     ``rebalance`` brings a month together but lets adaptive execution cut a month that
     outgrows one task, so a month holding a third of all rows becomes many files, and
     small months share a task.  Inside a file, days come first: every report filters by
-    day, and row-group statistics then skip the other days.
+    day, and row-group statistics then skip the other days of a file.  Each file of a
+    month that was cut still spans all its days.
     """
     return (
         df.withColumn("yyyymm", month_number(F.col("transaction_time")).cast("int"))
@@ -225,17 +221,40 @@ def compact(
     return deltas[-1].seq
 
 
+def seen_batch(spark: SparkSession, rollup: Table) -> int | None:
+    """The last load whose late rows a committed run of the rollup has counted.
+
+    A run writes its count before its rows; one without rows was stopped in between, and
+    its count does not hold.
+    """
+    run = last_seq(spark, rollup)
+    audit = read_table(spark, rollup_audit(rollup)).where(F.col("run_id") <= run)
+    return audit.agg(F.max("through_batch")).first()[0]
+
+
+def _counted_through(spark: SparkSession, table: Table) -> list[int]:
+    """For transactions: how far each rollup built from them has counted."""
+    root, _, name = table.path.rpartition("/")
+    if name != "transactions":
+        return []
+    built = [t for t in (user_30min(root), site_daily(root)) if last_seq(spark, t) >= 0]
+    seen = [seen_batch(spark, t) for t in built]
+    return [-1 if batch is None else batch for batch in seen]
+
+
 def remove_covered(spark: SparkSession, table: Table) -> int:
     """Delete the commits a base has replaced; returns how many.
 
     For quiet times: no query on the table may still run, and for transactions the
-    streamed rollup must have caught up.
+    streamed rollup must have caught up.  Loads whose late rows a rollup has still to
+    count stay.
     """
     base, _ = live_commits(spark, table)
     if not base:
         return 0
     through = base[0].seq
-    old = [f for seq, f in _folders(spark, table, "delta").items() if seq <= through]
+    counted = min([through, *_counted_through(spark, table)])
+    old = [f for seq, f in _folders(spark, table, "delta").items() if seq <= counted]
     old += [f for seq, f in _folders(spark, table, "base").items() if seq < through]
     for folder in old:
         delete_folder(spark, folder)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallylake.plans import rollups
 from tallylake.schema import AMOUNT
 from tallylake.sources import tables
+from tallylake.sources.paths import literal_path
 
 
 def stream_user_30min(spark: SparkSession, root: str, checkpoint: str | None = None) -> None:
@@ -26,7 +27,7 @@ def stream_user_30min(spark: SparkSession, root: str, checkpoint: str | None = N
     facts = (
         spark.readStream.schema(source.schema)
         .option("maxFileAge", "36500d")
-        .parquet(f"{source.path}/delta")
+        .parquet(f"{literal_path(source.path)}/delta")
     )
     counts = (
         facts.withWatermark("transaction_time", "0 minutes")

@@ -8,6 +8,7 @@ import pytest
 from conftest import SMALL
 from oracle import spark_bag
 from pyspark.errors import ArithmeticException
+from pyspark.sql import functions as F
 
 from tallylake import fixtures
 from tallylake.operators import aggregates
@@ -42,9 +43,7 @@ def grouped(spark, table, keys):
     return last_inserted(rows, keys, aggregates.ROLLUP_MEASURES).select(*table.columns.names)
 
 
-@pytest.mark.parametrize("floors", [1000, 1])
-def test_reading_merges_runs(spark, lake, monkeypatch, floors):
-    monkeypatch.setattr(rollups, "FLOORS_IN_FILTER", floors)
+def test_reading_merges_runs(spark, lake):
     user, site = tables.user_30min(lake), tables.site_daily(lake)
     for i, rows in enumerate(cuts(spark)):
         tables.write_transactions(rows, lake, i)
@@ -83,7 +82,7 @@ def test_reading_merges_runs(spark, lake, monkeypatch, floors):
 
 def test_empty_table_means_full_build(spark, lake):
     rollups.refresh_all(spark, lake)
-    assert not tables.is_built(spark, tables.user_30min(lake))
+    assert tables.read_table(spark, tables.user_30min(lake)).isEmpty()
     df = fixtures.event_transactions(spark, SMALL)
     tables.write_transactions(df, lake, 0)
     rollups.refresh_all(spark, lake)
@@ -193,3 +192,51 @@ def test_a_load_during_a_run_is_left_to_the_next(spark, lake, monkeypatch):
     audit = tables.read_table(spark, tables.rollup_audit(tables.user_30min(lake)))
     seen = {r.run_id: (r.through_batch, r.late_rows > 0) for r in audit.collect()}
     assert seen == {0: (0, False), 1: (1, True)}
+
+
+def _late_rows(spark, lake):
+    audit = tables.rollup_audit(tables.user_30min(lake))
+    rows = tables.read_table(spark, audit).orderBy("run_id").collect()
+    return [r.late_rows for r in rows]
+
+
+def _truth(spark, lake, second):
+    mark = rollups.high_water(spark, tables.user_30min(lake), "window_start")
+    return second.where(F.unix_micros(F.col("transaction_time").cast("timestamp")) < mark).count()
+
+
+def test_late_rows_after_a_stop_between_count_and_rows(spark, lake, monkeypatch):
+    first, second = fixtures.arrivals(spark, SMALL)
+    tables.write_transactions(first, lake, 0)
+    rollups.refresh_user_30min(spark, lake)
+    tables.write_transactions(second, lake, 1)
+    truth = _truth(spark, lake, second)
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(rollups, "commit_run", fail)
+        with pytest.raises(RuntimeError):
+            rollups.refresh_user_30min(spark, lake)
+    rollups.refresh_user_30min(spark, lake)
+    assert truth and _late_rows(spark, lake) == [0, truth]
+    rollups.refresh_user_30min(spark, lake)
+    assert _late_rows(spark, lake) == [0, truth, 0]
+
+
+def test_late_rows_after_compaction_and_removal(spark, lake):
+    first, second = fixtures.arrivals(spark, SMALL)
+    tables.write_transactions(first, lake, 0)
+    rollups.refresh_user_30min(spark, lake)
+    tables.write_transactions(second, lake, 1)
+    truth = _truth(spark, lake, second)
+    facts = tables.transactions(lake)
+    tables.compact(spark, facts, tables.with_month_layout)
+    assert tables.remove_covered(spark, facts) == 1
+    rollups.refresh_user_30min(spark, lake)
+    assert truth and _late_rows(spark, lake) == [0, truth]
+    assert tables.remove_covered(spark, facts) == 1
+    assert spark_bag(tables.read_table(spark, facts).select("transaction_id")) == spark_bag(
+        first.unionByName(second).select("transaction_id")
+    )
