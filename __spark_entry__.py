@@ -260,7 +260,7 @@ def _faulty_files(spark: SparkSession, sf_dir: str) -> str:
 def _ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "lake")
     ingest_new(spark, _faulty_files(spark, sf_dir), root)
-    found = tables.read_table(spark, tables.rejects(root))
+    found = tables.rejected(spark, root)
     number = F.regexp_extract("raw", "[0-9]+", 0).cast("bigint")
     return found.select(number.alias("event_id"), "reason")
 
@@ -269,7 +269,7 @@ def _ingest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "lake")
     ingest_new(spark, _faulty_files(spark, sf_dir), root)
     return (
-        tables.read_table(spark, tables.ingest_audit(root))
+        tables.audited_files(spark, root)
         .groupBy("status")
         .agg(F.sum("rows_ok").alias("rows_ok"), F.sum("rows_rejected").alias("rows_rejected"))
     )

@@ -93,13 +93,16 @@ def with_position(df: DataFrame) -> DataFrame:
     )
 
 
-def read_json_rows(spark: SparkSession, folder: str) -> DataFrame:
+def read_json_rows(
+    spark: SparkSession, folder: str, staging: Staging | None = None
+) -> DataFrame:
     """(file, pos, cells) of every row array in the valid documents of a folder.
 
-    ``cells`` is NULL for an element that is no array.
+    ``cells`` is NULL for an element that is no array.  The rows are read from ``staging``;
+    a caller that gives one clears it when the rows are no longer needed.
     """
     pieces = read_pieces(spark, file_pattern(folder))
-    staging = Staging(spark, scratch_dir(spark, "json-rows"))
+    staging = staging or Staging(spark, scratch_dir(spark, "json-rows"))
     return parse_documents(pieces, folder, staging, lambda rows: rows.drop("raw")).rows
 
 

@@ -24,9 +24,11 @@ def literal_path(path: str) -> str:
 
 def rename(spark: SparkSession, old: str, new: str) -> None:
     fs, path = _located(spark, old)
-    fs.rename(path, _located(spark, new)[1])
+    if not fs.rename(path, _located(spark, new)[1]):
+        raise OSError(f"cannot rename {old} to {new}")
 
 
 def delete_folder(spark: SparkSession, folder: str) -> None:
     fs, path = _located(spark, folder)
-    fs.delete(path, True)
+    if not fs.delete(path, True) and fs.exists(path):
+        raise OSError(f"cannot delete {folder}")

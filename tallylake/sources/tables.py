@@ -150,6 +150,16 @@ def read_table(spark: SparkSession, table: Table, through: int | None = None) ->
     return reduce(DataFrame.unionByName, parts)
 
 
+def rejected(spark: SparkSession, root: str) -> DataFrame:
+    """Rejects of the loads that were committed, not of one that is under way or failed."""
+    return read_table(spark, rejects(root), last_seq(spark, transactions(root)))
+
+
+def audited_files(spark: SparkSession, root: str) -> DataFrame:
+    """The files of the loads that were committed."""
+    return read_table(spark, ingest_audit(root), last_seq(spark, transactions(root)))
+
+
 def read_after(spark: SparkSession, table: Table, seq: int) -> DataFrame:
     """Rows of the commits after ``seq``, whether or not a compaction covers them."""
     deltas = [c for c in _marked(spark, table, "delta") if c.seq > seq]

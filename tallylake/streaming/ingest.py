@@ -136,7 +136,7 @@ def _same_files(batch: DataFrame, batch_id: int, root: str, spark: SparkSession)
 def _summary(spark: SparkSession, root: str, batches: list[int], seconds: float) -> IngestSummary:
     files = ok = rejected = 0
     if batches:
-        audit = tables.read_table(spark, tables.ingest_audit(root))
+        audit = tables.audited_files(spark, root)
         files, ok, rejected = (
             audit.where(F.col("batch_id").between(min(batches), max(batches)))
             .agg(F.count("*"), F.sum("rows_ok"), F.sum("rows_rejected"))

@@ -173,3 +173,19 @@ def test_new_checkpoint_over_old_table(spark, tmp_path, lake):
     with pytest.raises(StreamingQueryException, match="loaded from other files"):
         ingest_new(spark, str(tmp_path / "in2"), lake, checkpoint=str(tmp_path / "ck"))
     assert ids(spark, lake) == [1]
+
+
+def test_rejects_of_a_failed_load_are_not_shown(spark, tmp_path, lake, monkeypatch):
+    folder = tmp_path / "in"
+    put(folder, a="[[1,2]," + GOOD.format(id=1) + "]")
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "write_transactions", fail)
+        with pytest.raises(StreamingQueryException):
+            ingest_new(spark, str(folder), lake)
+    assert tables.rejected(spark, lake).isEmpty() and tables.audited_files(spark, lake).isEmpty()
+    ingest_new(spark, str(folder), lake)
+    assert tables.rejected(spark, lake).count() == tables.audited_files(spark, lake).count() == 1
