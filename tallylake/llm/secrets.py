@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import base64
 import binascii
-import hashlib
 import json
 import re
 from collections.abc import Iterator
@@ -270,7 +269,3 @@ def mask_secrets(
         same = F.when(F.col(text_col).isNull(), F.col(length_col)).otherwise(changed)
         masked = masked.withColumn(length_col, same)
     return masked.select(*columns)
-
-
-def digest(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()

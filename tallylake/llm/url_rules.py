@@ -98,7 +98,7 @@ def judge_urls(
         lambda n: n <= F.char_length("path"),
     )
     exploded = (
-        rows.withColumn("suffix", F.explode_outer(F.transform(host_suffixes("host"), lambda h: h)))
+        rows.withColumn("suffix", F.explode_outer(host_suffixes("host")))
         .withColumn("length", F.explode_outer(prefixes))
         .withColumn(
             "digest",
