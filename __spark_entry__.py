@@ -19,6 +19,7 @@ from tallylake.schema import CELLS
 from tallylake.session import configure, scratch_dir
 from tallylake.sources import tables
 from tallylake.sources.json_documents import read_json_rows
+from tallylake.sources.paths import create_empty
 from tallylake.streaming.ingest import ingest_new
 from tallylake.streaming.rollup_stream import stream_user_30min
 
@@ -286,6 +287,46 @@ def _ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _boundary(tables.read_table(spark, tables.transactions(root)).select(*CELLS))
 
 
+def _put_files(
+    spark: SparkSession,
+    rows: DataFrame,
+    folder: str,
+    prefix: str,
+    write: Callable[[DataFrame, str], None] = fixtures.write_json_documents,
+) -> None:
+    made = scratch_dir(spark, "made")
+    write(_as_json(rows), made)
+    fixtures.move_files(spark, made, folder, prefix)
+
+
+def _ingest_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files first loaded when unfinished, then mended: their rows arrive, and only once."""
+    root = scratch_dir(spark, "lake")
+    first, second = fixtures.arrivals(spark, sf_dir)
+    folder = _input_files(spark, first)
+    _put_files(spark, second, folder, "late", fixtures.write_unfinished_documents)
+    ingest_new(spark, folder, root)
+    _put_files(spark, second, folder, "late")
+    ingest_new(spark, folder, root)
+    ingest_new(spark, folder, root)
+    return _boundary(tables.read_table(spark, tables.transactions(root)).select(*CELLS))
+
+
+def _ingest_skipped_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An empty file, filled later, and files Spark passes over, as the audit shows them."""
+    root = scratch_dir(spark, "lake")
+    first, second = fixtures.arrivals(spark, sf_dir)
+    folder = _input_files(spark, first)
+    create_empty(spark, f"{folder}/late0.json")
+    _put_files(spark, second, folder, "_hidden")
+    ingest_new(spark, folder, root)
+    _put_files(spark, second, folder, "late")
+    ingest_new(spark, folder, root)
+    ingest_new(spark, folder, root)
+    files = tables.audited_files(spark, root)
+    return files.groupBy("status").agg(F.sum("rows_ok").alias("rows_ok"))
+
+
 # --- stored transactions --------------------------------------------------------------
 
 SHIPMENT_ORDER = ("transaction_time", "item_id", "site_id", "transfer_amount")
@@ -376,6 +417,8 @@ def queries() -> dict[str, Query]:
         "ingest_rejects": _ingest_rejects,
         "ingest_audit": _ingest_audit,
         "ingest_incremental": _ingest_incremental,
+        "ingest_reload": _ingest_reload,
+        "ingest_skipped_files": _ingest_skipped_files,
         "replace_latest_transactions": _replace_latest_transactions,
         "replace_latest_stored_key": _replace_latest_stored_key,
         "compact_transactions": _compact_transactions,
@@ -432,6 +475,7 @@ _CELLS = """
 """
 _ALL_CELLS = _CELLS.format(user="username", time="transaction_time")
 _MILLIS = "date_trunc('milliseconds', transaction_time)"
+_LOADED_EVENTS = f"SELECT {_CELLS.format(user='username', time=_MILLIS)} FROM ({_FOLDED})"
 
 _MEASURES = """
     count(*) AS txn_count, CAST(sum(transfer_amount) AS DECIMAL(18,2)) AS total_amount
@@ -555,9 +599,11 @@ def oracle_sql() -> dict[str, str]:
                    count(*) FILTER (event_id % 8 >= 6) AS rows_ok,
                    count(*) FILTER (event_id % 8 < 6) AS rows_rejected
             FROM events""",
-        "ingest_incremental": "SELECT "
-        + _CELLS.format(user="username", time=_MILLIS)
-        + f" FROM ({_FOLDED})",
+        "ingest_incremental": _LOADED_EVENTS,
+        "ingest_reload": _LOADED_EVENTS,
+        "ingest_skipped_files": """
+            SELECT 'LOADED' AS status, count(*) AS rows_ok FROM events
+            UNION ALL SELECT 'EMPTY_FILE', 0 UNION ALL SELECT 'HIDDEN_NAME', 0""",
         "adhoc_sql_after_load": f"""
             {_ARRIVALS}
             SELECT site_id, count(*) AS txn_count,

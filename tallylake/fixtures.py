@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallylake.schema import AMOUNT, CELLS
-from tallylake.sources.paths import glob_paths, literal_path, rename
+from tallylake.sources.paths import delete_folder, glob_paths, literal_path, rename
 
 
 def event_transactions(spark: SparkSession, sf_dir: str, raw_users: bool = False) -> DataFrame:
@@ -103,3 +103,18 @@ def write_json_documents(rows: DataFrame, folder: str) -> None:
     spark = rows.sparkSession
     for path in glob_paths(spark, f"{literal_path(folder)}/part-*.txt"):
         rename(spark, path, path.removesuffix(".txt") + ".json")
+
+
+def write_unfinished_documents(rows: DataFrame, folder: str) -> None:
+    """Write one column of JSON texts as files cut off before their end."""
+    name = rows.columns[0]
+    begun = rows.select(F.concat(F.lit("[["), F.col(name), F.lit("]")).alias(name))
+    begun.hint("rebalance").write.text(folder, lineSep=",")
+
+
+def move_files(spark: SparkSession, source: str, folder: str, prefix: str) -> None:
+    """Move the files of a folder into another as <prefix>0.json, ..., replacing those there."""
+    for number, path in enumerate(sorted(glob_paths(spark, f"{literal_path(source)}/part-*"))):
+        target = f"{folder}/{prefix}{number}.json"
+        delete_folder(spark, target)
+        rename(spark, path, target)

@@ -71,6 +71,9 @@ AUDIT = T.StructType(
         T.StructField("status", T.StringType()),
         T.StructField("rows_ok", T.LongType()),
         T.StructField("rows_rejected", T.LongType()),
+        # As they were when the file was read; a file that differs has been mended.
+        T.StructField("file_size", T.LongType()),
+        T.StructField("modified_ms", T.LongType()),
     ]
 )
 

@@ -47,9 +47,6 @@ BLANKS = " \t\r\n"
 # A string literal, closed or running to the end of the piece.
 STRING_LITERAL = r'"[^"\\]*+(?:\\[\s\S][^"\\]*+)*+(?:"|\\?\z)'
 
-# Up to so many files are read again by name rather than by scanning all input again.
-FILES_BY_NAME = 10_000
-
 Typer = Callable[[DataFrame], DataFrame]
 
 
@@ -58,7 +55,8 @@ class Documents:
     """What was read.
 
     ``rows``: file, pos and what the typer made of (raw, cells).
-    ``files``: file, status, rows_ok and rows_rejected, one line per file.
+    ``files``: file, status, rows_ok, rows_rejected, file_size and modified_ms, one line
+    per file that holds a byte.
     """
 
     rows: DataFrame
@@ -89,6 +87,7 @@ def with_position(df: DataFrame) -> DataFrame:
         "value",
         F.when(F.contains(name, F.lit("%")), decoded).otherwise(name).alias("file"),
         F.col("_metadata.file_size").alias("file_size"),
+        F.unix_millis("_metadata.file_modification_time").alias("modified_ms"),
         F.col("_metadata.file_block_start").alias("block"),
     )
 
@@ -136,21 +135,30 @@ def parse_documents(
         .agg(F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected"))
         .select("file", F.lit(LOADED).alias("status"), *_counts())
     )
-    if not sizes.others:
-        return Documents(rows, files)
+    if sizes.others:
+        # Read again by name, so that no regular file is; names only come to the driver.
+        others = blocks.where("NOT flat").select("file").distinct()
+        general = _general(_with_order(named_pieces(staging.spark, folder, others)), staging, typer)
+        rows = rows.unionByName(general.rows.select(rows.columns))
+        files = files.unionByName(general.files)
+    stamps = blocks.groupBy("file").agg(
+        F.max("file_size").alias("file_size"), F.max("modified_ms").alias("modified_ms")
+    )
+    return Documents(rows, files.join(stamps, "file"))
 
-    others = blocks.where("NOT flat").select("file").distinct()
-    if sizes.others <= FILES_BY_NAME:
-        names = [literal_path(f"{folder.rstrip('/')}/{r.file}") for r in others.collect()]
-        pieces = read_pieces(staging.spark, *names)
-    else:
-        pieces = pieces.join(others, "file", "left_semi")
-    general = _general(_with_order(pieces), staging, typer)
-    return Documents(
-        rows.unionByName(general.rows.select(rows.columns)), files.unionByName(general.files)
+
+def no_pieces(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(
+        [], "value string, file string, file_size bigint, modified_ms bigint, block bigint"
     )
 
 
+def named_pieces(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
+    """The pieces of some files of a folder."""
+    names = [literal_path(f"{folder.rstrip('/')}/{r.file}") for r in files.collect()]
+    return read_pieces(spark, *names)
+
+
 def _with_order(pieces: DataFrame) -> DataFrame:
     return pieces.withColumn("mid", F.monotonically_increasing_id())
 
@@ -169,7 +177,7 @@ def _counts() -> list[Column]:
 # --- flat files -----------------------------------------------------------------------
 
 IS_ROW = "kind IN ('head', 'row')"
-_PIECE_COLUMNS = ("file", "file_size", "block", "mid", "kind", "bytes")
+_PIECE_COLUMNS = ("file", "file_size", "modified_ms", "block", "mid", "kind", "bytes")
 
 
 def _count(text: Column, char: str) -> Column:
@@ -198,6 +206,7 @@ def _flat_rows(pieces: DataFrame) -> DataFrame:
     shape = pieces.select(
         "file",
         "file_size",
+        "modified_ms",
         "block",
         "mid",
         "value",
@@ -239,6 +248,7 @@ def _judge_flat(flat: DataFrame) -> DataFrame:
     kind, mid = F.col("kind"), F.col("mid")
     is_row = F.expr(IS_ROW)
     blocks = flat.groupBy("file", "file_size", "block").agg(
+        F.max("modified_ms").alias("modified_ms"),
         F.count("*").alias("n"),
         F.sum("bytes").alias("bytes"),
         F.count_if(is_row).alias("rows"),
@@ -275,6 +285,8 @@ def _judge_flat(flat: DataFrame) -> DataFrame:
     )
     return blocks.select(
         "file",
+        "file_size",
+        "modified_ms",
         "block",
         "first_mid",
         "rows",

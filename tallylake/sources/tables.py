@@ -160,6 +160,23 @@ def audited_files(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, ingest_audit(root), last_seq(spark, transactions(root)))
 
 
+def latest_audit(spark: SparkSession, root: str) -> DataFrame:
+    """Each file as it was seen last: its status, counts, size and time of change."""
+    rows = audited_files(spark, root)
+    names = [c for c in rows.columns if c != "file"]
+    last = rows.groupBy("file").agg(F.max_by(F.struct(*names), "batch_id").alias("last"))
+    return last.select("file", "last.*")
+
+
+def remove_uncommitted_notes(spark: SparkSession, root: str) -> None:
+    """Delete rejects and audit of a load that failed, before another takes a later number."""
+    last = last_seq(spark, transactions(root))
+    for table in (rejects(root), ingest_audit(root)):
+        for seq, folder in _folders(spark, table, "delta").items():
+            if seq > last:
+                delete_folder(spark, folder)
+
+
 def read_after(spark: SparkSession, table: Table, seq: int) -> DataFrame:
     """Rows of the commits after ``seq``, whether or not a compaction covers them."""
     deltas = [c for c in _marked(spark, table, "delta") if c.seq > seq]
@@ -187,19 +204,20 @@ def write_commit(
 def with_month_layout(df: DataFrame) -> DataFrame:
     """Spread and sort rows for the month-partitioned transactions table.
 
-    ``rebalance`` brings a month together but lets adaptive execution cut a month that
-    outgrows one task, so a month holding a third of all rows becomes many files, and
-    small months share a task.  Inside a file, days come first: every report filters by
-    day, and row-group statistics then skip the other days of a file.  Each file of a
-    month that was cut still spans all its days.
+    Ranges of (month, day, site, user, ...) go to one task each.  So a file holds a narrow
+    span of days, which its statistics show to every report that filters by day; a month
+    or a day holding a third of all rows is cut into many files, down to the place of a
+    row in its input; and small months share a task.  The bounds come from a sample of
+    the key columns.
     """
-    return (
-        df.withColumn("yyyymm", month_number(F.col("transaction_time")).cast("int"))
-        .hint("rebalance", "yyyymm")
-        .sortWithinPartitions(
-            "yyyymm", day(F.col("transaction_time")), "site_id", "username", "transaction_time"
-        )
-    )
+    ordered = df.withColumn("yyyymm", month_number(F.col("transaction_time")).cast("int"))
+    keys = [
+        F.col("yyyymm"),
+        day(F.col("transaction_time")),
+        *[F.col(c) for c in ("site_id", "username", "transaction_time", "transaction_id")],
+        *[F.col(c) for c in ("source_file", "source_pos") if c in df.columns],
+    ]
+    return ordered.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
 def write_transactions(df: DataFrame, root: str, batch_id: int) -> None:

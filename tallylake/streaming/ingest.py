@@ -1,4 +1,10 @@
-"""Incremental, exactly-once loading of JSON files."""
+"""Incremental, exactly-once loading of JSON files.
+
+The stream hands out every new name once.  Files it could not load (broken, empty, or of
+a name Spark passes over) are noted in the audit with their size and time of change; once
+these differ, the next run loads them in a commit of its own.  Commits are numbered so
+that those between two batches of the stream lie between their numbers.
+"""
 
 from __future__ import annotations
 
@@ -15,12 +21,20 @@ from tallylake.sources import tables
 from tallylake.sources.json_documents import (
     LOADED,
     file_pattern,
+    named_pieces,
+    no_pieces,
     parse_documents,
     text_options,
     with_position,
 )
+from tallylake.sources.paths import file_stamps, is_hidden
 from tallylake.sources.staging import Staging
 
+EMPTY_FILE = "EMPTY_FILE"
+HIDDEN_NAME = "HIDDEN_NAME"
+# Numbers of commits from one batch of the stream to the next.
+COMMITS_PER_BATCH = 1 << 20
+
 
 @dataclass(frozen=True)
 class IngestSummary:
@@ -46,8 +60,9 @@ def ingest_new(
 ) -> IngestSummary:
     """Load the files of ``folder`` whose names were not loaded before.
 
-    The stream's checkpoint holds the loaded names.  A failed run is repeated with the
-    same files under the same batch number and replaces what it had written.
+    The stream's checkpoint holds the names it has seen.  A failed run is repeated with the
+    same files under the same batch number and replaces what it had written.  A file that
+    was rejected or empty, and has changed since, is loaded as well.
     ``max_bytes_per_batch`` splits a large first load into several commits.  ``version``
     is the stamp of the rows, by default the current second.
     """
@@ -65,11 +80,15 @@ def ingest_new(
     if max_bytes_per_batch:
         source = source.option("maxBytesPerTrigger", max_bytes_per_batch)
     done: list[int] = []
+    # Before the stream lists the folder, so that it has seen whatever is listed here.
+    listed = file_stamps(spark, file_pattern(folder))
+    tables.remove_uncommitted_notes(spark, root)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         staging = Staging(batch.sparkSession, staging_folder)
-        _load_batch(batch, batch_id, folder, root, staging, stamp, null_as_text)
-        done.append(batch_id)
+        seq = (batch_id + 1) * COMMITS_PER_BATCH
+        _load_batch(batch, seq, folder, root, staging, stamp, null_as_text)
+        done.append(seq)
 
     query = (
         with_position(source.load(file_pattern(folder)))
@@ -80,29 +99,87 @@ def ingest_new(
     )
     try:
         query.awaitTermination()
+        staging = Staging(spark, staging_folder)
+        done += _load_left(listed, folder, root, staging, stamp, null_as_text)
     finally:
         Staging(spark, staging_folder).clear()
     return _summary(spark, root, done, time.time() - started)
 
 
+def _load_left(
+    listed: list[tuple[str, int, int]],
+    folder: str,
+    root: str,
+    staging: Staging,
+    stamp: int,
+    null_as_text: bool,
+) -> list[int]:
+    """Load or note the listed files the stream has seen and never loaded.
+
+    Returns the number of the commit, if there was anything to do.  A run that fails here
+    leaves nothing that counts, and the next finds the same files.
+    """
+    spark = staging.spark
+    seen = spark.createDataFrame(
+        [(name, size, modified, is_hidden(name)) for name, size, modified in listed],
+        "file string, file_size bigint, modified_ms bigint, hidden boolean",
+    )
+    known = tables.latest_audit(spark, root).select(
+        "file",
+        "status",
+        F.col("file_size").alias("known_size"),
+        F.col("modified_ms").alias("known_ms"),
+    )
+    same = F.col("file_size").eqNullSafe(F.col("known_size")) & F.col("modified_ms").eqNullSafe(
+        F.col("known_ms")
+    )
+    # A listed file without a line in the audit held nothing when the stream read it.
+    left = staging.put(
+        "left",
+        seen.join(known, "file", "left").where(
+            F.col("status").isNull() | ((F.col("status") != LOADED) & ~same)
+        ),
+    )
+    if left.isEmpty():
+        return []
+    unread = F.when(F.col("hidden"), HIDDEN_NAME).when(F.col("file_size") == 0, EMPTY_FILE)
+    noted = left.withColumn("status", unread).where("status IS NOT NULL")
+    again = left.where(unread.isNull()).select("file")
+    pieces = None if again.isEmpty() else named_pieces(spark, folder, again)
+    seq = tables.last_seq(spark, tables.transactions(root)) + 1
+    if seq and seq % COMMITS_PER_BATCH == 0:
+        raise ValueError(f"too many loads of mended files between two batches of {root}")
+    _load_batch(pieces, seq, folder, root, staging, stamp, null_as_text, noted)
+    return [seq]
+
+
 def _load_batch(
-    batch: DataFrame,
+    batch: DataFrame | None,
     batch_id: int,
     folder: str,
     root: str,
     staging: Staging,
     stamp: int,
     null_as_text: bool,
+    noted: DataFrame | None = None,
 ) -> None:
+    """Load the pieces of some files, and note files that cannot be read, in one commit."""
     facts = tables.transactions(root)
     if tables.is_committed(staging.spark, facts, batch_id):
         # The run before stopped after the commit and before the checkpoint noted it.
         _same_files(batch, batch_id, root, staging.spark)
         return
+    if batch is None:
+        batch = no_pieces(staging.spark)
     documents = parse_documents(
         batch, folder, staging, lambda rows: type_cells(rows, null_as_text)
     )
     rows, files = documents.rows, documents.files
+    if noted is not None:
+        nothing = [F.lit(0).cast("bigint").alias(c) for c in ("rows_ok", "rows_rejected")]
+        files = files.unionByName(
+            noted.select("file", "status", *nothing, "file_size", "modified_ms")
+        )
 
     bad_rows = rows.where("reason IS NOT NULL").select("file", "pos", "raw", "reason")
     bad_files = files.where(F.col("status") != LOADED).select(

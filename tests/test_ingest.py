@@ -189,3 +189,62 @@ def test_rejects_of_a_failed_load_are_not_shown(spark, tmp_path, lake, monkeypat
     assert tables.rejected(spark, lake).isEmpty() and tables.audited_files(spark, lake).isEmpty()
     ingest_new(spark, str(folder), lake)
     assert tables.rejected(spark, lake).count() == tables.audited_files(spark, lake).count() == 1
+
+
+def test_a_mended_file_is_loaded_once(spark, tmp_path, lake):
+    folder = tmp_path / "in"
+    put(folder, a=document(1), b=document(2, 3)[:-4], c='{"no": "array"}')
+    assert ingest_new(spark, str(folder), lake).rows_ok == 1
+    # Unchanged: not read again.
+    assert ingest_new(spark, str(folder), lake).batches == 0
+    put(folder, b=document(2, 3), c='{"still": "no array"}', d=document(4))
+    assert ingest_new(spark, str(folder), lake).rows_ok == 3
+    assert ingest_new(spark, str(folder), lake).batches == 0
+    assert ids(spark, lake) == [1, 2, 3, 4]
+    last = {r.file: r.status for r in tables.latest_audit(spark, lake).collect()}
+    assert last == {f"{n}.json": "LOADED" for n in "abd"} | {"c.json": "ROOT_NOT_ARRAY"}
+
+
+def test_empty_and_hidden_files_are_noted(spark, tmp_path, lake):
+    folder = tmp_path / "in"
+    put(folder, _hidden=document(8), empty="")
+    (folder / ".dot.json").write_text(document(9))
+    summary = ingest_new(spark, str(folder), lake)
+    assert (summary.files, summary.rows_ok) == (3, 0)
+    assert rejects(spark, lake) == {
+        ("_hidden", None, "HIDDEN_NAME"),
+        (".dot", None, "HIDDEN_NAME"),
+        ("empty", None, "EMPTY_FILE"),
+    }
+    put(folder, empty=document(1))
+    for _ in range(2):
+        ingest_new(spark, str(folder), lake)
+    put(folder, next=document(2))
+    ingest_new(spark, str(folder), lake)
+    assert ids(spark, lake) == [1, 2]
+
+
+@pytest.mark.parametrize("after_write", [False, True])
+def test_crash_while_loading_a_mended_file(spark, tmp_path, lake, monkeypatch, after_write):
+    folder = tmp_path / "in"
+    put(folder, a=document(1), b="[[1")
+    ingest_new(spark, str(folder), lake)
+    put(folder, b="[[1,2]," + document(2)[1:])
+    write = tables.write_transactions
+
+    def fail(*args):
+        if after_write:
+            write(*args)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest.tables, "write_transactions", fail)
+        with pytest.raises(RuntimeError):
+            ingest_new(spark, str(folder), lake)
+    # A batch of the stream takes a later number than the failed commit had.
+    put(folder, c=document(3))
+    for _ in range(2):
+        ingest_new(spark, str(folder), lake)
+    assert ids(spark, lake) == [1, 2, 3]
+    found = tables.rejected(spark, lake).where("reason = 'BAD_SHAPE'").count()
+    assert found == 1

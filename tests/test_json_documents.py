@@ -94,7 +94,6 @@ def same_cell(cell: str | None, value) -> bool:
 @pytest.mark.parametrize("split_bytes, count", [(64, 12), (300, 40), (1 << 27, 240)])
 def test_random_documents(spark, tmp_path, monkeypatch, split_bytes, count):
     monkeypatch.setattr(jd, "PART_BITS", 2 if split_bytes < 1000 else 18)
-    monkeypatch.setattr(jd, "FILES_BY_NAME", 0 if split_bytes == 300 else 10_000)
     rng = random.Random(split_bytes)
     documents = {}
     folder = tmp_path / "in"

@@ -71,16 +71,40 @@ def test_compaction(spark, lake):
     assert spark_bag(tables.read_table(spark, table).select(columns)) == want
 
 
+def write_small_files(spark, df, lake) -> None:
+    """Write with files of some kilobytes, as a large load does with large ones."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.write_transactions(df.repartition(8), lake, 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_files_of_a_cut_month_hold_few_days(spark, lake):
+    """Spans of days hardly overlap, and a day of a third of all rows is several files."""
+    number = F.col("transaction_id").cast("bigint")
+    day = F.when(number % 3 == 0, 9).otherwise(number % 30)
+    df = fixtures.lineitem_transactions(spark, SMALL).withColumn(
+        "transaction_time", F.make_timestamp_ntz(F.lit(2024), F.lit(1), (day + 1).cast("int"), *[F.lit(0)] * 3)
+    )
+    write_small_files(spark, df, lake)
+    stored = tables.read_table(spark, tables.transactions(lake))
+    spans = (
+        stored.groupBy(F.input_file_name().alias("f"))
+        .agg(F.min(F.dayofmonth("transaction_time")).alias("a"), F.max(F.dayofmonth("transaction_time")).alias("b"))
+        .orderBy("a", "b")
+        .collect()
+    )
+    assert len(spans) == 8 and all(x.b <= y.a for x, y in zip(spans, spans[1:]))
+    assert sum(s.a <= 10 <= s.b for s in spans) >= 3
+
+
 def test_a_large_month_is_cut(spark, lake):
     """All rows in one month still spread over several files and tasks."""
     df = fixtures.lineitem_transactions(spark, SMALL).withColumn(
         "transaction_time", F.expr("timestamp_ntz '2024-01-01 00:00:00'")
     )
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20000")
-    try:
-        tables.write_transactions(df.repartition(8), lake, 0)
-    finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    write_small_files(spark, df, lake)
     files = list(Path(lake).glob("transactions/delta/batch_id=0/yyyymm=202401/*.parquet"))
     assert len(files) > 4
     assert tables.read_table(spark, tables.transactions(lake)).count() == df.count()
