@@ -266,6 +266,22 @@ def _ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(number.alias("event_id"), "reason")
 
 
+def _ingest_object_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays of objects: each a reject, at its own place in its file."""
+    df = fixtures.event_transactions(spark, sf_dir)
+    number = F.col("transaction_id").cast("string")
+    text = F.concat(F.lit('{"id":'), number, F.lit(',"note":"a, b"}'))
+    folder, root = scratch_dir(spark, "json"), scratch_dir(spark, "lake")
+    fixtures.write_json_documents(df.select(text.alias("value")), folder)
+    ingest_new(spark, folder, root)
+    place = F.row_number().over(Window.partitionBy("file").orderBy("pos")) - 1
+    return tables.rejected(spark, root).select(
+        F.get_json_object("raw", "$.id").cast("bigint").alias("event_id"),
+        "reason",
+        (F.col("pos") == place).alias("placed"),
+    )
+
+
 def _ingest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "lake")
     ingest_new(spark, _faulty_files(spark, sf_dir), root)
@@ -415,6 +431,7 @@ def queries() -> dict[str, Query]:
         "ingest_json_rows": _ingest_json_rows,
         "ingest_json_brackets": _ingest_json_brackets,
         "ingest_rejects": _ingest_rejects,
+        "ingest_object_rows": _ingest_object_rows,
         "ingest_audit": _ingest_audit,
         "ingest_incremental": _ingest_incremental,
         "ingest_reload": _ingest_reload,
@@ -594,6 +611,8 @@ def oracle_sql() -> dict[str, str]:
                 WHEN 2 THEN 'BAD_CELL:username' WHEN 3 THEN 'OUT_OF_RANGE'
                 WHEN 4 THEN 'BAD_SHAPE' WHEN 5 THEN 'BAD_CELL:item_id' END AS reason
             FROM events WHERE event_id % 8 < 6""",
+        "ingest_object_rows":
+            "SELECT event_id, 'BAD_SHAPE' AS reason, TRUE AS placed FROM events",
         "ingest_audit": """
             SELECT 'LOADED' AS status,
                    count(*) FILTER (event_id % 8 >= 6) AS rows_ok,

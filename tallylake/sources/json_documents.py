@@ -2,7 +2,7 @@
 
 A file is one JSON document, often on one line and of any size, so reading it whole
 would put it into one task.  Instead the text source cuts it at every ``]``, which Spark
-does in parallel inside one file.  The pieces are then put together in one of two ways:
+does in parallel inside one file.  Files are then read in one of two ways:
 
 *Flat* files need no order between pieces.  If every piece has an even number of quotes,
 no cut lies inside a string (the first that did would leave an odd piece before it).  If,
@@ -10,12 +10,11 @@ besides, the first piece opens two brackets, every other opens one right after a
 and only blank pieces follow, then each piece is exactly one row.
 
 *Other* files (a ``]`` inside a string, nested cells, rows that are no arrays, broken
-text) take the general way: string state and bracket depth at the start of each piece are
-running totals over the file.  A running total is formed inside each part of an input
-split, whose size is bounded, and over one line per part; no task ever sees a whole file.
+text) are read again, cut at every comma, whatever their elements are.  String state and
+depth are followed inside each input split, from sums over the splits in all of the file.
 
-Positions: ``block`` is the start of the input split and ``mid`` counts up inside it, so
-(file, block, mid) is the order of the text.
+No task ever sees a whole file.  Positions: ``block`` is the start of the input split and
+``mid`` counts up inside it, so (file, block, mid) is the order of the text.
 """
 
 from __future__ import annotations
@@ -27,7 +26,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallylake.session import scratch_dir
-from tallylake.sources.paths import literal_path
+from tallylake.sources.json_trace import TRACE, trace_elements
+from tallylake.sources.paths import file_stamps, is_hidden, literal_path
 from tallylake.sources.staging import Staging
 
 LOADED = "LOADED"
@@ -35,11 +35,11 @@ ROOT_NOT_ARRAY = "ROOT_NOT_ARRAY"
 BAD_JSON = "BAD_JSON"
 ELEMENT_TOO_LARGE = "ELEMENT_TOO_LARGE"
 
-# A row must fit into one string value; a larger one rejects its file.
-MAX_ELEMENT_BYTES = 1 << 30
-
-# Splits are cut again after this many pieces (2^18), for more even tasks.
-PART_BITS = 18
+# The first reading passes over longer pieces; their file is then cut at commas.
+FLAT_PIECE_BYTES = 1 << 20
+# A larger element is a rejected row.  A file with so much text and no comma in it cannot
+# be cut, and is rejected.
+MAX_TEXT_BYTES = 1 << 27
 
 # Strict JSON: double quotes only.
 JSON_OPTIONS = {"allowSingleQuotes": "false"}
@@ -47,6 +47,9 @@ BLANKS = " \t\r\n"
 # A string literal, closed or running to the end of the piece.
 STRING_LITERAL = r'"[^"\\]*+(?:\\[\s\S][^"\\]*+)*+(?:"|\\?\z)'
 
+# A file as it was listed.
+STAMPS = "file string, file_size bigint, modified_ms bigint"
+
 Typer = Callable[[DataFrame], DataFrame]
 
 
@@ -63,8 +66,13 @@ class Documents:
     files: DataFrame
 
 
-def text_options() -> dict[str, str]:
-    return {"lineSep": "]"}
+def text_options(cut_at: str = "]") -> dict[str, str]:
+    """Pieces that are too long are not held, nor sought beyond a split; sums miss them."""
+    longest = FLAT_PIECE_BYTES if cut_at == "]" else MAX_TEXT_BYTES
+    return {
+        "lineSep": cut_at,
+        "mapreduce.input.linerecordreader.line.maxlength": str(longest),
+    }
 
 
 def file_pattern(folder: str) -> str:
@@ -72,10 +80,9 @@ def file_pattern(folder: str) -> str:
     return f"{literal_path(folder)}/*.json"
 
 
-def read_pieces(spark: SparkSession, *patterns: str) -> DataFrame:
-    return with_position(
-        spark.read.format("text").options(**text_options()).load(list(patterns))
-    )
+def read_pieces(spark: SparkSession, *patterns: str, cut_at: str = "]") -> DataFrame:
+    options = text_options(cut_at)
+    return with_position(spark.read.format("text").options(**options).load(list(patterns)))
 
 
 def with_position(df: DataFrame) -> DataFrame:
@@ -100,27 +107,31 @@ def read_json_rows(
     ``cells`` is NULL for an element that is no array.  The rows are read from ``staging``;
     a caller that gives one clears it when the rows are no longer needed.
     """
-    pieces = read_pieces(spark, file_pattern(folder))
     staging = staging or Staging(spark, scratch_dir(spark, "json-rows"))
-    return parse_documents(pieces, folder, staging, lambda rows: rows.drop("raw")).rows
+    listed = [f for f in file_stamps(spark, file_pattern(folder)) if f[1] and not is_hidden(f[0])]
+    pieces = read_pieces(spark, file_pattern(folder))
+    listed = spark.createDataFrame(listed, STAMPS)
+    return parse_documents(pieces, folder, staging, lambda rows: rows.drop("raw"), listed).rows
 
 
 def parse_documents(
-    pieces: DataFrame, folder: str, staging: Staging, typer: Typer
+    pieces: DataFrame,
+    folder: str,
+    staging: Staging,
+    typer: Typer,
+    listed: DataFrame | None = None,
 ) -> Documents:
     """Parse the pieces of any number of files of one folder.
 
+    A file whose only piece is too long gives none.  It is read where ``listed`` (columns
+    ``STAMPS``) names it; ``pieces`` alone cannot tell of it.
+
     ``typer`` maps rows with ``raw`` (text of the element) and ``cells`` (array of
     strings, NULL if the element is no array) to the columns to keep.  Rows it gives a
     ``reason`` count as rejected.
     """
     flat = staging.put("flat", typer(_flat_rows(_with_order(pieces))))
     blocks = staging.put("blocks", _judge_flat(flat))
-    sizes = blocks.agg(
-        F.count("*").alias("blocks"),
-        F.count_distinct(F.when(~F.col("flat"), F.col("file"))).alias("others"),
-    ).first()
-
     kept = [c for c in flat.columns if c not in _PIECE_COLUMNS]
     starts = blocks.where("flat").select("file", "block", "first_mid", "before")
     rows = (
@@ -135,15 +146,24 @@ def parse_documents(
         .agg(F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected"))
         .select("file", F.lit(LOADED).alias("status"), *_counts())
     )
-    if sizes.others:
-        # Read again by name, so that no regular file is; names only come to the driver.
+    flat_files = blocks.where("flat").select("file").distinct()
+    if listed is None:
+        stamps = blocks.groupBy("file").agg(
+            F.max("file_size").alias("file_size"), F.max("modified_ms").alias("modified_ms")
+        )
         others = blocks.where("NOT flat").select("file").distinct()
-        general = _general(_with_order(named_pieces(staging.spark, folder, others)), staging, typer)
+    else:
+        stamps = listed.select("file", "file_size", "modified_ms")
+        others = stamps.select("file").join(flat_files, "file", "left_anti")
+    if not others.isEmpty():
+        # Read again by name, so that no regular file is; names only come to the driver.
+        cut = named_pieces(staging.spark, folder, others, cut_at=",")
+        general = _general(cut, staging, typer)
         rows = rows.unionByName(general.rows.select(rows.columns))
-        files = files.unionByName(general.files)
-    stamps = blocks.groupBy("file").agg(
-        F.max("file_size").alias("file_size"), F.max("modified_ms").alias("modified_ms")
-    )
+        nothing = [F.lit(0).cast("bigint").alias(c) for c in ("rows_ok", "rows_rejected")]
+        unread = others.join(general.files, "file", "left_anti")
+        unread = unread.select("file", F.lit(ELEMENT_TOO_LARGE).alias("status"), *nothing)
+        files = files.unionByName(general.files).unionByName(unread)
     return Documents(rows, files.join(stamps, "file"))
 
 
@@ -153,10 +173,12 @@ def no_pieces(spark: SparkSession) -> DataFrame:
     )
 
 
-def named_pieces(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
+def named_pieces(
+    spark: SparkSession, folder: str, files: DataFrame, cut_at: str = "]"
+) -> DataFrame:
     """The pieces of some files of a folder."""
     names = [literal_path(f"{folder.rstrip('/')}/{r.file}") for r in files.collect()]
-    return read_pieces(spark, *names)
+    return read_pieces(spark, *names, cut_at=cut_at)
 
 
 def _with_order(pieces: DataFrame) -> DataFrame:
@@ -308,122 +330,20 @@ def _total_before(amount: Column, window: Window) -> Column:
     return F.coalesce(F.sum(amount).over(window), F.lit(0))
 
 
-def _depth_change(value: Column, inside: Column) -> Column:
-    """Brackets opened less brackets closed outside strings, without the cut itself."""
-    text = F.concat(F.when(inside, '"').otherwise(""), value)
-    bare = F.regexp_replace(text, STRING_LITERAL, "")
-    return _count(bare, "[") + _count(bare, "{") - _count(bare, "}")
-
-
 def _general(pieces: DataFrame, staging: Staging, typer: Typer) -> Documents:
-    in_block = ("file", "block", "part")
-    order = ("block", "part")
-    before = _earlier("mid", within=in_block)
-    pieces = pieces.withColumn("part", F.shiftright("mid", PART_BITS))
-
-    # 1. Per piece, what it does to the string state, and to the depth for either state at
-    #    the start of its split.
-    quoted = pieces.withColumn("quotes", _quotes(F.col("value"))).withColumn(
-        "odd", _total_before(F.col("quotes"), before) % 2
-    )
-    # Later steps that only count leave the text itself unread.
-    body = F.btrim(F.col("value"), F.lit(BLANKS))
-    traced = staging.put(
-        "traced",
-        quoted.select(
-            *in_block, "file_size", "mid", "value", "quotes", "odd",
-            F.octet_length("value").cast("bigint").alias("bytes"),
-            (body == "").alias("blank"),
-            F.startswith(body, F.lit("[")).alias("opens_array"),
-            F.is_valid_utf8("value").alias("utf8"),
-            *[_step(F.col("odd") != start).alias(f"step{start}") for start in (0, 1)],
-        ),
-    )
-
-    # 2. String state and depth at the start of every split.
-    splits = traced.groupBy(*in_block, "file_size").agg(
-        F.sum("quotes").alias("quotes"),
-        F.sum("step0").alias("step0"),
-        F.sum("step1").alias("step1"),
-        F.count("*").alias("n"),
-        F.sum("bytes").alias("bytes"),
-        F.min("mid").alias("first_mid"),
-        F.max("mid").alias("last_mid"),
-    )
-    whole = Window.partitionBy("file")
-    at = F.struct(*order)
-    states = splits.select(
-        *in_block,
-        "first_mid",
-        "last_mid",
-        (_total_before(F.col("quotes"), _earlier(*order)) % 2).alias("state"),
-        "step0",
-        "step1",
-        (F.min(at).over(whole) == at).alias("first_block"),
-        (F.max(at).over(whole) == at).alias("last_block"),
-        # Pieces without a bracket of their own: the unfinished last one, if any.
-        (F.sum("n").over(whole) + F.sum("bytes").over(whole) - F.col("file_size")).alias("open"),
-    )
-    step = F.when(F.col("state") == 0, F.col("step0")).otherwise(F.col("step1"))
-    starts = states.select(
-        *[c for c in states.columns if c not in ("step0", "step1")],
-        _total_before(step, _earlier(*order)).alias("depth0"),
-    )
-
-    # 3. Depth around each piece.  An element ends where a cut returns to depth 1 or 0.
-    ends_open = F.col("last_block") & (F.col("mid") == F.col("last_mid")) & (F.col("open") == 1)
-    own_step = F.when(F.col("state") == 0, F.col("step0")).otherwise(F.col("step1"))
-    cut = (((F.col("state") + F.col("odd") + F.col("quotes")) % 2) == 0) & ~ends_open
-    levelled = (
-        traced.join(starts, list(in_block))
-        .withColumn("depth", F.col("depth0") + _total_before(own_step, before))
-        .withColumn("after", F.col("depth") + own_step + F.when(ends_open, 1).otherwise(0))
-        .withColumn("cut", cut)
-        .withColumn("ends", F.col("cut") & (F.col("after") <= 1))
-        .withColumn("is_first", F.col("first_block") & (F.col("mid") == F.col("first_mid")))
-        .withColumn("group0", _total_before(F.col("ends").cast("int"), before))
-    )
-    levelled = staging.put(
-        "levelled",
-        levelled.select(
-            *in_block, "mid", "value", "bytes", "blank", "opens_array", "utf8", "open",
-            "depth", "after", "cut", "ends", "is_first", "group0",
-            ((F.col("state") + F.col("odd")) % 2 == 0).alias("outside"),
-            (ends_open & ((F.col("state") + F.col("odd") + F.col("quotes")) % 2 != 0))
-            .alias("in_string"),
-        ),
-    )
-    verdicts = staging.put("verdicts", _structure(levelled))
-
-    # 4. Pieces of one element share a group number; join them.
-    counted = levelled.groupBy(*in_block).agg(
-        F.sum(F.col("ends").cast("int")).alias("ended"),
-        F.sum(F.col("bytes") + 1).alias("size"),
-    )
-    numbered = staging.put(
-        "numbered",
-        counted.select(
-            *in_block, "size", _total_before(F.col("ended"), _earlier(*order)).alias("base")
-        ),
-    )
-    grouped = (
-        levelled.join(_loaded(verdicts), "file", "left_semi")
-        .join(numbered.drop("size"), list(in_block))
-        .withColumn("group", F.col("base") + F.col("group0"))
-    )
-    too_large = _too_large(grouped, numbered)
-    if too_large is not None:
-        too_large = staging.put("too_large", too_large)
-        grouped = grouped.join(too_large, "file", "left_anti")
-        verdicts = verdicts.join(too_large.withColumn("large", F.lit(True)), "file", "left").select(
-            "file",
-            F.when((F.col("status") == LOADED) & F.col("large"), ELEMENT_TOO_LARGE)
-            .otherwise(F.col("status"))
-            .alias("status"),
-        )
-    elements = staging.put("elements", typer(_elements(grouped)))
+    """Files cut at every comma, in one reading (see ``json_trace``).
 
-    # 5. A file with one unreadable element is rejected as a whole.
+    The sums of the splits, one line each, tell where every split stands in its document;
+    only text of elements that a split or a batch has cut is shuffled.
+    """
+    cut = pieces.select("value", "file", "file_size", "block")
+    trace = staging.put("trace", cut.mapInArrow(trace_elements, TRACE))
+    splits = _split_starts(trace.where("odd IS NOT NULL").drop("text"))
+    splits = staging.put("splits", splits)
+    verdicts = staging.put("verdicts", _structure(splits))
+    elements = staging.put("elements", _elements(trace, splits, verdicts, typer))
+
+    # A file with one unreadable element is rejected as a whole.
     unreadable = elements.where("broken").select("file").distinct()
     files = verdicts.join(unreadable.withColumn("bad", F.lit(True)), "file", "left").select(
         "file", F.when(F.col("bad"), BAD_JSON).otherwise(F.col("status")).alias("status")
@@ -440,166 +360,143 @@ def _general(pieces: DataFrame, staging: Staging, typer: Typer) -> Documents:
             *[F.when(loaded, F.coalesce(c, F.lit(0))).otherwise(0) for c in _counts()],
         ).toDF("file", "status", "rows_ok", "rows_rejected"),
     )
-    return Documents(
-        _numbered(elements.join(_loaded(files), "file", "left_semi")), files
-    )
+    return Documents(elements.join(_loaded(files), "file", "left_semi").drop("broken"), files)
 
 
-def _loaded(files: DataFrame) -> DataFrame:
-    return files.where(F.col("status") == LOADED).select("file")
+def _split_starts(sums: DataFrame) -> DataFrame:
+    """The sums of each split from its true start, with its depth and first element there."""
+    whole = Window.partitionBy("file")
+    state = _total_before(F.col("odd"), _earlier("block", within=("file", "start"))) % 2
+    read = sums.withColumn("state", state).where(F.col("start") == F.col("state"))
+    depth = _total_before(F.col("step"), _earlier("block"))
+    placed = read.withColumn("depth", depth).select(
+        "*",
+        (F.min("block").over(whole) == F.col("block")).alias("first_split"),
+        (F.max("block").over(whole) == F.col("block")).alias("last_split"),
+        # Every piece but the last of the file ends in a comma.
+        (F.col("file_size") + 1 - F.sum(F.col("bytes") + F.col("pieces")).over(whole))
+        .alias("missing"),
+    )
+    ended = F.when(F.expr(AT_TOP), F.col("k")).otherwise(0)
+    tail = ~F.col("last_split") & F.coalesce(F.col("after") + F.col("depth") == 1, F.lit(False))
+    closed = placed.withColumn("closed", ended + tail.cast("int"))
+    return closed.select(
+        "*",
+        _total_before(F.col("closed"), _earlier("block")).alias("base"),
+        F.sum("closed").over(whole).alias("last_element"),
+    )
 
 
-def _too_large(grouped: DataFrame, numbered: DataFrame) -> DataFrame | None:
-    """Files with an element no string value can hold; None if there cannot be any.
+# The record ends at, or follows, a comma between elements.
+AT_TOP = "floor + depth = 1"
 
-    An element reaches past the split it starts in only if it is still open at the start
-    of the next ones, so sizes of splits bound it.  Only files over that bound are summed
-    up element by element.
-    """
-    order = Window.partitionBy("file").orderBy("block", "part")
-    bound = numbered.withColumn("ahead", F.lag("size", 1, 0).over(order)).groupBy("file", "base")
-    bound = bound.agg((F.sum("size") + F.max("ahead")).alias("bound"))
-    suspects = bound.where(F.col("bound") > MAX_ELEMENT_BYTES).select("file").distinct()
-    if suspects.isEmpty():
-        return None
-    sizes = grouped.join(suspects, "file", "left_semi").groupBy("file", "group").agg(
-        F.sum(F.col("bytes") + 1).alias("size")
-    )
-    return sizes.where(F.col("size") > MAX_ELEMENT_BYTES).select("file").distinct()
 
-
-def _step(inside: Column) -> Column:
-    """Depth change of a piece with its cut, given the string state at its start."""
-    ends_inside = (inside.cast("int") + F.col("quotes")) % 2 != 0
-    return _depth_change(F.col("value"), inside) - F.when(ends_inside, 0).otherwise(1)
+def _loaded(files: DataFrame) -> DataFrame:
+    return files.where(F.col("status") == LOADED).select("file")
 
 
-def _structure(levelled: DataFrame) -> DataFrame:
+def _structure(splits: DataFrame) -> DataFrame:
     """Status of each file as far as brackets and quotes tell."""
-    beyond = ~F.col("is_first") & (F.col("depth") <= 0)
-    facts = levelled.groupBy("file").agg(
-        F.bool_or(F.col("is_first") & ~F.col("opens_array")).alias("no_array"),
-        F.bool_or(F.col("after") < 0).alias("negative"),
-        F.bool_or(beyond & (F.col("cut") | ~F.col("blank"))).alias("tail"),
-        F.count_if(F.col("cut") & (F.col("after") == 0)).alias("closed"),
-        F.bool_or("in_string").alias("in_string"),
-        F.bool_and("utf8").alias("utf8"),
-        F.first("open").alias("open"),
-    )
-    sound = (
-        ~F.col("negative")
-        & ~F.col("tail")
-        & (F.col("closed") == 1)
-        & ~F.col("in_string")
-        & F.col("utf8")
-        & F.col("open").isin(0, 1)
+    # The document closes once, with its last bracket, and never before.
+    lowest = F.col("low") + F.col("depth")
+    ends = (
+        (lowest == 0)
+        & (F.col("n_low") == 1)
+        & (F.col("depth") + F.col("step") == 0)
+        & ((F.col("state") + F.col("odd")) % 2 == 0)
+    )
+    sound = ~F.col("bad") & F.when(F.col("last_split"), ends).otherwise(lowest >= 1)
+    sound = F.coalesce(sound, ~F.col("bad") & ~F.col("last_split"))
+    facts = splits.groupBy("file").agg(
+        F.bool_or(F.col("first_split") & ~F.col("opens_array")).alias("no_array"),
+        F.bool_and(sound).alias("sound"),
+        F.first("missing").alias("missing"),
     )
     return facts.select(
         "file",
-        F.when(F.col("no_array"), ROOT_NOT_ARRAY)
-        .when(sound, LOADED)
+        F.when(F.col("missing") >= MAX_TEXT_BYTES, ELEMENT_TOO_LARGE)
+        .when(F.col("no_array"), ROOT_NOT_ARRAY)
+        .when(F.col("sound") & (F.col("missing") == 0), LOADED)
         .otherwise(BAD_JSON)
         .alias("status"),
     )
 
 
-def _elements(grouped: DataFrame) -> DataFrame:
-    """One line per element: its group, its number ``i`` there, its text and its cells.
+def _elements(
+    trace: DataFrame, splits: DataFrame, verdicts: DataFrame, typer: Typer
+) -> DataFrame:
+    """file, pos, broken and what the typer makes of (raw, cells), one line per element.
 
-    A group that ends at depth 1 holds exactly one array, its last element: the bracket
-    that ends it.  The group that closes the document holds none.  ``broken`` marks what
-    cannot be read, ``mixed`` groups of more than the array.
+    ``broken`` marks what cannot be read.  An element no string can hold is a rejected row.
     """
-    # Blanks after the end of the document form a last group without an end.  They and
-    # the pieces that are a whole group, mostly all, need no shuffle.
-    opens = F.col("is_first") | (F.col("outside") & (F.col("depth") <= 1))
-    alone = opens & F.col("ends")
-    columns = ("file", "group", "after", "is_first")
-    single = grouped.where(alone).select(*columns, F.col("value").alias("text"))
-    pieces = F.transform(
-        F.sort_array(F.collect_list(F.struct("block", "mid", "value"))), lambda p: p["value"]
-    )
+    states = splits.select("file", "block", "start", "depth", "base", "last_element")
+    records = (
+        trace.select("file", "block", "start", "seq", "floor", "k", "whole", "text")
+        .join(states.join(_loaded(verdicts), "file", "left_semi"), ["file", "block", "start"])
+        .withColumn("pos", F.col("base") + F.when(F.expr(AT_TOP), F.col("k")).otherwise(0))
+        .withColumn("alone", F.col("whole") & F.expr(AT_TOP))
+    )
+    key = ["file", "pos", "last_element"]
+    parts = records.where("NOT alone")
+    sizes = parts.groupBy(*key).agg(F.sum(F.octet_length("text") + 1).alias("size"))
+    too_long = F.octet_length("text") > MAX_TEXT_BYTES
+    large = (
+        sizes.where(F.col("size") > MAX_TEXT_BYTES)
+        .select(*key)
+        .unionByName(records.where(F.col("alone") & too_long).select(*key))
+    )
+    listed = F.sort_array(F.collect_list(F.struct("block", "seq", F.col("text").cast("string").alias("text"))))
     joined = (
-        grouped.where(~alone)
-        .groupBy("file", "group")
-        .agg(
-            F.max(F.when(F.col("ends"), F.col("after"))).alias("after"),
-            F.bool_or("is_first").alias("is_first"),
-            F.array_join(pieces, "]").alias("text"),
-        )
-        .where("after IS NOT NULL")
-        .select(*columns, "text")
+        parts.join(large, key, "left_anti")
+        .groupBy(*key)
+        .agg(F.array_join(F.transform(listed, lambda p: p["text"]), ",").alias("text"))
     )
-    text = F.btrim("text", F.lit(BLANKS))
-    whole = single.unionByName(joined).select(
-        "file",
-        "group",
-        (F.col("after") == 1).alias("has_array"),
-        "is_first",
-        F.substring(text, 1, 1).alias("lead"),
-        F.btrim(F.substring(text, 2, 2**31 - 1), F.lit(BLANKS)).alias("inner"),
-    )
-    # "[" opens the document, "," continues it, nothing at all closes it.
-    led = F.col("lead") == F.when(F.col("is_first"), "[").otherwise(",")
-    has_array, inner = F.col("has_array"), F.col("inner")
-    no_texts = F.array().cast("array<string>")
     texts = (
-        F.when(~F.col("is_first") & ~has_array & (F.col("lead") == ""), no_texts)
-        .when(~led, F.lit(None))
-        .when(has_array & F.startswith(inner, F.lit("[")), F.array(F.concat(inner, F.lit("]"))))
-        # "[" alone is an empty document, "," alone promises an element.
-        .when(~has_array & (inner == ""), F.when(F.col("is_first"), no_texts))
-        .otherwise(
-            _cells(F.concat(F.lit("["), inner, F.when(has_array, "]]").otherwise("]")))
-        )
-    )
-    listed = whole.select("file", "group", "has_array", texts.alias("texts"))
-    items = F.coalesce("texts", F.array(F.lit(None).cast("string")))
-    placed = listed.select(
-        "file",
-        "group",
-        F.col("texts").isNull().alias("unread"),
-        F.col("has_array"),
-        F.size("texts").alias("n"),
-        F.posexplode(items).alias("i", "raw"),
-    )
-    is_array = F.col("has_array") & (F.col("i") == F.col("n") - 1)
-    parsed = placed.withColumn("is_array", is_array).withColumn(
-        "cells", F.when(F.col("is_array"), _cells(F.col("raw")))
-    )
-    return parsed.select(
+        records.where(F.col("alone") & ~too_long)
+        .select(*key, F.col("text").cast("string").alias("text"))
+        .unionByName(joined)
+        .withColumn("large", F.lit(False))
+        .unionByName(large.select(*key, F.lit(None).alias("text"), F.lit(True).alias("large")))
+    )
+    # The brackets of the document itself.
+    first, last = F.col("pos") == 0, F.col("pos") == F.col("last_element")
+    bodies = (
+        texts.withColumn("body", F.btrim("text", F.lit(BLANKS)))
+        .withColumn("body", F.when(first, F.expr("substring(body, 2)")).otherwise(F.col("body")))
+        .withColumn("body", F.when(last, F.expr("left(body, length(body) - 1)")).otherwise(F.col("body")))
+        .withColumn("body", F.btrim("body", F.lit(BLANKS)))
+        # Nothing but blanks may follow the bracket that closes the document.
+        .withColumn("sound", F.is_valid_utf8("text") & (~last | F.endswith(F.rtrim("text", F.lit(BLANKS)), F.lit("]"))))
+        .where(F.col("large") | ~(first & last & (F.col("body") == "") & F.col("sound")))
+    )
+    boxed = F.concat(F.lit("["), F.col("body"), F.lit("]"))
+    is_array = F.startswith("body", F.lit("["))
+    as_array = F.from_json(boxed, "array<array<string>>", JSON_OPTIONS)
+    read = bodies.select(
         "file",
-        "group",
-        "i",
-        (F.col("unread") | (F.col("is_array") & F.col("cells").isNull())).alias("broken"),
-        (F.col("has_array") & (F.col("n") != 1)).alias("mixed"),
-        F.coalesce("raw", F.lit("null")).alias("raw"),
-        "cells",
-    )
-
-
-def _numbered(elements: DataFrame) -> DataFrame:
-    """Number the elements through each file.
-
-    Where every group is one row, its number is the position.  Files with other elements
-    between the rows count what their groups hold, chunk by chunk.
-    """
-    kept = [c for c in elements.columns if c not in ("file", "group", "i", "broken", "mixed")]
-    by_group = F.col("group") + F.col("i")
-    uneven = elements.where("mixed").select("file").distinct()
-    if uneven.isEmpty():
-        return elements.select("file", by_group.alias("pos"), *kept)
-
-    even = elements.join(uneven, "file", "left_anti").withColumn("pos", by_group)
-    chunked = elements.join(uneven, "file", "left_semi").withColumn(
-        "chunk", F.floor(F.col("group") / 100_000)
-    )
-    totals = chunked.groupBy("file", "chunk").agg(F.count("*").alias("n"))
-    bases = totals.select(
-        "file", "chunk", _total_before(F.col("n"), _earlier("chunk")).alias("base")
-    )
-    inside = F.row_number().over(Window.partitionBy("file", "chunk").orderBy("group", "i"))
-    counted = chunked.join(bases, ["file", "chunk"]).withColumn(
-        "pos", F.col("base") + inside - 1
+        "pos",
+        "large",
+        "sound",
+        "body",
+        is_array.alias("is_array"),
+        F.when(is_array, as_array).alias("arrays"),
+        F.when(~is_array, _cells(boxed)).alias("values"),
+    )
+    one = F.when(F.col("is_array"), F.size("arrays") == 1).otherwise(F.size("values") == 1)
+    one = one & F.col("sound") & (~F.col("is_array") | F.expr("get(arrays, 0)").isNotNull())
+    typed = typer(
+        read.select(
+            "file",
+            "pos",
+            "large",
+            (~F.col("large") & ~F.coalesce(one, F.lit(False))).alias("broken"),
+            F.when(F.col("is_array"), F.col("body"))
+            .otherwise(F.coalesce(F.expr("get(values, 0)"), F.lit("null")))
+            .alias("raw"),
+            F.expr("get(arrays, 0)").alias("cells"),
+        )
     )
-    return even.select("file", "pos", *kept).unionByName(counted.select("file", "pos", *kept))
+    if "reason" in typed.columns:
+        reason = F.when(F.col("large"), ELEMENT_TOO_LARGE).otherwise(F.col("reason"))
+        typed = typed.withColumn("reason", reason)
+    return typed.drop("large")

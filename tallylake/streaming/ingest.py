@@ -133,7 +133,8 @@ def _load_left(
     same = F.col("file_size").eqNullSafe(F.col("known_size")) & F.col("modified_ms").eqNullSafe(
         F.col("known_ms")
     )
-    # A listed file without a line in the audit held nothing when the stream read it.
+    # A listed file without a line in the audit gave the stream nothing: it was empty, hidden,
+    # or one piece too long to be held.
     left = staging.put(
         "left",
         seen.join(known, "file", "left").where(
@@ -144,12 +145,12 @@ def _load_left(
         return []
     unread = F.when(F.col("hidden"), HIDDEN_NAME).when(F.col("file_size") == 0, EMPTY_FILE)
     noted = left.withColumn("status", unread).where("status IS NOT NULL")
-    again = left.where(unread.isNull()).select("file")
+    again = left.where(unread.isNull())
     pieces = None if again.isEmpty() else named_pieces(spark, folder, again)
     seq = tables.last_seq(spark, tables.transactions(root)) + 1
     if seq and seq % COMMITS_PER_BATCH == 0:
         raise ValueError(f"too many loads of mended files between two batches of {root}")
-    _load_batch(pieces, seq, folder, root, staging, stamp, null_as_text, noted)
+    _load_batch(pieces, seq, folder, root, staging, stamp, null_as_text, again, noted)
     return [seq]
 
 
@@ -161,6 +162,7 @@ def _load_batch(
     staging: Staging,
     stamp: int,
     null_as_text: bool,
+    listed: DataFrame | None = None,
     noted: DataFrame | None = None,
 ) -> None:
     """Load the pieces of some files, and note files that cannot be read, in one commit."""
@@ -172,14 +174,13 @@ def _load_batch(
     if batch is None:
         batch = no_pieces(staging.spark)
     documents = parse_documents(
-        batch, folder, staging, lambda rows: type_cells(rows, null_as_text)
+        batch, folder, staging, lambda rows: type_cells(rows, null_as_text), listed
     )
     rows, files = documents.rows, documents.files
     if noted is not None:
         nothing = [F.lit(0).cast("bigint").alias(c) for c in ("rows_ok", "rows_rejected")]
-        files = files.unionByName(
-            noted.select("file", "status", *nothing, "file_size", "modified_ms")
-        )
+        noted = noted.select("file", "status", *nothing, "file_size", "modified_ms")
+        files = files.unionByName(noted)
 
     bad_rows = rows.where("reason IS NOT NULL").select("file", "pos", "raw", "reason")
     bad_files = files.where(F.col("status") != LOADED).select(

@@ -248,3 +248,13 @@ def test_crash_while_loading_a_mended_file(spark, tmp_path, lake, monkeypatch, a
     assert ids(spark, lake) == [1, 2, 3]
     found = tables.rejected(spark, lake).where("reason = 'BAD_SHAPE'").count()
     assert found == 1
+
+
+def test_a_file_of_one_long_piece(spark, tmp_path, lake):
+    """An array of objects has no inner bracket; its places are those of its objects."""
+    folder = tmp_path / "in"
+    put(folder, objects='[{"a":"' + "x" * (1 << 20) + '"},{"b":1}]', good=document(1))
+    summary = ingest_new(spark, str(folder), lake)
+    assert (summary.files, summary.rows_ok, summary.rows_rejected) == (2, 1, 2)
+    assert rejects(spark, lake) == {("objects", i, "BAD_SHAPE") for i in range(2)}
+    assert ingest_new(spark, str(folder), lake).batches == 0

@@ -7,7 +7,11 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from tallylake.functions.cells import type_cells
 from tallylake.sources import json_documents as jd
+from tallylake.sources.paths import file_stamps
 from tallylake.sources.staging import Staging
 
 TRICKY = ["]", "[", "],[", "]]", '"', "\\", "\\\\", '\\"', ",", "{", "}", "é", "\n", "x", " ", ":"]
@@ -92,8 +96,7 @@ def same_cell(cell: str | None, value) -> bool:
 
 
 @pytest.mark.parametrize("split_bytes, count", [(64, 12), (300, 40), (1 << 27, 240)])
-def test_random_documents(spark, tmp_path, monkeypatch, split_bytes, count):
-    monkeypatch.setattr(jd, "PART_BITS", 2 if split_bytes < 1000 else 18)
+def test_random_documents(spark, tmp_path, split_bytes, count):
     rng = random.Random(split_bytes)
     documents = {}
     folder = tmp_path / "in"
@@ -108,6 +111,7 @@ def test_random_documents(spark, tmp_path, monkeypatch, split_bytes, count):
         (folder / f"f{i}.json").write_text(text, encoding="utf-8", newline="")
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
     try:
         pieces = jd.read_pieces(spark, jd.file_pattern(str(folder)))
         staging = Staging(spark, str(tmp_path / "staging"))
@@ -120,6 +124,7 @@ def test_random_documents(spark, tmp_path, monkeypatch, split_bytes, count):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
     assert set(status) == set(documents)
     kinds = set()
@@ -150,18 +155,68 @@ def test_odd_file_names(spark, tmp_path):
     assert len(rows) == 16
 
 
-def test_a_large_element_rejects_its_file(spark, tmp_path, monkeypatch):
+def test_a_large_element_is_rejected_alone(spark, tmp_path, monkeypatch):
+    """Whether or not a bracket in it sends its file the longer way."""
     folder = tmp_path / "in"
     folder.mkdir()
-    (folder / "long.json").write_text('[[1,"' + "x]" * 400 + '"],[2]]')
-    (folder / "short.json").write_text('[[1,"' + "x]" * 40 + '"],[2]]')
-    monkeypatch.setattr(jd, "MAX_ELEMENT_BYTES", 500)
+    row = '[1,2,3,"{}",4,"USD",1,5]'
+    for name, inner in (("brackets", "x],"), ("plain", "xx,")):
+        rows = [row.format(inner * n) for n in (1, 400, 2)]
+        (folder / f"{name}.json").write_text(f"[{','.join(rows)}, {{}}]")
+    (folder / "uncut.json").write_text('[["' + "x" * 2000 + '"]]')
+    monkeypatch.setattr(jd, "FLAT_PIECE_BYTES", 400)
+    monkeypatch.setattr(jd, "MAX_TEXT_BYTES", 1000)
     pieces = jd.read_pieces(spark, jd.file_pattern(str(folder)))
     staging = Staging(spark, str(tmp_path / "staging"))
-    parsed = jd.parse_documents(pieces, str(folder), staging, lambda r: r.drop("raw"))
-    status = {r.file: r.status for r in parsed.files.collect()}
-    assert status == {"long.json": jd.ELEMENT_TOO_LARGE, "short.json": jd.LOADED}
-    assert {r.file for r in parsed.rows.collect()} == {"short.json"}
+    listed = spark.createDataFrame(file_stamps(spark, f"{folder}/*"), jd.STAMPS)
+    parsed = jd.parse_documents(pieces, str(folder), staging, type_cells, listed)
+    status = {r.file: (r.status, r.rows_ok, r.rows_rejected) for r in parsed.files.collect()}
+    assert status == {
+        "brackets.json": (jd.LOADED, 2, 2),
+        "plain.json": (jd.LOADED, 2, 2),
+        "uncut.json": (jd.ELEMENT_TOO_LARGE, 0, 0),
+    }
+    for name, inner in (("brackets.json", "x],"), ("plain.json", "xx,")):
+        rows = sorted(parsed.rows.where(F.col("file") == name).collect(), key=lambda r: r.pos)
+        assert [r.reason for r in rows] == [None, jd.ELEMENT_TOO_LARGE, None, "BAD_SHAPE"]
+        assert [rows[i].username for i in (0, 2)] == [inner, inner * 2]
+
+
+def test_objects_are_parsed_in_many_tasks(spark, tmp_path):
+    """A document without an inner bracket is cut like any other."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    items = [{"id": i, "note": "x" * 40} for i in range(40_000)]
+    (folder / "one.json").write_text(json.dumps(items))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        staging = Staging(spark, str(tmp_path / "staging"))
+        rows = jd.read_json_rows(spark, str(folder), staging)
+        assert rows.selectExpr("count(*)", "min(pos)", "max(pos)", "count(cells)").first()[:] == (
+            40_000, 0, 39_999, 0
+        )
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    trace = spark.read.parquet(f"{staging.folder}/trace").where("whole")
+    per_task = trace.groupBy(F.input_file_name()).count().collect()
+    assert len(per_task) > 8 and max(r["count"] for r in per_task) < 8_000
+
+
+def test_an_element_longer_than_many_batches(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    long = ["]" + "y" * 60] * 60_000
+    rows = [[1, "a"], long, [2, "b"], {"k": long}, [3, "c"]]
+    (folder / "one.json").write_text(json.dumps(rows))
+    for batch in ("10000", "7"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            found = jd.read_json_rows(spark, str(folder)).collect()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        cells = {r.pos: r.cells for r in found}
+        assert sorted(cells) == [0, 1, 2, 3, 4]
+        assert cells[1] == long and cells[3] is None and cells[4] == ["3", "c"]
 
 
 def test_rows_of_one_file_are_parsed_in_many_tasks(spark, tmp_path):
