@@ -155,9 +155,10 @@ def parse_documents(
     else:
         stamps = listed.select("file", "file_size", "modified_ms")
         others = stamps.select("file").join(flat_files, "file", "left_anti")
-    if not others.isEmpty():
-        # Read again by name, so that no regular file is; names only come to the driver.
-        cut = named_pieces(staging.spark, folder, others, cut_at=",")
+    # Read again by name, so that no regular file is; names only come to the driver.
+    names = [r.file for r in others.collect()]
+    if names:
+        cut = named_pieces(staging.spark, folder, names, cut_at=",")
         general = _general(cut, staging, typer)
         rows = rows.unionByName(general.rows.select(rows.columns))
         nothing = [F.lit(0).cast("bigint").alias(c) for c in ("rows_ok", "rows_rejected")]
@@ -174,11 +175,11 @@ def no_pieces(spark: SparkSession) -> DataFrame:
 
 
 def named_pieces(
-    spark: SparkSession, folder: str, files: DataFrame, cut_at: str = "]"
+    spark: SparkSession, folder: str, names: list[str], cut_at: str = "]"
 ) -> DataFrame:
     """The pieces of some files of a folder."""
-    names = [literal_path(f"{folder.rstrip('/')}/{r.file}") for r in files.collect()]
-    return read_pieces(spark, *names, cut_at=cut_at)
+    paths = [literal_path(f"{folder.rstrip('/')}/{name}") for name in names]
+    return read_pieces(spark, *paths, cut_at=cut_at)
 
 
 def _with_order(pieces: DataFrame) -> DataFrame:
@@ -431,15 +432,15 @@ def _elements(
     """
     states = splits.select("file", "block", "start", "depth", "base", "last_element")
     records = (
-        trace.select("file", "block", "start", "seq", "floor", "k", "whole", "text")
+        trace.select("file", "block", "start", "seq", "floor", "k", "whole", "size", "text")
         .join(states.join(_loaded(verdicts), "file", "left_semi"), ["file", "block", "start"])
         .withColumn("pos", F.col("base") + F.when(F.expr(AT_TOP), F.col("k")).otherwise(0))
         .withColumn("alone", F.col("whole") & F.expr(AT_TOP))
     )
     key = ["file", "pos", "last_element"]
     parts = records.where("NOT alone")
-    sizes = parts.groupBy(*key).agg(F.sum(F.octet_length("text") + 1).alias("size"))
-    too_long = F.octet_length("text") > MAX_TEXT_BYTES
+    sizes = parts.groupBy(*key).agg(F.sum(F.col("size") + 1).alias("size"))
+    too_long = F.col("size") > MAX_TEXT_BYTES
     large = (
         sizes.where(F.col("size") > MAX_TEXT_BYTES)
         .select(*key)

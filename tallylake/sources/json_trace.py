@@ -23,13 +23,14 @@ import pyarrow.compute as pc
 # floor:  level of the comma that ends the record, or of the last cut before it
 # k:      records that ended at this level before
 # whole:  the record runs from one comma of this level to the next
+# size:   bytes of the text, so that counting them leaves the text unread
 # From here on in last rows only.
 # odd, step, low, n_low:  quotes modulo 2; change of depth; lowest depth after a bracket, and
 #         how often it was reached
 # after:  level after the last piece, NULL inside a string
 TRACE = (
     "file string, block bigint, start int, seq bigint, floor bigint, k bigint, whole boolean,"
-    " text binary, odd int, step bigint, low bigint, n_low bigint, after bigint, bad boolean,"
+    " size bigint, text binary, odd int, step bigint, low bigint, n_low bigint, after bigint, bad boolean,"
     " bytes bigint, pieces bigint, opens_array boolean, file_size bigint"
 )
 _TYPES = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(),
@@ -144,7 +145,7 @@ class _Guess:
         seq = np.arange(self.seq, self.seq + len(text))
         self.seq += len(text)
         return {"start": [self.start] * len(text), "seq": seq, "floor": floor, "k": k,
-                "whole": whole, "text": text}
+                "whole": whole, "size": pc.binary_length(text).cast(pa.int64()), "text": text}
 
 
 def _joined(texts: pa.Array, bounds: np.ndarray) -> pa.Array:

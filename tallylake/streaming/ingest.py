@@ -146,7 +146,8 @@ def _load_left(
     unread = F.when(F.col("hidden"), HIDDEN_NAME).when(F.col("file_size") == 0, EMPTY_FILE)
     noted = left.withColumn("status", unread).where("status IS NOT NULL")
     again = left.where(unread.isNull())
-    pieces = None if again.isEmpty() else named_pieces(spark, folder, again)
+    names = [r.file for r in again.select("file").collect()]
+    pieces = named_pieces(spark, folder, names) if names else None
     seq = tables.last_seq(spark, tables.transactions(root)) + 1
     if seq and seq % COMMITS_PER_BATCH == 0:
         raise ValueError(f"too many loads of mended files between two batches of {root}")
