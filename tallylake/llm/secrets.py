@@ -33,13 +33,29 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 TOKEN = re.compile(
     r"(?<![A-Za-z0-9_-])(e[w-z0-9_-][A-Za-z0-9_-]{6,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)"
 )
-PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----")
+# Escaped characters in JSON or code, and a line end after a backslash.
+_ESCAPED = re.compile(r"\\+(?:u00([0-9A-Fa-f]{2})|([nrt/])|\r?\n)")
+_PROC_TYPE = re.compile(r"Proc-Type:[\x20\t]*4,[\x20\t]*[A-Z-]+")
+_DEK_INFO = re.compile(r"DEK-Info:[\x20\t]*([A-Za-z0-9-]+)(?:,[\x20\t]*([0-9A-Fa-f]+))?")
+# Between string literals of adjacent lines, and comment marks before a line.
+_LITERALS = re.compile(r"[\"'`][\x20\t]*[+.,&]?\s*+[\"'`]")
+_LINE_MARK = re.compile(r"^[\x20\t]*(?:[#>*;|]+|//+(?=[\x20\t]))", re.MULTILINE)
 ENCODED = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
+_LINE_BREAK = (
+    r"(?:[\x20\t]|[\"'`][\x20\t]*+[+.,&]?|\\(?=\r?\n))*+(?:\\+[nr]|\r?\n)"
+    r"(?:[\x20\t\r\n#>*;|]|\\+[nr]|[\"'`](?:[\x20\t]*+[+.,&](?=\s))?|//+(?=[\x20\t]))*+"
+)
+#: Encoded lines, one after another; the n of an escaped line end is not one of theirs.
+WRAPPED = re.compile(
+    rf"(?:(?<=\\)[nr])?[A-Za-z0-9+/_-]{{40,}}+(?:{_LINE_BREAK}[A-Za-z0-9+/_-]++)+={{0,2}}"
+)
+_LINE = re.compile(r"(?:(?<=\\)[nr])?([A-Za-z0-9+/_-]+)")
+_JOINT = re.compile(_LINE_BREAK)
 HEX_BLOB = re.compile(r"[0-9A-Fa-f]{64,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 
 SEQUENCE, INTEGER, BIT_STRING, OCTET_STRING = 0x30, 0x02, 0x03, 0x04
-MAX_DEPTH = 16
 SSH_MAGIC = b"openssh-key-v1\0"
 SSH_NAMES = (b"ssh-", b"ecdsa-", b"sk-ssh-", b"sk-ecdsa-")
 
@@ -55,30 +71,36 @@ def from_base64(text: str) -> bytes | None:
         return None
 
 
-def der_elements(data: bytes, depth: int = 0) -> list[tuple[int, int]] | None:
+def der_elements(data: bytes) -> list[tuple[int, int]] | None:
     """(tag, length) of the elements that fill ``data``; None if lengths do not add up."""
-    found, at = [], 0
-    while at < len(data):
-        if at + 2 > len(data):
+    found: list[tuple[int, int]] = []
+    at, end, ends = 0, len(data), []
+    while True:
+        while at == end and ends:
+            end = ends.pop()
+        if at == end:
+            return found
+        if at + 2 > end:
             return None
         tag, length, at = data[at], data[at + 1], at + 2
         if tag & 0x1F == 0x1F:
             return None
         if length & 0x80:
             size = length & 0x7F
-            if not 1 <= size <= 4 or at + size > len(data):
+            if not 1 <= size <= 4 or at + size > end:
                 return None
             length, at = int.from_bytes(data[at : at + size], "big"), at + size
             if length < 0x80:
                 return None
-        if at + length > len(data):
+        if at + length > end:
             return None
+        if not ends:
+            found.append((tag, length))
         if tag & 0x20:
-            if depth >= MAX_DEPTH or der_elements(data[at : at + length], depth + 1) is None:
-                return None
-        found.append((tag, length))
-        at += length
-    return found
+            ends.append(end)
+            end = at + length
+        else:
+            at += length
 
 
 def is_der_key(data: bytes | None) -> bool:
@@ -154,15 +176,131 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
+def _unescaped(m: re.Match) -> str:
+    if m[1]:
+        return chr(int(m[1], 16))
+    return "/" if m[2] == "/" else "\n"
+
+
+def is_pem_key(body: str) -> bool:
+    """What lies between the lines of a PEM key: a key, or one encrypted as its headers say."""
+    body = _ESCAPED.sub(_unescaped, body)
+    encrypted = _DEK_INFO.search(body) if _PROC_TYPE.search(body) else None
+    body = _DEK_INFO.sub("", _PROC_TYPE.sub("", body))
+    body = _LINE_MARK.sub("", _LITERALS.sub("\n", body))
+    if ":" in body:
+        # Other headers end at the first blank line, or with the last line that has a colon.
+        tail = body[body.rindex(":") :]
+        blank = re.search(r"\n[\x20\t\r]*\n", tail)
+        body = tail[blank.end() :] if blank else tail.partition("\n")[2]
+    data = from_base64(re.sub(r"[\s\"'`,]+", "", body))
+    if encrypted and data:
+        start = len(encrypted[2] or "") // 2
+        whole = not encrypted[1].upper().endswith("CBC") or start > 0 and len(data) % start == 0
+        return len(data) >= 24 and whole
+    return is_der_key(data) or is_ssh_key(data)
+
+
+def pem_spans(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the private keys in PEM; a line end may be escaped."""
+    found = []
+    for m in PEM.finditer(text):
+        # Five dashes end the body, so each is searched for up to the next BEGIN only.
+        stop = text.find("-----", m.end())
+        last = f"-----END {m[1]}-----"
+        if stop >= 0 and text.startswith(last, stop) and is_pem_key(text[m.end() : stop]):
+            found.append((m.start(), stop + len(last)))
+    return found
+
+
+def holds_pem(data: bytes | None) -> bool:
+    return bool(data) and b"-----BEGIN " in data and bool(pem_spans(data.decode("latin-1")))
+
+
+def wrapped_spans(text: str) -> list[tuple[str, int, int]]:
+    """Keys in base64 that goes over several lines, each span from a line's start to a line's end."""
+    found = []
+    for block in WRAPPED.finditer(text):
+        lines, at = [], block.start()
+        while (line := _LINE.match(text, at, block.end())) is not None:
+            lines.append(line.span(1))
+            joint = _JOINT.match(text, line.end(), block.end())
+            if joint is None:
+                break
+            at = joint.end()
+        done = 0
+        for first, (start, _) in enumerate(lines):
+            if first < done:
+                continue
+            head = text[start : start + 4]
+            fresh = first == done or lines[first - 1][1] - lines[first - 1][0] != _width(lines, first)
+            if head[0] == "M":
+                last, kind = _der_end(text, lines, first), "der"
+            elif fresh or head in ("AAAA", "b3Bl"):
+                last, kind = _even_end(text, lines, first)
+            else:
+                continue
+            if last is None and fresh and head[0] == "M":
+                last, kind = _even_end(text, lines, first)
+            if last is None or last == first:
+                continue
+            end = block.end() if last == len(lines) - 1 else lines[last][1]
+            found.append((kind, start, end))
+            done = last + 1
+    return found
+
+
+def _width(lines: list[tuple[int, int]], at: int) -> int:
+    return lines[at][1] - lines[at][0]
+
+
+def _joined_lines(text: str, lines: list[tuple[int, int]]) -> bytes | None:
+    return from_base64("".join(text[a:b] for a, b in lines))
+
+
+def _der_end(text: str, lines: list[tuple[int, int]], first: int) -> int | None:
+    """The line with which the DER key that begins in line ``first`` ends."""
+    head = from_base64(text[lines[first][0] : lines[first][0] + 8]) if _width(lines, first) >= 8 else None
+    if not head or head[0] != SEQUENCE:
+        return None
+    size = head[1] & 0x7F if head[1] & 0x80 else 0
+    if size > 4:
+        return None
+    total = 2 + size + (int.from_bytes(head[2 : 2 + size], "big") if size else head[1])
+    need = (total * 8 + 5) // 6
+    last = first
+    while need > _width(lines, last):
+        need -= _width(lines, last)
+        last += 1
+        if last == len(lines):
+            return None
+    if need != _width(lines, last):
+        return None
+    return last if is_der_key(_joined_lines(text, lines[first : last + 1])) else None
+
+
+def _even_end(text: str, lines: list[tuple[int, int]], first: int) -> tuple[int | None, str]:
+    """As above for other keys: lines of one width, then at most one shorter line."""
+    last, width = first, _width(lines, first)
+    while last + 1 < len(lines) and _width(lines, last) == width >= _width(lines, last + 1):
+        last += 1
+    # A word of the next line may look like the last one.
+    for end in (last, last - 1):
+        if end > first:
+            data = _joined_lines(text, lines[first : end + 1])
+            if holds_pem(data):
+                return end, "pem"
+            if is_ssh_key(data):
+                return end, "ssh"
+    return None, "ssh"
+
+
 def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans whose decoded structure was confirmed."""
     found = []
     found += [("jwt", m.start(), m.end()) for m in TOKEN.finditer(text) if is_token(m[1], m[2])]
-    if "-----BEGIN " in text:
-        for m in PEM.finditer(text):
-            data = from_base64("".join(m[2].split()))
-            if is_der_key(data) or is_ssh_key(data):
-                found.append(("pem", m.start(), m.end()))
+    pems = pem_spans(text) if "-----BEGIN " in text else []
+    found += [("pem", start, end) for start, end in pems]
     blobs = []
     for run in ENCODED.finditer(text):
         blobs.append((run.start(), run.end(), from_base64(run[0])))
@@ -176,6 +314,14 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
             found.append(("der", start, end))
         elif is_ssh_key(data):
             found.append(("ssh", start, end))
+        elif holds_pem(data):
+            found.append(("pem", start, end))
+    if blobs:
+        found += [
+            (kind, start, end)
+            for kind, start, end in wrapped_spans(text)
+            if not any(a <= start and end <= b for a, b in pems)
+        ]
     return found
 
 

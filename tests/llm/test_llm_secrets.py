@@ -64,6 +64,66 @@ def test_structures_are_confirmed():
     assert _kinds(f"ssh-ed25519 {b64(SSH)} me") == ["ssh"]
 
 
+def _wrapped(text, width=64, end="\n"):
+    return end.join(re.findall(f".{{1,{width}}}", text))
+
+
+ENCRYPTED = (
+    "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC," + "0A" * 16
+    + "\n\n" + _wrapped(b64(b"\x91" * 608)) + "\n-----END RSA PRIVATE KEY-----"
+)
+
+
+@pytest.mark.parametrize(
+    "key",
+    [
+        json.dumps(PEM)[1:-1],
+        json.dumps(json.dumps(PEM))[3:-3],
+        json.dumps(PEM).replace("/", "\\/")[1:-1],
+        PEM.replace("\n", "\r\n"),
+        PEM.replace("\n", "\n# "),
+        PEM.replace("\n", '\\n" +\n    "'),
+        ENCRYPTED,
+        ENCRYPTED.replace("\n", "\\n"),
+        PEM.replace("KEY-----\n", "KEY-----\nComment: mine\n\n", 1),
+        b64(PEM.encode()),
+        b64(json.dumps({"private_key": PEM}).encode()),
+        _wrapped(b64(PEM.encode()), 76),
+    ],
+)
+def test_pem_in_other_spellings(key):
+    text = f'{{"private_key": "{key}", "x": 1}}'
+    at = text.index(key)
+    assert ("pem", at, at + len(key)) in secrets.confirmed_spans(text)
+    assert key[30:-30] not in secrets.mask(text, secrets.confirmed_spans(text))
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    ", "\\n", "\n# ", '"\n  "', '" +\n  "'])
+@pytest.mark.parametrize("width", [64, 76])
+@pytest.mark.parametrize("after", ["", "\nThe end of it", "\n" + "x" * 64])
+def test_wrapped_base64(end, width, after):
+    for kind, data in (("der", PKCS8), ("der", RSA), ("ssh", LONG_SSH)):
+        key = _wrapped(b64(data), width, end)
+        text = f'key = "{key}"' + after if after == "" else f"key:{end}{key}{after}"
+        at = text.index(key)
+        assert (kind, at, at + len(key)) in secrets.confirmed_spans(text)
+
+
+LONG_SSH = b"".join(struct.pack(">I", len(x)) + x for x in (b"ssh-rsa", b"\1\0\1", b"k" * 257))
+
+
+def test_deep_nesting_and_encrypted_bodies():
+    deep = b""
+    for _ in range(60):
+        deep = _der(0x30, deep)
+    key = _der(0x30, _der(2, b"\0") + deep + _der(4, RSA))
+    assert _kinds(b64(key)) == ["der"]
+    assert _kinds(ENCRYPTED.replace("DEK-Info", "Info")) == []
+    assert _kinds(ENCRYPTED.replace("kZGR", "", 1)) == []
+    assert _kinds(_wrapped(b64(RSA[:-3]))) == [] and _kinds(_wrapped(b64(RSA + b"\0\0\0"))) == []
+    assert _kinds("-----BEGIN PRIVATE KEY-----" * 20_000) == []
+
+
 def test_broken_structures_are_not():
     assert _kinds(".".join([url64(b'{"typ":"x"}'), url64(b"{}"), "s"])) == []
     assert _kinds(".".join([url64(b'{"alg"'), url64(b"{}"), "s"])) == []
