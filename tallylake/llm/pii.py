@@ -1,7 +1,7 @@
 """Personal data replaced by surrogates.
 
-Emails, telephone numbers, card numbers, IBANs, IPv4 addresses and titled names are found by
-pattern.  An entity is its kind and its canonical form, so all spellings of one entity, in all
+Emails, telephone, card and social security numbers, IBANs, IPv4 and IPv6 addresses and titled
+names are found by pattern.  An entity is its kind and its canonical form, so all spellings of one entity, in all
 documents, get the same surrogate.  The surrogate is drawn from a keyed hash; it has the kind's
 type, the entity's format digit by digit, and a name's gender and script.  Draws that meet an
 entity of the corpus, or another entity's surrogate, are drawn again until all are distinct.
@@ -50,22 +50,49 @@ FAMILY_SYLLABLES = 3
 _TITLES = "|".join(sorted(MALE_TITLES + FEMALE_TITLES + OPEN_TITLES, key=len, reverse=True))
 _NAME = r"\p{Lu}[\p{Ll}\p{M}]+(?:[-'’]\p{Lu}[\p{Ll}\p{M}]+)?"
 
-#: Kind and pattern, in the order in which they are tried at a place.
-PATTERNS = (
-    ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
-    ("iban", r"[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?"),
-    ("ip", r"(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)"),
-    ("card", r"\d{4}([\x20-]?)\d{4}\1\d{4}\1\d{4}|3[47]\d{2}[\x20-]?\d{6}[\x20-]?\d{5}"),
-    ("phone", r"\+1[\x20.-]?\(?\d{3}\)?[\x20.-]?\d{3}[\x20.-]?\d{4}"
-              r"|\+\d{1,3}[\x20.-]?\(?\d{2,4}\)?(?:[\x20.-]?\d{2,4}){2,4}"
-              r"|\(\d{3}\)\x20?\d{3}[\x20.-]\d{4}|\d{3}[\x20.-]\d{3}[\x20.-]\d{4}"),
-    ("name", rf"(?:{_TITLES})\.?\x20{_NAME}(?:\x20{_NAME}){{0,2}}"),
+_V4 = r"(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+_H = r"[0-9A-Fa-f]{1,4}"
+# All eight groups, or one run of zeros left out; the last two may be an IPv4 address.
+_V6 = "|".join(
+    [rf"(?:{_H}:){{6}}{_V4}", rf"(?:{_H}:){{1,5}}:(?:{_H}:){{0,4}}{_V4}", rf"::(?:{_H}:){{0,5}}{_V4}",
+     rf"(?:{_H}:){{7}}{_H}"]
+    + [rf"(?:{_H}:){{1,{n}}}(?::{_H}){{1,{7 - n}}}" for n in range(6, 0, -1)]
+    + [rf":(?::{_H}){{1,7}}", rf"(?:{_H}:){{1,7}}:"]
 )
-_BEFORE, _AFTER = r"(?<![\p{L}\p{N}_@+.-])", r"(?![\p{L}\p{N}_@]|\.\d)"
+
+#: Kind, what may not come before it, and pattern, in the order in which they are tried at a place.
+_KINDS = (
+    ("email", r"(?<![\p{L}\p{N}])",
+     r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
+    ("iban", r"(?<![\p{L}\p{N}_])",
+     r"[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?"),
+    # A word like a::b has no digit and is none; more groups than eight are none either.
+    ("ip6", r"(?<![\p{L}\p{N}_:])(?<!\d\.)(?=[0-9A-Fa-f]{0,4}:[0-9A-Fa-f:])(?=[A-Fa-f:]*[0-9])",
+     rf"(?:{_V6})(?!:|\.\d)"),
+    # A version of five parts is no address.
+    ("ip", r"(?<![\p{L}\p{N}_])(?<!\d\.)", _V4),
+    # Digits joined to digits before them are part of a longer number.
+    ("card", r"(?<![\p{L}\p{N}_])(?<!\d[.-])",
+     r"\d{4}([\x20-]?)\d{4}\1\d{4}\1\d{4}|3[47]\d{2}[\x20-]?\d{6}[\x20-]?\d{5}"),
+    ("ssn", r"(?<![\p{L}\p{N}_])(?<!\d[.-])",
+     r"(?!000|666)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?!-\d)"
+     r"|(?!000|666)\d{3}\x20(?!00)\d{2}\x20(?!0000)\d{4}(?!\x20\d)"),
+    ("phone", r"(?<![\p{L}\p{N}_])",
+     r"\+1[\x20.-]?\(?\d{3}\)?[\x20.-]?\d{3}[\x20.-]?\d{4}"
+     r"|\+\d{1,3}[\x20.-]?\(?\d{2,4}\)?(?:[\x20.-]?\d{2,4}){2,4}"
+     r"|(?<!\d[.-])(?:1[\x20.-]?)?\(\d{3}\)\x20?\d{3}[\x20.-]\d{4}"
+     r"|(?<!\d[.-])(?:1[.-])?\d{3}[\x20.-]\d{3}[\x20.-]\d{4}"),
+    ("name", r"(?<![\p{L}\p{N}_])", rf"(?:{_TITLES})\.?\x20{_NAME}(?:\x20{_NAME}){{0,2}}"),
+)
+PATTERNS = tuple((kind, pattern) for kind, _, pattern in _KINDS)
+_AFTER = r"(?![\p{L}\p{N}_@]|\.\d)"
 
 
 # Only the card's pattern has a group, so its back reference holds in the joined pattern too.
-ENTITY = _BEFORE + "(?:" + "|".join(pattern for _, pattern in PATTERNS) + ")" + _AFTER
+ENTITY = "(?:" + "|".join(f"{before}(?:{pattern})" for _, before, pattern in _KINDS) + ")" + _AFTER
+
+#: What every text with an entity holds: each pattern implies one of these.
+HOPEFUL = rf"[0-9]{{2}}|@|[0-9]\.[0-9]|::|[0-9A-Fa-f]:[0-9A-Fa-f]{{1,4}}:|(?:{_TITLES})\.?\x20"
 
 
 def _kind(entity: Column) -> Column:
@@ -83,11 +110,33 @@ def canonical(kind: Column, entity: Column) -> Column:
         F.when(kind == "email", F.lower(entity))
         .when(kind == "iban", F.regexp_replace(entity, r"\x20", ""))
         .when(kind == "ip", entity)
+        .when(kind == "ip6", _full_ip6(entity))
         .when(kind == "name", F.concat_ws(":", _gender(entity), bare))
         .otherwise(digits)
     )
 
 
+def _full_ip6(entity: Column) -> Column:
+    """All eight groups of an IPv6 address, four digits each."""
+    low = F.lower(entity)
+    v4 = F.split(F.regexp_extract(low, r"([0-9.]+)\z", 1), r"\.")
+    pair = lambda n: F.lpad(F.lower(F.hex(F.get(v4, n).cast("int"))), 2, "0")
+    tail = F.concat(pair(0), pair(1), F.lit(":"), pair(2), pair(3))
+    low = F.when(
+        F.instr(low, ".") > 0, F.concat(F.regexp_replace(low, r"[0-9.]+\z", ""), tail)
+    ).otherwise(low)
+    groups = lambda part: F.filter(F.split(part, ":"), lambda g: g != "")
+    left = groups(F.substring_index(low, "::", 1))
+    right = F.when(F.instr(low, "::") > 0, groups(F.substring_index(low, "::", -1))).otherwise(
+        F.array().cast("array<string>")
+    )
+    # Arrays cannot be repeated a negative number of times; eight groups leave none out.
+    zeros = F.array_repeat(F.lit("0"), F.greatest(8 - F.size(left) - F.size(right), F.lit(0)))
+    return F.array_join(
+        F.transform(F.concat(left, zeros, right), lambda g: F.lpad(g, 4, "0")), ":"
+    )
+
+
 def _title(name: Column) -> Column:
     return F.regexp_extract(name, rf"\A({_TITLES})", 1)
 
@@ -150,6 +199,12 @@ def _surrogate(seed: Column) -> Column:
     ip = F.concat_ws(
         ".", F.lit("10"), *[_draw(seed, n, 256).cast("string") for n in range(3)]
     )
+    # The prefix of documentation, then 96 bits.
+    ip6 = F.concat_ws(
+        ":",
+        F.lit("2001:0db8"),
+        *[F.lpad(F.lower(F.hex(_draw(seed, n, 65536))), 4, "0") for n in range(6)],
+    )
     # The country and the check digits' place stay as they are.
     iban = F.concat(F.substring(entity, 1, 2), _in_format(F.expr("substring(entity, 3)"), seed))
     # The first digit, which tells network or country, stays.
@@ -190,6 +245,7 @@ def _surrogate(seed: Column) -> Column:
     return (
         F.when(kind == "email", F.lower(email))
         .when(kind == "ip", ip)
+        .when(kind == "ip6", ip6)
         .when(kind == "iban", iban)
         .when(kind == "name", name)
         .otherwise(number)
@@ -252,7 +308,7 @@ def _spelled(kind: Column, found: Column, surrogate: Column) -> Column:
     )
     title = F.regexp_extract(found, rf"\A((?:{_TITLES})\.?\x20)", 1)
     return (
-        F.when(kind.isin("email", "ip"), surrogate)
+        F.when(kind.isin("email", "ip", "ip6"), surrogate)
         .when(kind == "name", F.concat(title, F.expr("substring(surrogate, 3)")))
         .otherwise(shaped)
     )
@@ -278,7 +334,7 @@ def surrogates(
         ).withColumn(
             "found",
             F.when(
-                F.col("text").rlike(r"[0-9]{2}|@") | F.col("text").rlike(rf"(?:{_TITLES})\.?\x20"),
+                F.col("text").rlike(HOPEFUL),
                 F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0)),
             ).otherwise(F.array().cast("array<string>")),
         ),

@@ -158,6 +158,37 @@ def test_surrogates_keep_format_gender_and_coreference(spark):
     assert pii.surrogates(docs.limit(0), "k").count() == 0
 
 
+def test_every_kind_is_found_wherever_it_stands(spark):
+    cases = [
+        ("Use the resolver 8.8.8.8 or 1.1.1.1 for this.", ["ip:8.8.8.8", "ip:1.1.1.1"]),
+        ("--john@x.com and .john@x.com", ["email:john@x.com"] * 2),
+        ("_john@x.com a.john@x.com", ["email:john@x.com", "email:a.john@x.com"]),
+        ("tel.415-555-1234", ["phone:415-555-1234"]),
+        ("-(212) 555-0199 or 1-800-555-1234", ["phone:(212) 555-0199", "phone:1-800-555-1234"]),
+        ("tel.+1 212 555 0199", ["phone:+1 212 555 0199"]),
+        ("1.1.1.1-8.8.8.8, root@9.9.9.9", ["ip:1.1.1.1", "ip:8.8.8.8", "ip:9.9.9.9"]),
+        ("no.4111-1111-1111-1111", ["card:4111-1111-1111-1111"]),
+        ("-DE89 3704 0044 0532 0130 00", ["iban:DE89 3704 0044 0532 0130 00"]),
+        ("--Mrs. Anna Berg", ["name:Mrs. Anna Berg"]),
+        ("SSN 123-45-6789, ssn.987 65 4321", ["ssn:123-45-6789", "ssn:987 65 4321"]),
+        ("2001:db8::1 and 2001:0DB8:0:0:0:0:0:1.", ["ip6:2001:db8::1", "ip6:2001:0DB8:0:0:0:0:0:1"]),
+        ("at ::1, a::1, [fe80::a:b]:8 or 1::.", ["ip6:::1", "ip6:a::1", "ip6:fe80::a:b", "ip6:1::"]),
+        ("::ffff:1.2.3.4 64:ff9b::1.2.3.4", ["ip6:::ffff:1.2.3.4", "ip6:64:ff9b::1.2.3.4"]),
+        ("a:b:c:d:e:f:1:2", ["ip6:a:b:c:d:e:f:1:2"]),
+        ("1.2.3.4.5 std::add add::bad 1:2:3 000-12-3456 1-4111-1111-1111-1111 12:30:45", []),
+        ("1:2:3:4:5:6:7:8:9 and 2024-01-01", []),
+    ]
+    docs = _docs(spark, [(i, t, "s") for i, (t, _) in enumerate(cases)], "entities")
+    rows = {r.doc_id: r for r in pii.surrogates(docs, "k").collect()}
+    for i, (text, expected) in enumerate(cases):
+        assert [f"{e.kind}:{text[e.start:e.end]}" for e in rows[i].entities] == expected
+        for e in rows[i].entities:
+            assert e.surrogate in rows[i].text and text[e.start : e.end] not in rows[i].text.split()
+    # Spellings of one address are one entity; the surrogate is an address again.
+    one, two = (e.surrogate for e in rows[11].entities)
+    assert one == two and re.fullmatch("2001:0db8(:[0-9a-f]{4}){6}", one)
+
+
 def test_surrogates_stay_distinct_when_draws_collide(spark, monkeypatch):
     # Draws from so few names that most of them collide.
     monkeypatch.setattr(pii, "SYLLABLES", {k: v[:2] for k, v in pii.SYLLABLES.items()})
