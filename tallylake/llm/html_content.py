@@ -62,10 +62,11 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
     re.DOTALL,
 )
+#: One whole attribute: its name and its value, quoted or not.
 _ATTRIBUTE = re.compile(
-    r"(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?",
-    re.IGNORECASE,
+    r"([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?"
 )
+_READ = frozenset("class id role hidden style aria-hidden".split())
 _RAW_END = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in RAW}
 _NAME_PART = re.compile(r"[A-Za-z]+")
 
@@ -160,8 +161,13 @@ def parse(page: str) -> list[Node]:
 
 def _read_attributes(raw: str) -> tuple[frozenset[str], bool]:
     hints, hidden = set(), False
+    seen = set()
     for m in _ATTRIBUTE.finditer(raw):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        # Of attributes of one name the first holds.
+        if key not in _READ or key in seen:
+            continue
+        seen.add(key)
         if key in ("class", "id", "role"):
             for part in _NAME_PART.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value)):
                 hint = _HINT.get(part.lower())

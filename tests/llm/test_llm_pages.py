@@ -199,3 +199,39 @@ def test_operator(spark):
     assert found[2, None] == found[2, "u"] == ""
     assert found[5, "u"].count("Long text, yes.") == 20_000
     assert html_content.extract_pages(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "attributes",
+    [
+        'href="/blog/hidden-costs"', 'title="The hidden cost"', 'data-hidden="false"',
+        'data-overflow="hidden"', "href=/blog/hidden", "title='a hidden=x class=ad'",
+        'data-id="comment-5"', 'data-class="sidebar"', 'data-style="display:none"',
+    ],
+)
+def test_names_in_other_attributes_are_not_read(attributes):
+    node = html_content.parse(f"<div {attributes}>text</div>")[1]
+    assert not node.hidden and not node.hints
+    # What follows such an attribute is read all the same.
+    node = html_content.parse(f"<div {attributes} hidden ID = 'Comments'>text</div>")[1]
+    assert node.hidden and node.hints == {"comment"}
+
+
+def test_attributes_that_hide():
+    for attributes in (
+        "hidden", "HIDDEN=''", "x=1 hidden", 'a="b"hidden', "aria-hidden='true'",
+        'style="color:red; display: none"', "style=display:none",
+    ):
+        assert html_content.parse(f"<div {attributes}>text</div>")[1].hidden
+    for attributes in ('aria-hidden="false"', 'style="color:red"', "class=hidden", 'id="a" id="ad"'):
+        node = html_content.parse(f"<div {attributes}>text</div>")[1]
+        assert not node.hidden and not node.hints
+
+
+def test_wrapper_with_hidden_in_a_value_stays(spark):
+    page = PAGE.replace("<article>", '<article data-overflow="hidden">').replace(
+        'href="/x"', 'href="/blog/hidden-costs" title="The hidden cost"'
+    )
+    pages = spark.createDataFrame([(1, "u", page), (2, "u", PAGE)], "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html_content.extract_pages(pages).collect()}
+    assert found[1] == found[2] and "a link" in found[1]
