@@ -16,13 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """``df`` written to the shared scratch folder and read again.
 
-    This cuts the lineage: a lost executor, or a second reader, reads the files.
+    This cuts the lineage: a lost executor, or a second reader, reads the files.  ``codec``
+    compresses them, by default the session's.
     """
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    writer = df.write if codec is None else df.write.option("compression", codec)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -54,7 +54,7 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "warc")
     pages = table(spark, sf_dir, "pages")
-    return warc.page_facts(warc.transactions(pages, folder, with_payloads=False))
+    return warc.page_facts(warc.transactions(pages, folder))
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,6 +26,8 @@ RECORD_END = END + END
 RECORDS_PER_FILE = 9_999
 DATE = "2024-01-01T00:00:00Z"
 MIN_REVISIT_BYTES = 0
+#: Staged payloads take less disk this way.
+PAYLOAD_CODEC = "zstd"
 
 _HEX_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 _BASE32_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -87,7 +89,7 @@ def plan_captures(
         }
     )
     # Written, so that a task that runs again cannot give a capture another name.
-    rows = staged(rows, "warc-captures")
+    rows = staged(rows, "warc-captures", PAYLOAD_CODEC)
     # A null id counts as larger than any other; the name settles ties.
     order = F.struct(F.col("page_id").isNull().alias("n"), "page_id", "capture")
     first = (
@@ -291,16 +293,19 @@ def assemble(records: DataFrame) -> DataFrame:
         F.col("record_id").alias("response_id"), F.explode("concurrent_to").alias("request_id")
     )
     pairs = forward.unionByName(back)
-    asked = (
-        pairs.join(requests.select(F.col("record_id").alias("request_id"),
-                                   part.alias("request")), "request_id")
+    # Ids alone are joined to each other; what they name is joined to them once.
+    named = requests.groupBy(F.col("record_id").alias("request_id")).agg(
+        F.min(part).alias("request")
+    )
+    ids = (
+        pairs.join(requests.select(F.col("record_id").alias("request_id")), "request_id", "left_semi")
         .groupBy("response_id")
-        .agg(F.min_by("request", "request_id").alias("request"))
-        .withColumn("request_id", F.col("request.record_id"))
+        .agg(F.min("request_id").alias("request_id"))
     )
+    asked = ids.join(named, "request_id")
     about = metadata.select(F.explode("concurrent_to").alias("about"), part.alias("meta"))
     through_request = about.join(
-        asked.select(F.col("request_id").alias("about"), "response_id"), "about"
+        ids.select(F.col("request_id").alias("about"), "response_id"), "about"
     ).select("response_id", "meta")
     described = (
         about.select(F.col("about").alias("response_id"), "meta")
@@ -354,15 +359,31 @@ def transactions(
     """
     captures = plan_captures(pages, id_col, url_col, payload_col, min_revisit_bytes)
     write_archives(captures, folder, records_per_file)
+    spark = pages.sparkSession
     # Written, since the assembly reads the records once for each of their sorts.
-    return assemble(staged(read_records(pages.sparkSession, folder, with_payloads), "warc-records"))
+    rows = assemble(staged(read_records(spark, folder, with_payloads=False), "warc-records", PAYLOAD_CODEC))
+    if not with_payloads:
+        return rows
+    # Payloads are read from the archives once the small columns are joined.
+    payloads = (
+        read_records(spark, folder)
+        .where(F.col("type").isin(*CAPTURED))
+        .select(F.col("record_id").alias("payload_of"), "payload")
+    )
+    return payloads.join(rows, F.col("payload_of") == F.col("response.record_id")).select(
+        "target_uri",
+        F.col("response").withField("payload", F.col("payload")).alias("response"),
+        "request",
+        "metadata",
+    )
 
 
 def page_facts(captures: DataFrame) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type and refers_to of every capture.
 
-    The page id is read from the capture's metadata.  Size and digest are taken from the
-    payload that was read; a revisit has those of the response that it refers to.
+    The page id is read from the capture's metadata.  Size and digest are made from the
+    capture's payload; a revisit has those of the response that it refers to.  Captures without
+    payloads have neither.
     """
     fields = F.decode(F.get("metadata", F.lit(0))["payload"], "UTF-8")
     rows = captures.select(
@@ -372,8 +393,8 @@ def page_facts(captures: DataFrame) -> DataFrame:
         F.nullif(F.regexp_extract(fields, r"page-id: (-?\d+)", 1), F.lit(""))
         .cast("bigint")
         .alias("page_id"),
-        F.col("response.payload_bytes").alias("payload_bytes"),
-        F.col("response.payload_sha1").alias("payload_digest"),
+        F.octet_length("response.payload").cast("bigint").alias("payload_bytes"),
+        base32_sha1(F.col("response.payload")).alias("payload_digest"),
     )
     rows = staged(rows, "warc-facts")
     known = rows.where(F.col("record_type") == "response").select(

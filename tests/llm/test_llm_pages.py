@@ -10,6 +10,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallylake.llm import html_content, url_rules, warc
 
@@ -112,6 +113,33 @@ def test_round_trip(spark, tmp_path):
     assert all(len(h["warc-record-id"]) == 1 for h, _ in records)
 
 
+def test_facts_come_from_the_payloads(spark, tmp_path):
+    captures = warc.transactions(_pages(spark, PAGES), str(tmp_path / "a"))
+    changed = captures.withColumn(
+        "response",
+        F.when(
+            F.col("response.type") == "response",
+            F.col("response").withField("payload", F.lit(b"other")),
+        ).otherwise(F.col("response")),
+    )
+    for r in warc.page_facts(changed).collect():
+        assert (r.payload_bytes, r.payload_digest) == (5, _digest("other"))
+    bare = warc.transactions(_pages(spark, PAGES), str(tmp_path / "b"), with_payloads=False)
+    assert all(r.response.payload is None and r.response.payload_bytes is not None for r in bare.collect())
+
+
+def test_query_assembles_payloads(spark, tmp_path, monkeypatch):
+    from tallylake.llm import queries
+
+    seen = []
+    facts = warc.page_facts
+    monkeypatch.setattr(warc, "page_facts", lambda df: seen.append(df) or facts(df))
+    _pages(spark, PAGES).write.parquet(str(tmp_path / "pages.parquet"))
+    assert queries.op4_warc_transactions(spark, str(tmp_path)).count() == len(PAGES)
+    payloads = sorted(bytes(r.response.payload).decode() for r in seen[0].collect())
+    assert sorted(set(payloads)) == sorted({h or "" for _, _, h in PAGES})
+
+
 def test_least_size_of_revisits_and_no_pages(spark, tmp_path):
     facts = warc.page_facts(
         warc.transactions(_pages(spark, PAGES), str(tmp_path / "a"), min_revisit_bytes=1)
