@@ -13,6 +13,7 @@ from tallylake import fixtures
 from tallylake.functions.cells import type_cells
 from tallylake.functions.timeparts import day_range
 from tallylake.operators import aggregates, dedup
+from tallylake.operators.ordering import place_rows
 from tallylake.plans import reports, rollups
 from tallylake.plans.views import adhoc_sql, register_views
 from tallylake.schema import CELLS
@@ -52,25 +53,21 @@ def _daily_currency_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.daily_currency_count(fixtures.lineitem_transactions(spark, sf_dir))
 
 
-def _placed(report: DataFrame) -> DataFrame:
-    """A report with each row's place in it; a report is as small as its groups."""
-    row = report.withColumn("_row", F.monotonically_increasing_id())
-    return row.withColumn("place", F.row_number().over(Window.orderBy("_row"))).drop("_row")
-
-
 def _daily_count_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = fixtures.lineitem_transactions(spark, sf_dir)
-    return _placed(reports.daily_count(df, "total_count", descending=True))
+    return place_rows(reports.daily_count(df), [F.desc("total_count"), "day"])
 
 
 def _daily_currency_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = fixtures.lineitem_transactions(spark, sf_dir)
-    return _placed(reports.daily_currency_count(df, "currency_code, total_count", descending=True))
+    order = [F.desc("currency_code"), F.desc("total_count"), "day"]
+    return place_rows(reports.daily_currency_count(df), order)
 
 
 def _daily_unique_users_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = fixtures.lineitem_transactions(spark, sf_dir)
-    return _placed(reports.daily_unique_users(df, *SHIP_DAYS, by_site=True))
+    users = reports.daily_unique_users(df, *SHIP_DAYS, by_site=True)
+    return place_rows(users, ["day", "site_id"])
 
 
 def _top_users_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
