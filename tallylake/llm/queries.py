@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallylake.llm import (
+    align,
     bpe,
+    hard_negatives,
     html_content,
+    language,
     licenses,
     pii,
     quality,
@@ -24,6 +27,8 @@ from tallylake.llm.common import table
 from tallylake.session import scratch_dir
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
+BYTE_LEVEL_FILE = "byte_bpe_50k.json"
+PIECE_FILE = "piece_bpe_32k.model"
 #: The key of the surrogates; whoever runs the query over real data sets another.
 PII_KEY = "tallylake"
 _SPAN_TEXT = "concat(x.kind, ':', cast(x.start as string), ':', cast(x.end as string))"
@@ -117,6 +122,40 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = align.align(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path(BYTE_LEVEL_FILE),
+        public_tokenizers.path(PIECE_FILE),
+        public_tokenizers.PATTERN,
+        keep=["doc_id"],
+        outputs=(
+            "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256",
+        ),
+    )
+    return found.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.col("label").cast("bigint")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.hard_negatives(
+        vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0
+    )
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    # A document without id has no remainder: it is not held out, and nothing is learned from it.
+    part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    return language.identify(
+        documents,
+        documents.where(part != 1),
+        keep=[F.col("doc_id"), F.coalesce(part == 1, F.lit(False)).alias("held_out")],
+    ).withColumn("languages", F.array_join("languages.lang", ","))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_pii_surrogates,
@@ -129,5 +168,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_line_quality,
         op9_bpe,
         op10_license_scan,
+        op11_token_alignment,
+        op12_hard_negatives,
+        op13_language_id,
     )
     return {query.__name__: query for query in own}

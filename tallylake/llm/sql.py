@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallylake.llm import licenses, quality, url_rules, winnow
+from tallylake.llm import hard_negatives, licenses, quality, url_rules, winnow
 
 _LOW = f"translate(coalesce(text, ''), '{url_rules.UPPER}', '{url_rules.LOWER}')"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -165,6 +165,32 @@ FROM d LEFT JOIN f USING (rid)
 """
 
 
+OP12 = f"""
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        [floor({hard_negatives.SCALE} * c::DOUBLE) for c in embedding] AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len([c for c in embedding if c IS NULL OR NOT isfinite(c)]) = 0),
+s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+        list_inner_product(a.x, b.x)::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+p AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM (
+        SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) AS place
+        FROM s WHERE same) WHERE place <= {hard_negatives.POSITIVES}),
+n AS (
+    SELECT p.anchor_id, positive_id, other_id AS negative_id, positive_score,
+        score AS negative_score, row_number() OVER (
+            PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank
+    FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+        AND {hard_negatives.LOWEST} * positive_score <= 100 * score
+        AND 100 * score <= {hard_negatives.HIGHEST} * positive_score)
+SELECT * FROM n WHERE rank <= {hard_negatives.NEGATIVES}
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_winnowing": OP2,
@@ -172,4 +198,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_warc_transactions": OP4,
         "op8_line_quality": OP8,
         "op10_license_scan": OP10,
+        "op12_hard_negatives": OP12,
     }
