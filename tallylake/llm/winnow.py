@@ -3,12 +3,16 @@
 Of every window of consecutive k-gram hashes the smallest is kept as a fingerprint, the
 rightmost of equal ones.  A span of ``k + window - 1`` words that a document shares with an item
 fills such a window on both sides, so both keep the same fingerprint: no shared span of that
-length is missed.  Fingerprints are joined, and each hit is extended to both sides as far as
-the words agree; a hit that reaches the threshold marks its words.
+length is missed.  A document's hit is extended to both sides into every span of that length
+around it, and these are joined with the items' by their words; joined spans mark their words.
 
 The threshold is ``span_words``; an item with fewer words is matched whole, with a window of
 its own length.  Documents give out only fingerprints that a Bloom filter of the items' may
 hold.  The filter has a fixed size, whatever the number of items.
+
+A gram that many items have meets only spans with the same words, not every place it has in the
+items; and documents with the same spans share one list of items, so a passage of very many items
+is listed once for all of them.
 """
 
 from __future__ import annotations
@@ -32,7 +36,7 @@ SLICE_BYTES = 4 << 20
 FILTER_BITS = 1 << 23
 BITMAP_BITS = 32_768
 
-_HIT = "struct<span:int,fp:bigint,at:int,before:array<string>,gram:string,after:array<string>>"
+_HIT = "struct<span:int,start:int,words:string>"
 
 
 @functools.cache
@@ -122,48 +126,44 @@ def _bit(fp: np.ndarray) -> np.ndarray:
 
 
 def _rows(
-    words: Words, spans: list[tuple[int, np.ndarray]], gram_words: int, bloom: np.ndarray | None
+    words: Words, spans: list[tuple[int, np.ndarray | None]], gram_words: int, bloom: np.ndarray | None
 ) -> Iterator[tuple[int, dict]]:
-    """(row, hit) for every kept fingerprint; with a filter, of those it may hold."""
+    """(row, hit) for every span around a kept fingerprint; with a filter, of those it may hold."""
     for span, allowed in spans:
         at, fps, k = words.fingerprints(span, gram_words)
         if bloom is not None:
-            bit = _bit(fps)
-            held = (bloom[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1
-            at, fps = at[held == 1], fps[held == 1]
-        rows = np.searchsorted(words.first_word, at, side="right") - 1
-        reach = span - k
-        for row, place, fp in zip(rows.tolist(), at.tolist(), fps.view(np.int64).tolist()):
-            if allowed is not None and not allowed[row]:
-                continue
-            begin, end = int(words.first_word[row]), int(words.first_word[row + 1])
+            at = at[_held(bloom, fps)]
+        # A span that holds the gram begins at most span - k words before it.
+        starts = np.unique((at[:, None] - np.arange(span - k + 1)).ravel())
+        starts = starts[starts >= 0]
+        rows = np.searchsorted(words.first_word, starts, side="right") - 1
+        inside = starts + span <= words.first_word[rows + 1]
+        if allowed is not None:
+            inside &= allowed[rows]
+        for row, start in zip(rows[inside].tolist(), starts[inside].tolist()):
             yield row, {
                 "span": span,
-                "fp": fp,
-                "at": place - begin,
-                "before": words.strings(max(begin, place - reach), place)[::-1],
-                "gram": " ".join(words.strings(place, place + k)),
-                "after": words.strings(place + k, min(end, place + k + reach)),
+                "start": start - int(words.first_word[row]),
+                "words": " ".join(words.strings(start, start + span)),
             }
 
 
+def _held(bloom: np.ndarray, fps: np.ndarray) -> np.ndarray:
+    bit = _bit(fps)
+    return (bloom[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
 def _hit_type() -> pa.DataType:
-    return pa.struct(
-        [
-            ("span", pa.int32()),
-            ("fp", pa.int64()),
-            ("at", pa.int32()),
-            ("before", pa.list_(pa.string())),
-            ("gram", pa.string()),
-            ("after", pa.list_(pa.string())),
-        ]
-    )
+    return pa.struct([("span", pa.int32()), ("start", pa.int32()), ("words", pa.string())])
 
 
-def item_fingerprints(
+def item_spans(
     items: DataFrame, id_col: str, text_col: str, span_words: int, gram_words: int
 ) -> DataFrame:
-    """Rows (item_id, span, fp, at, before, gram, after); a short item has its own span."""
+    """Rows (item_id, span, words, fps); a short item has its own span.
+
+    ``fps`` are fingerprints; every one of an item stands in one of its rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text", SLICE_BYTES):
@@ -173,22 +173,36 @@ def item_fingerprints(
                 (span, (counts == span) if span < span_words else (counts >= span))
                 for span in range(1, span_words + 1)
             ]
-            found = list(_rows(words, [s for s in spans if s[1].any()], gram_words, None))
+            spans = [s for s in spans if s[1].any()]
+            found = list(_rows(words, spans, gram_words, None))
+            kept: list[list[int]] = [[] for _ in found]
+            place = {(row, hit["span"]): n for n, (row, hit) in reversed(list(enumerate(found)))}
+            for span, allowed in spans:
+                at, fps, _ = words.fingerprints(span, gram_words)
+                rows = np.searchsorted(words.first_word, at, side="right") - 1
+                for row, fp in zip(rows.tolist(), fps.view(np.int64).tolist()):
+                    if allowed[row]:
+                        kept[place[row, span]].append(fp)
             ids = batch.column("item_id").take(pa.array([r for r, _ in found], pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([h for _, h in found], _hit_type())], ["item_id", "hit"]
+                [
+                    ids,
+                    pa.array([h for _, h in found], _hit_type()),
+                    pa.array(kept, pa.list_(pa.int64())),
+                ],
+                ["item_id", "hit", "fps"],
             )
 
     rows = items.select(
         F.col(id_col).cast("string").alias("item_id"), F.col(text_col).cast("string").alias("text")
     )
-    found = rows.mapInArrow(run, f"item_id string, hit {_HIT}")
-    return staged(found.select("item_id", "hit.*"), "winnow-items")
+    found = rows.mapInArrow(run, f"item_id string, hit {_HIT}, fps array<bigint>")
+    return staged(found.select("item_id", "hit.span", "hit.words", "fps"), "winnow-items")
 
 
 def _filter(fps: DataFrame) -> np.ndarray:
     """The Bloom filter as bytes: at most FILTER_BITS / 32768 bitmaps come to the driver."""
-    bit = fps.select(F.col("fp").bitwiseAND(FILTER_BITS - 1).alias("bit"))
+    bit = fps.select(F.explode("fps").alias("fp")).select(F.col("fp").bitwiseAND(FILTER_BITS - 1).alias("bit"))
     parts = (
         bit.groupBy(F.floor(F.col("bit") / BITMAP_BITS).cast("int").alias("part"))
         .agg(F.bitmap_construct_agg((F.col("bit") % BITMAP_BITS)).alias("bits"))
@@ -239,13 +253,6 @@ def document_hits(
     return staged(rows.mapInArrow(run, schema), "winnow-documents")
 
 
-def _agreeing(a: str, b: str) -> Column:
-    """How many leading elements of two arrays are equal."""
-    same = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
-    first = F.array_position(same, F.lit(False))
-    return F.when(first > 0, first - 1).otherwise(F.size(same))
-
-
 def shared_spans(
     documents: DataFrame,
     items: DataFrame,
@@ -265,45 +272,25 @@ def shared_spans(
     without id marks words but is not listed.  Rows that repeat an id are rows of their own;
     other columns are ignored; with an empty table there is nothing to share.
     """
-    own = item_fingerprints(items, item_id_col, item_text_col, span_words, gram_words)
+    own = item_spans(items, item_id_col, item_text_col, span_words, gram_words)
     spans = sorted(r.span for r in own.select("span").distinct().collect())
     docs = document_hits(documents, id_col, text_col, spans, _filter(own), gram_words)
 
-    # Items that share a passage share its grams; each is extended once for all of them.
-    context = F.xxhash64("span", "gram", "before", "after")
-    own = own.withColumn("context", context)
-    grams = own.dropDuplicates(["context"]).select(
-        "context",
-        F.col("span").alias("i_span"),
-        F.col("fp").alias("i_fp"),
-        F.col("gram").alias("i_gram"),
-        F.col("before").alias("i_before"),
-        F.col("after").alias("i_after"),
+    passages = staged(
+        own.select("span", "words").distinct().withColumn("passage", F.monotonically_increasing_id()),
+        "winnow-passages",
     )
     hits = docs.where(F.size("hits") > 0).select("row_id", F.explode("hits").alias("h"))
-    hits = hits.select("row_id", "h.*")
-    left, right = _agreeing("before", "i_before"), _agreeing("after", "i_after")
-    gram = F.size(F.split("gram", " "))
-    extended = staged(
-        hits.join(
-            grams,
-            (F.col("fp") == F.col("i_fp"))
-            & (F.col("span") == F.col("i_span"))
-            & (F.col("gram") == F.col("i_gram")),
-        )
-        .select(
-            "row_id",
-            "context",
-            "span",
-            (F.col("at") - left).cast("int").alias("start"),
-            (F.col("at") + gram + right).cast("int").alias("stop"),
-        )
-        .where(F.col("stop") - F.col("start") >= F.col("span")),
-        "winnow-extended",
-    )
+    met = hits.select("row_id", "h.*").join(passages, ["span", "words"])
     # A document's spans are no more than its words.
-    marked = extended.groupBy("row_id").agg(
-        F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("s")
+    marked = staged(
+        met.groupBy("row_id").agg(
+            F.sort_array(
+                F.collect_set(F.struct("start", (F.col("start") + F.col("span")).alias("stop")))
+            ).alias("s"),
+            F.sort_array(F.collect_set("passage")).alias("passages"),
+        ),
+        "winnow-marked",
     )
     # Ranges are taken in order; one that begins inside the last of the union extends it.
     union = F.aggregate(
@@ -322,18 +309,23 @@ def shared_spans(
             ),
         ).otherwise(F.concat(done, F.array(x))),
     )
+    # Documents with the same passages have one list of items.
+    members = own.join(passages, ["span", "words"]).select("passage", "item_id").distinct()
     listed = (
-        extended.select("row_id", "context")
+        marked.select("passages")
         .distinct()
-        .join(own.select("context", "item_id").distinct(), "context")
-        .groupBy("row_id")
+        .select("passages", F.explode("passages").alias("passage"))
+        .join(members, "passage")
+        .groupBy("passages")
         .agg(F.sort_array(F.collect_set("item_id")).alias("items"))
     )
+    marked = marked.select("row_id", "passages", union.alias("spans")).join(
+        listed, "passages", "left"
+    )
     none = F.expr("cast(array() as array<struct<start:int,stop:int>>)")
     return (
         docs.select("row_id", "doc_id", "text_key", "n_words")
-        .join(marked.select("row_id", union.alias("spans")), "row_id", "left")
-        .join(listed, "row_id", "left")
+        .join(marked, "row_id", "left")
         .select(
             "doc_id",
             "text_key",

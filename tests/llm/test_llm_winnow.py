@@ -72,6 +72,43 @@ def test_long_distinct_words(spark):
     assert any(r[2] for r in found) and not all(r[2] for r in found)
 
 
+def test_words_moved_across_the_gram_are_another_context(spark):
+    a = "jgggj aeaeh gabcj djicf jhjbj aheid dhiih gcdci hcfba chdeg"
+    b = "aeaeh gabcj djicf jhjbj aheid dhiih gcdci jgggj hcfba chdeg"
+    docs, items = [(1, a), (2, b), (3, f"{b} {a}")], [(1, a), (2, b)]
+    assert _run(spark, docs, items) == _slow(docs, items)
+
+
+def test_rotations_against_brute_force(spark):
+    """Items that are rotations of one another share grams in every context."""
+    rng = random.Random(6)
+    items, docs = [], []
+    for n in range(12):
+        words = [f"{rng.choice('abcdefg')}{i}" for i in range(rng.randint(10, 14))]
+        for turn in range(len(words)):
+            items.append((len(items), " ".join(words[turn:] + words[:turn])))
+    for i in range(150):
+        own = rng.choice(items)[1].split()
+        at = rng.randint(0, 3)
+        docs.append((i, " ".join(["x"] * at + own[at:] + rng.choice(items)[1].split()[: 10 + at])))
+    assert _run(spark, docs, items) == _slow(docs, items)
+
+
+def test_a_phrase_of_very_many_items_does_not_multiply(spark):
+    """Every item and every document holds one phrase; pairs of them would be sixteen million."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    for phrase in ("answer the following question in a few", "answer the following question in a few short and simple words"):
+        n_words = len(phrase.split())
+        items = [(i, f"{word()} {phrase} {word()} {word()} {word()}") for i in range(4_000)]
+        docs = [(i, f"{word()} {word()} {phrase} {word()}") for i in range(4_000)]
+        d = spark.createDataFrame(docs, "doc_id long, text string")
+        b = spark.createDataFrame(items, "item_id long, text string")
+        found = winnow.shared_spans(d, b).selectExpr("size(items) as n", "size(spans) as s")
+        wanted = (4_000, 1) if n_words >= 10 else (0, 0)
+        assert [tuple(r) for r in found.distinct().collect()] == [wanted]
+
+
 def test_odd_rows_and_empty_tables(spark):
     passage = " ".join(f"w{i}" for i in range(12))
     docs = [(1, passage.upper()), (1, passage), (2, None), (2, ""), (None, passage + " w0" * 30_000)]
