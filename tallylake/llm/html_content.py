@@ -58,10 +58,17 @@ BOUNDS = frozenset(
     "article aside body div footer form header html main nav section table td th".split()
 )
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
-    re.DOTALL,
-)
+#: Elements nested deeper than this are put where the limit is, as browsers do.
+MAX_DEPTH = 512
+
+#: What begins markup: a comment, a declaration, or a tag with its name.
+_MARKUP = re.compile(r"<(?:(!--)|([!?])|(/?)([A-Za-z][^\s/>]*+))")
+#: The rest of a tag.  Only a value, after its equals sign, is quoted; a quote that is never closed
+#: is a character like others.
+_REST = re.compile(r"((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>")
+# References to characters with more digits than any has, and zeros before the others.
+_ZEROS = re.compile(r"&#([xX]?)0++(?=[0-9A-Fa-f])")
+_NO_CHARACTER = re.compile(r"&#(?:[xX][0-9A-Fa-f]{7,}+|[0-9]{8,}+);?")
 #: One whole attribute: its name and its value, quoted or not.
 _ATTRIBUTE = re.compile(
     r"([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?"
@@ -105,57 +112,95 @@ class Node:
     hidden: bool = False
 
 
+def unescaped(raw: str) -> str:
+    """``raw`` with its character references decoded."""
+    if "&#" in raw:
+        raw = _NO_CHARACTER.sub("\ufffd", _ZEROS.sub(r"&#\1", raw))
+    return html.unescape(raw) if "&" in raw else raw
+
+
+class _Open:
+    """The open elements, outermost first, and where each name stands among them."""
+
+    def __init__(self, nodes: list[Node]):
+        self.nodes = nodes
+        self.stack = [0]
+        self.at: dict[str, list[int]] = {}
+
+    def parent(self) -> int:
+        return self.stack[min(len(self.stack), MAX_DEPTH) - 1]
+
+    def push(self, node: int) -> None:
+        self.at.setdefault(self.nodes[node].name, []).append(len(self.stack))
+        self.stack.append(node)
+
+    def _last(self, names: frozenset[str]) -> int:
+        return max((self.at[n][-1] for n in names if self.at.get(n)), default=0)
+
+    def close(self, names: frozenset[str], bounds: frozenset[str]) -> None:
+        """End the innermost element of ``names``, unless one of ``bounds`` lies inside it."""
+        depth = self._last(names)
+        if depth and (not bounds or depth >= self._last(bounds)):
+            for node in self.stack[depth:]:
+                self.at[self.nodes[node].name].pop()
+            del self.stack[depth:]
+
+
 def parse(page: str) -> list[Node]:
-    """The page's tree, parents before children; broken markup is closed as browsers do."""
+    """The page's tree, parents before children; broken markup is closed as browsers do.
+
+    Markup without an end goes to the end of the page.  Every character is looked at a fixed
+    number of times, whatever is left open.
+    """
     nodes = [Node("#root", -1, frozenset())]
-    stack = [0]
-    at, size = 0, len(page)
+    opened = _Open(nodes)
+    at, size, quoted = 0, len(page), True
 
     def text(raw: str) -> None:
-        nodes.append(Node(TEXT, stack[-1], _NO_HINTS, html.unescape(raw) if "&" in raw else raw))
-
-    def close(names: frozenset[str], bounds: frozenset[str]) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            name = nodes[stack[depth]].name
-            if name in names:
-                del stack[depth:]
-                return
-            if name in bounds:
-                return
+        nodes.append(Node(TEXT, opened.parent(), _NO_HINTS, unescaped(raw)))
 
     while at < size:
-        token = _TOKEN.search(page, at)
+        token = _MARKUP.search(page, at)
         if token is None:
             text(page[at:])
             break
-        start, end = token.span()
-        if start > at:
-            text(page[at:start])
-        at = end
-        name = token[2]
+        if token.start() > at:
+            text(page[at : token.start()])
+        at, name, rest = token.end(), token[4], ""
+        if token[1]:
+            end = page.find("-->", at)
+            at = end + 3 if end >= 0 else size
+            continue
+        whole = _REST.match(page, at) if name and quoted else None
+        if whole is None:
+            # With no bracket outside quotes from here on, quotes are not looked at any more.
+            quoted = quoted and not name
+            end = page.find(">", at)
+            if end < 0:
+                break
+            rest, at = page[at:end], end + 1
+        else:
+            rest, at = whole[1], whole.end()
         if not name:
             continue
         name = name.lower()
-        if token[1]:
-            if nodes[stack[-1]].name == name:
-                stack.pop()
-            else:
-                close(frozenset([name]), BOUNDS if name in INLINE else _NO_HINTS)
+        if token[3]:
+            opened.close(frozenset([name]), BOUNDS if name in INLINE else _NO_HINTS)
             continue
         if name in CLOSES_P:
-            close(_P, BOUNDS)
+            opened.close(_P, BOUNDS)
         if name in ENDS:
-            close(*ENDS[name])
-        hints, hidden = _read_attributes(token[3]) if token[3] else (_NO_HINTS, False)
-        node = Node(name, stack[-1], hints, hidden=hidden or name in HIDDEN)
+            opened.close(*ENDS[name])
+        hints, hidden = _read_attributes(rest) if rest else (_NO_HINTS, False)
+        node = Node(name, opened.parent(), hints, hidden=hidden or name in HIDDEN)
         nodes.append(node)
-        if name in VOID or token[3].endswith("/") and name not in _NAMED:
+        if name in VOID or rest.endswith("/") and name not in _NAMED:
             continue
         if name in RAW:
             ended = _RAW_END[name].search(page, at)
             at = ended.end() if ended else size
             continue
-        stack.append(len(nodes) - 1)
+        opened.push(len(nodes) - 1)
     return nodes
 
 
@@ -520,7 +565,8 @@ def extract_pages(
 
     ``keep`` names the columns that are passed on, all by default; one named ``text`` is
     replaced.  A null or empty page, and one without main text, gives an empty text.  Markup
-    that is not closed is closed as browsers do; an empty table gives no rows.
+    that is not closed is closed as browsers do; repeated rows are rows of their own; an empty
+    table gives no rows.  A very long page takes time in proportion to its length.
     """
     kept = [c for c in (pages.columns if keep is None else keep) if c != "text"]
     shared = pages.sparkSession.sparkContext.broadcast(model or trained_model())

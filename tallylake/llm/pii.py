@@ -63,7 +63,8 @@ _V6 = "|".join(
 #: Kind, what may not come before it, and pattern, in the order in which they are tried at a place.
 _KINDS = (
     ("email", r"(?<![\p{L}\p{N}])",
-     r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
+     # The lengths mail allows; without them a text of dots is searched again from each dot.
+     r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}+\.){1,126}[A-Za-z]{2,63}"),
     ("iban", r"(?<![\p{L}\p{N}_])",
      r"[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?"),
     # A word like a::b has no digit and is none; more groups than eight are none either.
@@ -102,6 +103,14 @@ def _kind(entity: Column) -> Column:
     return kind
 
 
+#: International calling codes of one and two digits; all others have three.
+_CALLING_CODE = r"\A\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
+#: A number of ten digits with the one before it that calls the same line from farther away.
+_WITH_ONE = r"\A\+?1(?:[^0-9]*[0-9]){10}\z"
+#: The attempt from which draws come from longer ranges.
+LONGER_FROM = 9
+
+
 def canonical(kind: Column, entity: Column) -> Column:
     """What all spellings of an entity have in common."""
     digits = F.regexp_replace(entity, r"[^\d]", "")
@@ -112,6 +121,8 @@ def canonical(kind: Column, entity: Column) -> Column:
         .when(kind == "ip", entity)
         .when(kind == "ip6", _full_ip6(entity))
         .when(kind == "name", F.concat_ws(":", _gender(entity), bare))
+        .when((kind == "phone") & entity.rlike(_WITH_ONE), F.substring(digits, 2, 10))
+        .when((kind == "phone") & entity.startswith("+"), F.concat(F.lit("+"), digits))
         .otherwise(digits)
     )
 
@@ -193,24 +204,39 @@ def _surrogate(seed: Column) -> Column:
         F.lit("@"),
         F.lit("mail"),
         _draw(seed, 0, 1000).cast("string"),
+        # Short names are few, so later attempts have longer domains.
+        F.substring(F.sha2(F.concat(seed, F.lit("@")), 256), F.lit(1), F.col("attempt")),
         F.lit(".example.net"),
     )
-    # Documentation addresses would be too few; 10/8 is private and holds 16 million.
-    ip = F.concat_ws(
-        ".", F.lit("10"), *[_draw(seed, n, 256).cast("string") for n in range(3)]
-    )
     # The prefix of documentation, then 96 bits.
     ip6 = F.concat_ws(
         ":",
         F.lit("2001:0db8"),
         *[F.lpad(F.lower(F.hex(_draw(seed, n, 65536))), 4, "0") for n in range(6)],
     )
+    # Documentation addresses would be too few; 10/8 is private and holds 16 million, the range
+    # kept for the future 268 million; beyond these an address is of the longer sort.
+    octets = [_draw(seed, n, 256).cast("string") for n in range(3)]
+    later = (_draw(seed, 3, 16) + 240).cast("string")
+    ip = (
+        F.when(F.col("attempt") < 4, F.concat_ws(".", F.lit("10"), *octets))
+        .when(F.col("attempt") < LONGER_FROM, F.concat_ws(".", later, *octets))
+        .otherwise(ip6)
+    )
+    # Where numbers of this length are used up, one digit more a round makes room for ten times
+    # as many: every round with open entities comes nearer to the last.
+    more = F.repeat(F.lit("0"), F.greatest(F.col("attempt") - (LONGER_FROM - 1), F.lit(0)))
+    more = _in_format(more, F.concat(seed, F.lit("+")))
     # The country and the check digits' place stay as they are.
-    iban = F.concat(F.substring(entity, 1, 2), _in_format(F.expr("substring(entity, 3)"), seed))
-    # The first digit, which tells network or country, stays.
-    number = F.concat(
-        F.substring(entity, 1, 1), _in_format(F.expr("substring(entity, 2)"), seed)
+    iban = F.concat(
+        F.substring(entity, 1, 2), _in_format(F.expr("substring(entity, 3)"), seed), more
+    )
+    # The calling code stays, or the first digit, which tells a network or a region.
+    lead = F.when(entity.startswith("+"), F.regexp_extract(entity, _CALLING_CODE, 0)).otherwise(
+        F.substring(entity, 1, 1)
     )
+    rest = F.substring(entity, F.char_length(lead) + 1, F.char_length(entity))
+    number = F.concat(lead, _in_format(rest, seed), more)
     name = F.lit(None).cast("string")
     for (script, gender), given in GIVEN.items():
         family = F.initcap(
@@ -289,7 +315,11 @@ def assign_surrogates(entities: DataFrame, key: str) -> DataFrame:
 
 def _spelled(kind: Column, found: Column, surrogate: Column) -> Column:
     """The canonical surrogate in the spelling in which the entity was found."""
-    chars = F.filter(F.split(found, ""), lambda c: c != "")
+    far = (kind == "phone") & found.rlike(_WITH_ONE)
+    one = F.when(far, F.regexp_extract(found, r"\A\+?1", 0)).otherwise("")
+    rest = F.substring(found, F.char_length(one) + 1, F.char_length(found))
+    surrogate = F.when(kind == "phone", F.ltrim(surrogate, F.lit("+"))).otherwise(surrogate)
+    chars = F.filter(F.split(rest, ""), lambda c: c != "")
     # Digits and letters take the surrogate's in turn; what lies between them stays.
     marks = F.transform(chars, lambda c: c.rlike("[A-Za-z0-9]").cast("int"))
     shaped = F.aggregate(
@@ -304,13 +334,15 @@ def _spelled(kind: Column, found: Column, surrogate: Column) -> Column:
             ).alias("text"),
             (done["used"] + x["m"]).alias("used"),
         ),
-        lambda done: done["text"],
+        lambda done: F.concat(
+            done["text"], F.substring(surrogate, done["used"] + 1, F.char_length(surrogate))
+        ),
     )
     title = F.regexp_extract(found, rf"\A((?:{_TITLES})\.?\x20)", 1)
     return (
         F.when(kind.isin("email", "ip", "ip6"), surrogate)
         .when(kind == "name", F.concat(title, F.expr("substring(surrogate, 3)")))
-        .otherwise(shaped)
+        .otherwise(F.concat(one, shaped))
     )
 
 

@@ -22,12 +22,15 @@ MAX_TEXTS = 20
 MIN_LEFT = 0.30
 
 BLANKS = r"[\x20\x09-\x0D]+"
+BLANK_CHARS = " \t\n\x0b\x0c\r"
 SYMBOLS = r"[#*$%&|<>]"
 
 
 def words(text: Column) -> Column:
     """The words of a text; a text without words has none."""
-    bare = F.regexp_replace(text, rf"\A{BLANKS}|{BLANKS}\z", "")
+    # Trimmed by characters: a pattern that ends at the end of the text would be tried at every
+    # blank of a long run.
+    bare = F.btrim(text, F.lit(BLANK_CHARS))
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, BLANKS))
 
 
@@ -38,22 +41,28 @@ def _word_lines(text: Column) -> Column:
 
 def normalised(line: Column) -> Column:
     """Lower case, digits as 0, blanks as one space."""
-    low = F.regexp_replace(F.lower(line), "[0-9]+", "0")
-    return F.regexp_replace(F.regexp_replace(low, BLANKS, " "), "^ | $", "")
+    low = F.regexp_replace(F.lower(F.btrim(line, F.lit(BLANK_CHARS))), "[0-9]+", "0")
+    return F.regexp_replace(low, BLANKS, " ")
+
+
+def _window_hashes(window: int) -> Column:
+    """A hash of every window of the words: those of two halves, which may overlap, make a whole."""
+    hashes, width = F.transform("words", lambda w: F.xxhash64(w)), 1
+    while width < window:
+        shift = min(width, window - width)
+        count = F.greatest(F.size(hashes) - shift, F.lit(0))
+        hashes = F.zip_with(
+            F.slice(hashes, F.lit(1), count),
+            F.slice(hashes, F.lit(shift + 1), count),
+            lambda a, b: F.xxhash64(a, b),
+        )
+        width += shift
+    return hashes
 
 
 def _with_repeats(rows: DataFrame, window: int) -> DataFrame:
     """Adds n_repeat_words: the words inside windows that the text has twice or more."""
-    count = F.size("words") - (window - 1)
-    hashed = F.transform("words", lambda w: F.xxhash64(w))
-    grams = F.when(
-        count > 1,
-        F.transform(
-            F.sequence(F.lit(0), count - 1),
-            lambda i: F.xxhash64(*[F.get("hashes", i + j) for j in range(window)]),
-        ),
-    ).otherwise(F.array().cast("array<bigint>"))
-    rows = rows.withColumn("hashes", hashed).withColumn("grams", grams)
+    rows = rows.withColumn("grams", _window_hashes(window))
     # Most texts repeat nothing; the others have their windows sorted by hash.
     placed = F.when(
         F.size(F.array_distinct("grams")) < F.size("grams"),
@@ -86,7 +95,7 @@ def _with_repeats(rows: DataFrame, window: int) -> DataFrame:
         F.lit(0).cast("bigint"),
         lambda total, x: total + x,
     )
-    return rows.withColumn("n_repeat_words", covered).drop("hashes", "grams", "placed", "starts")
+    return rows.withColumn("n_repeat_words", covered).drop("grams", "placed", "starts")
 
 
 def base_metrics(rows: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:

@@ -2,14 +2,20 @@
 
 Assignments, access keys and hex runs are found by pattern.  Whatever may be an encoded key or a
 signed token is decoded, base64 or hex, and reported only if its inside holds together: the
-lengths of nested DER elements add up, the strings of an SSH key fill the blob, the header of a
-signed token is JSON that names an algorithm.
+lengths of nested DER elements add up, the strings of an SSH key fill the blob (of the newer
+private format the first three strings are read), the header of a signed token is JSON that names
+an algorithm.
+
+A text is scanned a fixed number of times and a block of wrapped lines decoded at most four times,
+so a very long text takes time in proportion to its length.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+import bisect
+import itertools
 import json
 import re
 from collections.abc import Iterator
@@ -35,11 +41,11 @@ TOKEN = re.compile(
 )
 PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----")
 # Escaped characters in JSON or code, and a line end after a backslash.
-_ESCAPED = re.compile(r"\\+(?:u00([0-9A-Fa-f]{2})|([nrt/])|\r?\n)")
+_ESCAPED = re.compile(r"(?<!\\)\\++(?:u00([0-9A-Fa-f]{2})|([nrt/])|\r?\n)")
 _PROC_TYPE = re.compile(r"Proc-Type:[\x20\t]*4,[\x20\t]*[A-Z-]+")
 _DEK_INFO = re.compile(r"DEK-Info:[\x20\t]*([A-Za-z0-9-]+)(?:,[\x20\t]*([0-9A-Fa-f]+))?")
 # Between string literals of adjacent lines, and comment marks before a line.
-_LITERALS = re.compile(r"[\"'`][\x20\t]*[+.,&]?\s*+[\"'`]")
+_LITERALS = re.compile(r"[\"'`][\x20\t]*+[+.,&]?\s*+[\"'`]")
 _LINE_MARK = re.compile(r"^[\x20\t]*(?:[#>*;|]+|//+(?=[\x20\t]))", re.MULTILINE)
 ENCODED = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 _LINE_BREAK = (
@@ -48,7 +54,8 @@ _LINE_BREAK = (
 )
 #: Encoded lines, one after another; the n of an escaped line end is not one of theirs.
 WRAPPED = re.compile(
-    rf"(?:(?<=\\)[nr])?[A-Za-z0-9+/_-]{{40,}}+(?:{_LINE_BREAK}[A-Za-z0-9+/_-]++)+={{0,2}}"
+    rf"(?:(?<=\\)[nr]|(?<![A-Za-z0-9+/_-]))[A-Za-z0-9+/_-]{{40,}}+"
+    rf"(?:{_LINE_BREAK}[A-Za-z0-9+/_-]++)+={{0,2}}"
 )
 _LINE = re.compile(r"(?:(?<=\\)[nr])?([A-Za-z0-9+/_-]+)")
 _JOINT = re.compile(_LINE_BREAK)
@@ -57,6 +64,9 @@ KEYWORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 
 SEQUENCE, INTEGER, BIT_STRING, OCTET_STRING = 0x30, 0x02, 0x03, 0x04
 SSH_MAGIC = b"openssh-key-v1\0"
+#: Of formats of keys: none has more elements in all, and no SSH key more strings.
+MAX_ELEMENTS = 1000
+MAX_STRINGS = 16
 SSH_NAMES = (b"ssh-", b"ecdsa-", b"sk-ssh-", b"sk-ecdsa-")
 
 
@@ -72,10 +82,13 @@ def from_base64(text: str) -> bytes | None:
 
 
 def der_elements(data: bytes) -> list[tuple[int, int]] | None:
-    """(tag, length) of the elements that fill ``data``; None if lengths do not add up."""
+    """(tag, length) of the elements that fill ``data``; None if lengths do not add up.
+
+    Elements may be nested to any depth; data with more of them than any key has is no key.
+    """
     found: list[tuple[int, int]] = []
     at, end, ends = 0, len(data), []
-    while True:
+    for _ in range(MAX_ELEMENTS + 1):
         while at == end and ends:
             end = ends.pop()
         if at == end:
@@ -101,6 +114,7 @@ def der_elements(data: bytes) -> list[tuple[int, int]] | None:
             end = at + length
         else:
             at += length
+    return None
 
 
 def is_der_key(data: bytes | None) -> bool:
@@ -138,7 +152,7 @@ def is_ssh_key(data: bytes | None) -> bool:
 def _ssh_strings(data: bytes, count: int | None) -> list[bytes] | None:
     found, at = [], 0
     while at < len(data) and (count is None or len(found) < count):
-        if at + 4 > len(data):
+        if at + 4 > len(data) or len(found) == MAX_STRINGS:
             return None
         length = int.from_bytes(data[at : at + 4], "big")
         if at + 4 + length > len(data):
@@ -217,84 +231,116 @@ def holds_pem(data: bytes | None) -> bool:
     return bool(data) and b"-----BEGIN " in data and bool(pem_spans(data.decode("latin-1")))
 
 
+class _Lines:
+    """The lines of a block of wrapped base64, and what any stretch of them decodes to.
+
+    The whole block is decoded at most once for each of the four places at which a stretch can
+    begin within a group of four characters.
+    """
+
+    def __init__(self, text: str, spans: list[tuple[int, int]]):
+        self.spans = spans
+        self.joined = "".join([text[a:b] for a, b in spans])
+        self.width = [b - a for a, b in spans]
+        self.offset = [0, *itertools.accumulate(self.width)]
+        # Line with which the lines of the same width end, from the last line back.
+        self.same_width_to = list(range(len(spans)))
+        for n in range(len(spans) - 2, -1, -1):
+            if self.width[n] == self.width[n + 1]:
+                self.same_width_to[n] = self.same_width_to[n + 1]
+        self._decoded: dict[int, bytes] = {}
+
+    def data(self, first: int, last: int) -> bytes | None:
+        """What the lines from ``first`` to ``last`` decode to."""
+        start, size = self.offset[first], self.offset[last + 1] - self.offset[first]
+        return None if size % 4 == 1 else self._from(start, size)
+
+    def head(self, first: int) -> bytes:
+        """The first bytes of line ``first``, as many as tell a key's sort and length."""
+        size = min(40, len(self.joined) - self.offset[first])
+        return from_base64(self.joined[self.offset[first] : self.offset[first] + size // 4 * 4]) or b""
+
+    def _from(self, start: int, size: int) -> bytes:
+        phase = start % 4
+        if phase not in self._decoded:
+            rest = self.joined[phase:]
+            # One character too many for whole bytes holds none.
+            self._decoded[phase] = from_base64(rest[:-1] if len(rest) % 4 == 1 else rest) or b""
+        at = start // 4 * 3
+        return self._decoded[phase][at : at + size * 3 // 4]
+
+
 def wrapped_spans(text: str) -> list[tuple[str, int, int]]:
     """Keys in base64 that goes over several lines, each span from a line's start to a line's end."""
     found = []
     for block in WRAPPED.finditer(text):
-        lines, at = [], block.start()
+        spans, at = [], block.start()
         while (line := _LINE.match(text, at, block.end())) is not None:
-            lines.append(line.span(1))
+            spans.append(line.span(1))
             joint = _JOINT.match(text, line.end(), block.end())
             if joint is None:
                 break
             at = joint.end()
-        done = 0
-        for first, (start, _) in enumerate(lines):
+        lines, done = _Lines(text, spans), 0
+        for first, (start, _) in enumerate(spans):
             if first < done:
                 continue
-            head = text[start : start + 4]
-            fresh = first == done or lines[first - 1][1] - lines[first - 1][0] != _width(lines, first)
-            if head[0] == "M":
-                last, kind = _der_end(text, lines, first), "der"
-            elif fresh or head in ("AAAA", "b3Bl"):
-                last, kind = _even_end(text, lines, first)
-            else:
-                continue
-            if last is None and fresh and head[0] == "M":
-                last, kind = _even_end(text, lines, first)
+            fresh = first == done or lines.width[first - 1] != lines.width[first]
+            last, kind = _der_end(lines, first), "der"
+            if last is None:
+                last, kind = _even_end(lines, first, fresh)
             if last is None or last == first:
                 continue
-            end = block.end() if last == len(lines) - 1 else lines[last][1]
+            end = block.end() if last == len(spans) - 1 else spans[last][1]
             found.append((kind, start, end))
             done = last + 1
     return found
 
 
-def _width(lines: list[tuple[int, int]], at: int) -> int:
-    return lines[at][1] - lines[at][0]
-
-
-def _joined_lines(text: str, lines: list[tuple[int, int]]) -> bytes | None:
-    return from_base64("".join(text[a:b] for a, b in lines))
-
-
-def _der_end(text: str, lines: list[tuple[int, int]], first: int) -> int | None:
+def _der_end(lines: _Lines, first: int) -> int | None:
     """The line with which the DER key that begins in line ``first`` ends."""
-    head = from_base64(text[lines[first][0] : lines[first][0] + 8]) if _width(lines, first) >= 8 else None
-    if not head or head[0] != SEQUENCE:
+    head = lines.head(first)
+    if len(head) < 6 or head[0] != SEQUENCE:
         return None
     size = head[1] & 0x7F if head[1] & 0x80 else 0
     if size > 4:
         return None
     total = 2 + size + (int.from_bytes(head[2 : 2 + size], "big") if size else head[1])
-    need = (total * 8 + 5) // 6
-    last = first
-    while need > _width(lines, last):
-        need -= _width(lines, last)
-        last += 1
-        if last == len(lines):
-            return None
-    if need != _width(lines, last):
+    end = lines.offset[first] + (total * 8 + 5) // 6
+    last = bisect.bisect_left(lines.offset, end) - 1
+    if end > lines.offset[-1] or lines.offset[last + 1] != end or not _may_be_der(lines, first):
         return None
-    return last if is_der_key(_joined_lines(text, lines[first : last + 1])) else None
+    return last if is_der_key(lines.data(first, last)) else None
+
 
+def _may_be_der(lines: _Lines, first: int) -> bool:
+    """Whether the outer sequence begins as a key's does, with a number or another sequence."""
+    head = lines.head(first)
+    size = head[1] & 0x7F if head[1] & 0x80 else 0
+    return head[2 + size : 3 + size] in (bytes([INTEGER]), bytes([SEQUENCE]))
 
-def _even_end(text: str, lines: list[tuple[int, int]], first: int) -> tuple[int | None, str]:
+
+def _even_end(lines: _Lines, first: int, fresh: bool) -> tuple[int | None, str]:
     """As above for other keys: lines of one width, then at most one shorter line."""
-    last, width = first, _width(lines, first)
-    while last + 1 < len(lines) and _width(lines, last) == width >= _width(lines, last + 1):
+    if not fresh and not _begins_ssh_key(lines.head(first)):
+        return None, "ssh"
+    last = lines.same_width_to[first]
+    if last + 1 < len(lines.width) and lines.width[last + 1] < lines.width[last]:
         last += 1
     # A word of the next line may look like the last one.
     for end in (last, last - 1):
         if end > first:
-            data = _joined_lines(text, lines[first : end + 1])
-            if holds_pem(data):
+            if fresh and holds_pem(lines.data(first, end)):
                 return end, "pem"
-            if is_ssh_key(data):
+            if _begins_ssh_key(lines.head(first)) and is_ssh_key(lines.data(first, end)):
                 return end, "ssh"
     return None, "ssh"
 
 
+def _begins_ssh_key(head: bytes) -> bool:
+    return head.startswith(SSH_MAGIC) or head[4:].startswith(SSH_NAMES)
+
+
 def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans whose decoded structure was confirmed."""
     found = []
@@ -317,11 +363,12 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
         elif holds_pem(data):
             found.append(("pem", start, end))
     if blobs:
-        found += [
-            (kind, start, end)
-            for kind, start, end in wrapped_spans(text)
-            if not any(a <= start and end <= b for a, b in pems)
-        ]
+        # PEM spans are in order and apart, so only the last to begin before one may hold it.
+        begins = [a for a, _ in pems]
+        for kind, start, end in wrapped_spans(text):
+            before = bisect.bisect_right(begins, start) - 1
+            if before < 0 or end > pems[before][1]:
+                found.append((kind, start, end))
     return found
 
 
@@ -345,7 +392,8 @@ def find_secrets(
     Both are arrays of (kind, start, end) in code points, the end exclusive, by start and then
     kind; ``secret_spans`` holds the base ones and the confirmed ones.  ``keep`` names the
     columns passed on, all by default; one that has the name of an output is replaced.  A
-    null or empty text has no spans; an empty table gives no rows.
+    null or empty text has no spans; repeated rows are rows of their own; an empty table gives
+    no rows.
     """
     outputs = ["base_spans", "secret_spans"]
     kept = [c for c in (documents.columns if keep is None else keep) if c not in outputs]

@@ -49,12 +49,18 @@ def _expression(host: Column, path: Column) -> Column:
     return F.concat(host, F.lit("\n"), path)
 
 
-def host_suffixes(host: str) -> Column:
-    """The host and all its parents, label by label."""
-    labels = F.split(host, r"\.")
+def _labels(host: str) -> Column:
+    return F.split(host, r"\.")
+
+
+def host_suffixes(host: str, sizes: list[int]) -> Column:
+    """The host's ends of so many labels; as long as some rule's host, whatever the host's."""
+    labels = _labels(host)
+    wanted = F.filter(
+        F.array(*[F.lit(n) for n in sizes]).cast("array<int>"), lambda n: n <= F.size(labels)
+    )
     return F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda n: F.array_join(F.slice(labels, n, F.size(labels)), "."),
+        wanted, lambda n: F.array_join(F.slice(labels, F.size(labels) - n + 1, n), ".")
     )
 
 
@@ -85,8 +91,12 @@ def judge_urls(
         .withColumn("r_digest", F.sha2(_expression(F.col("r_host"), F.col("r_path")), 256))
         .withColumn("r_prefix", F.substring("r_digest", 1, PREFIX_DIGITS))
     )
-    # Path prefixes need only be as long as some rule's path: as many lengths as a path has.
-    lengths = [r.n for r in rules.select(F.char_length("r_path").alias("n")).distinct().collect()]
+    # Ends and prefixes need only be as long as some rule's host and path.
+    shapes = rules.select(
+        F.size(_labels("r_host")).alias("labels"), F.char_length("r_path").alias("length")
+    )
+    shapes = shapes.distinct().collect()
+    lengths, sizes = {r.length for r in shapes}, {r.labels for r in shapes}
     rows = pages.select(
         F.monotonically_increasing_id().alias("row_id"),
         F.col(id_col).alias("page_id"),
@@ -98,7 +108,7 @@ def judge_urls(
         lambda n: n <= F.char_length("path"),
     )
     exploded = (
-        rows.withColumn("suffix", F.explode_outer(host_suffixes("host")))
+        rows.withColumn("suffix", F.explode_outer(host_suffixes("host", sorted(sizes))))
         .withColumn("length", F.explode_outer(prefixes))
         .withColumn(
             "digest",
