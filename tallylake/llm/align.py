@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from tallylake.llm.common import row_numbers, staged, text_slices
 
-BLOCK_BYTES = 8 << 20
-ENCODE_BYTES = 1 << 20
+BLOCK_BYTES = 4 << 20
+ENCODE_BYTES = 1 << 19
 SPACE_MARK = "▁"
 
 #: What a document may be given; ``groups`` is text, ids of A and B as ``a1,a2|b1;a3|b2,b3``.
@@ -130,7 +130,7 @@ class Tokenizers:
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of A and B of every text; none where a side's bytes are not those of the text."""
-        a_bytes, b_bytes = (side.__getitem__ for side in self.bytes)
+        b_bytes = self.bytes[1].__getitem__
         none = np.zeros(0, dtype=np.int32)
         found = []
         for text, b in zip(texts, self.b.encode(texts, num_threads=1)):
@@ -139,10 +139,9 @@ class Tokenizers:
                 spaced = " " + text
                 whole = spaced.encode()
                 a = self.encode_a(spaced)
-                if (
-                    b"".join(map(b_bytes, b)) == whole
-                    and b"".join(map(a_bytes, a.tolist())) == whole
-                ):
+                # Tokens of A are bytes of the text in their order, so their length tells.
+                same_a = int(self.lengths[0][a].sum()) == len(whole)
+                if same_a and b"".join(map(b_bytes, b)) == whole:
                     found[-1] = (a, np.array(b, dtype=np.int32))
         return found
 
@@ -193,9 +192,9 @@ def _first_windows(
 class Block:
     """The aligned documents of a block.
 
-    ``n_groups``, ``windows`` and ``counts`` are lists by document: its groups, the numbers of
-    its distinct windows and how often it holds each.  ``pairs`` are the block's distinct
-    linked ids with their number of links; ``links`` of window w are places in ``pairs``.
+    ``n_groups``, ``windows`` and ``groups`` are lists by document: the number of its groups, its
+    windows as numbers of distinct ones, and its groups as text.  ``pairs`` are the block's
+    distinct linked ids with their number of links; ``links`` of a window are places in ``pairs``.
     """
 
     def __init__(self, tokenizers: Tokenizers, encoded: list[tuple[np.ndarray, np.ndarray]]):
@@ -208,7 +207,6 @@ class Block:
         self.link_stops, self.links = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         self.n_groups = np.zeros(len(encoded), dtype=np.int64)
         self.windows = [none] * len(encoded)
-        self.counts = [none] * len(encoded)
         self.groups = [""] * len(encoded)
         if len(ids[0]):
             self._align(tokenizers, ids)
@@ -237,7 +235,7 @@ class Block:
         first, which = _first_windows(ids, starts, lengths)
 
         self._link(ids, marks, [s[first] for s in starts], [n[first] for n in lengths], which)
-        texts = self._texts(tokenizers, ids, group_end, window_group, first)
+        texts = self._texts(tokenizers, ids, group_end, window_group, first, which)
         self._deal(starts, window_group, which, texts)
 
     def _link(self, ids, marks, starts, lengths, which) -> None:
@@ -246,9 +244,10 @@ class Block:
         # The token over a piece is the number of its side's ends before the piece's end.
         ended = [marks[side][cuts] for side in (0, 1)]
         place = [np.cumsum(e) - e for e in ended]
-        link_start = np.searchsorted(place[0], starts[0])
-        link_stop = np.searchsorted(place[0], starts[0] + lengths[0])
-        size = link_stop - link_start
+        # Links before each token of A, and before the end.
+        before = np.concatenate([[0], np.flatnonzero(ended[0]) + 1])
+        link_start = before[starts[0]]
+        size = before[starts[0] + lengths[0]] - link_start
         at = _ranges(link_start, size)
         key = ids[0][place[0][at]].astype(np.int64) << 32 | ids[1][place[1][at]]
         distinct, self.links = np.unique(key, return_inverse=True)
@@ -259,8 +258,8 @@ class Block:
             self.links, weights=np.repeat(times, size), minlength=len(distinct)
         ).astype(np.int64)
 
-    def _texts(self, tokenizers, ids, group_end, window_group, first) -> list[str]:
-        """The groups of every distinct window as text; equal groups are written once."""
+    def _texts(self, tokenizers, ids, group_end, window_group, first, which) -> list[str]:
+        """The text of every group; equal groups of the distinct windows are written once."""
         text = tokenizers.texts
         group_stop = window_group + 1
         group_start = np.concatenate([[0], group_stop[:-1]])
@@ -274,7 +273,7 @@ class Block:
             own.append(ids[side][_ranges(start[groups], size)])
             starts.append(np.cumsum(size) - size)
             lengths.append(size)
-        distinct, which = _first_windows(tuple(own), starts, lengths)
+        distinct, like = _first_windows(tuple(own), starts, lengths)
         made = []
         for side in (0, 1):
             at, size = starts[side][distinct].tolist(), lengths[side][distinct].tolist()
@@ -282,23 +281,20 @@ class Block:
                 [",".join([text[side][i] for i in own[side][a : a + m]]) for a, m in zip(at, size)]
             )
         joined = [f"{a}|{b}" for a, b in zip(*made)]
-        parts = list(map(joined.__getitem__, which.tolist()))
-        stops = np.cumsum(n).tolist()
-        return [
-            parts[i] if j - i == 1 else ";".join(parts[i:j]) for i, j in zip([0, *stops], stops)
-        ]
+        # Every window has the groups of the distinct one it equals.
+        every = like[_ranges((np.cumsum(n) - n)[which], n[which])]
+        return list(map(joined.__getitem__, every.tolist()))
 
     def _deal(self, starts, window_group, which, texts: list[str]) -> None:
         first_token = np.concatenate([[0], np.cumsum(self.sizes[0])])
         bounds = np.searchsorted(starts[0], first_token)
-        groups = np.diff(np.concatenate([[-1], window_group]))
-        total = np.concatenate([[0], np.cumsum(groups)])
-        self.n_groups = total[bounds[1:]] - total[bounds[:-1]]
+        total = np.concatenate([[0], window_group + 1])[bounds]
+        self.n_groups = np.diff(total)
+        which = which.astype(np.int32)
         for doc, (i, j) in enumerate(zip(bounds.tolist(), bounds[1:].tolist())):
             if j > i:
-                self.windows[doc], counts = np.unique(which[i:j], return_counts=True)
-                self.counts[doc] = counts
-                self.groups[doc] = ";".join(map(texts.__getitem__, which[i:j].tolist()))
+                self.windows[doc] = which[i:j]
+                self.groups[doc] = ";".join(texts[total[doc] : total[doc + 1]])
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -310,7 +306,6 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 _BLOCK_FIELDS = {
     "block": "bigint",
     "windows": "array<int>",
-    "counts": "array<int>",
     "pair_a": "array<int>",
     "pair_b": "array<int>",
     "pair_n": "array<bigint>",
@@ -368,7 +363,6 @@ def aligned_blocks(
             own = {
                 "block": pa.array([number] * n, pa.int64()),
                 "windows": _lists(block.windows),
-                "counts": _lists(block.counts),
             }
             columns = {f.name: batch.column(f.name) for f in kept_fields}
             columns |= {name: made[name] for name in plain} | own
@@ -454,17 +448,16 @@ def align(
 
     kept_names = [f"keep_{i}" for i in range(len(kept))]
     plain = [o for o in OUTPUTS if o in outputs and o not in _SCORED]
-    docs = blocks.where("pair_a is null").select(*kept_names, *plain, "block", "windows", "counts")
+    docs = blocks.where("pair_a is null").select(*kept_names, *plain, "block", "windows")
     made = [*kept_names, *outputs]
 
     def add_scores(docs: pa.Table, facts: pa.Table) -> pa.Table:
         sums = _window_scores(facts)
         stops = np.cumsum([0] + _sizes(docs.column("windows")))
         windows = _flat(docs.column("windows"))
-        counts = _flat(docs.column("counts"))
         columns = {c: docs.column(c) for c in [*kept_names, *plain]}
         for name, by_window in zip(_SCORED, sums):
-            total = np.concatenate([[0], np.cumsum(by_window[windows] * counts)])
+            total = np.concatenate([[0], np.cumsum(by_window[windows])])
             columns[name] = pa.array(total[stops[1:]] - total[stops[:-1]], pa.int64())
         return pa.table({c: columns[c] for c in made})
 
