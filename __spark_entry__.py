@@ -14,7 +14,8 @@ from tallylake.functions.cells import type_cells
 from tallylake.functions.timeparts import day_range
 from tallylake.operators import aggregates, dedup
 from tallylake.operators.ordering import place_rows
-from tallylake.plans import reports, rollups
+from tallylake.plans import reports, rollup_reports, rollups, sketches
+from tallylake.plans.compaction import compact_transactions
 from tallylake.plans.views import adhoc_sql, register_views
 from tallylake.schema import CELLS
 from tallylake.session import configure, scratch_dir
@@ -167,6 +168,60 @@ def _rollup_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, audit).select("run_id", "late_rows")
 
 
+def _rollup_user_30min_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _two_arrivals(spark, sf_dir, rollups.refresh_user_30min)
+    return _boundary(rollups.read_user_30min(spark, root, repaired=True))
+
+
+def _rollup_site_daily_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _two_arrivals(spark, sf_dir, rollups.refresh_site_daily)
+    return rollups.read_site_daily(spark, root, repaired=True)
+
+
+def _part_unseen(
+    spark: SparkSession, sf_dir: str, refresh: Callable[[SparkSession, str], object]
+) -> str:
+    """Two arrivals, the second in two loads of which the refresh has seen the first only."""
+    root = scratch_dir(spark, "lake")
+    first, second = fixtures.arrivals(spark, sf_dir)
+    for batch, rows in enumerate((first, second.where("transaction_id % 2 = 0"))):
+        tables.write_transactions(rows, root, batch)
+        refresh(spark, root)
+    tables.write_transactions(second.where("transaction_id % 2 = 1"), root, 2)
+    return root
+
+
+def _daily_count_from_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _part_unseen(spark, sf_dir, rollups.refresh_site_daily)
+    return rollup_reports.daily_count(spark, root)
+
+
+def _daily_amount_from_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _part_unseen(spark, sf_dir, rollups.refresh_site_daily)
+    return rollup_reports.daily_amount(spark, root, EVENT_DAYS)
+
+
+def _top_users_from_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _part_unseen(spark, sf_dir, rollups.refresh_user_30min)
+    return rollup_reports.top_users(spark, root, *EVENT_DAYS, "total_amount", descending=True)
+
+
+def _daily_unique_users_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of two loads, merged, against the exact numbers."""
+    root = scratch_dir(spark, "lake")
+    users = fixtures.event_transactions(spark, sf_dir, raw_users=True)
+    for batch in (0, 1):
+        tables.write_transactions(users.where(f"transaction_id % 2 = {batch}"), root, batch)
+        sketches.refresh_user_sketches(spark, root)
+    exact = reports.daily_unique_users(users, *EVENT_DAYS)
+    found = sketches.daily_unique_users_sketch(spark, root, *EVENT_DAYS)
+    error = F.abs(F.col("total_count") - F.col("estimate"))
+    bound = F.ceil(3 * sketches.RELATIVE_ERROR * F.col("total_count"))
+    return exact.join(found.withColumnRenamed("total_count", "estimate"), "day").select(
+        "day", (error <= bound).alias("within_bound")
+    )
+
+
 def _adhoc_sql_after_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same SQL before and after a second load: it sees what was loaded in between."""
     root = scratch_dir(spark, "lake")
@@ -377,13 +432,7 @@ def _compact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = fixtures.lineitem_transactions(spark, sf_dir)
     tables.write_transactions(df, root, 0)
     tables.write_transactions(df.where("currency_code <> 'N'"), root, 1)
-    tables.compact(
-        spark,
-        tables.transactions(root),
-        lambda rows: tables.with_month_layout(
-            dedup.replace_latest(rows, dedup.BY_TRANSACTION_ID, SHIPMENT_ORDER)
-        ),
-    )
+    compact_transactions(spark, root, dedup.BY_TRANSACTION_ID, SHIPMENT_ORDER)
     return _boundary(tables.read_table(spark, tables.transactions(root)).select(*CELLS))
 
 
@@ -419,6 +468,12 @@ def queries() -> dict[str, Query]:
         "rollup_site_daily_incremental": _rollup_site_daily_incremental,
         "rollup_site_daily_refresh": _rollup_site_daily_refresh,
         "rollup_late_rows": _rollup_late_rows,
+        "rollup_user_30min_repaired": _rollup_user_30min_repaired,
+        "rollup_site_daily_repaired": _rollup_site_daily_repaired,
+        "daily_count_from_rollup": _daily_count_from_rollup,
+        "daily_amount_from_rollup": _daily_amount_from_rollup,
+        "top_users_from_rollup": _top_users_from_rollup,
+        "daily_unique_users_sketch": _daily_unique_users_sketch,
         "adhoc_rollup_sql": _adhoc_rollup_sql,
         "adhoc_sql_after_load": _adhoc_sql_after_load,
         "daily_count_placed": _daily_count_placed,
@@ -579,6 +634,23 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL
             SELECT CAST(1 AS BIGINT), count(*) FROM t, m
             WHERE NOT is_first AND window_start < hw""",
+        "rollup_user_30min_repaired": f"""
+            SELECT {_WINDOW} AS window_start, site_id, username, {_MEASURES}
+            FROM ({_FOLDED}) GROUP BY 1, 2, 3""",
+        "rollup_site_daily_repaired": f"""
+            SELECT {_DAY} AS day, site_id, {_MEASURES} FROM ({_FOLDED}) GROUP BY 1, 2""",
+        "daily_count_from_rollup": f"""
+            SELECT {_DAY} AS day, count(*) AS total_count FROM ({_FOLDED}) GROUP BY 1""",
+        "daily_amount_from_rollup": f"""
+            SELECT {_DAY} AS day, CAST(sum(transfer_amount) AS DECIMAL(38,2)) AS total_amount
+            FROM ({_FOLDED}) WHERE {_between(EVENT_DAYS)} GROUP BY 1""",
+        "top_users_from_rollup": f"""
+            SELECT username, CAST(sum(transfer_amount) AS DECIMAL(38,2)) AS total_amount
+            FROM ({_FOLDED}) WHERE {_between(EVENT_DAYS)}
+            GROUP BY username ORDER BY total_amount DESC, username LIMIT 20""",
+        "daily_unique_users_sketch": f"""
+            SELECT DISTINCT {_DAY} AS day, TRUE AS within_bound
+            FROM ({_USERS}) WHERE {_between(EVENT_DAYS)}""",
         "adhoc_rollup_sql": f"""
             {_ARRIVALS}, stored AS (SELECT DISTINCT day, site_id FROM t WHERE is_first),
             u AS (

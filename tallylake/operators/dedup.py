@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 BY_TRANSACTION_ID = ("transaction_id",)
 # The declared sort key.  The version is part of it, so it cannot choose between versions.
 BY_STORED_KEY = ("site_id", "username", "transaction_time", "_version")
+# Of rows that share the declared sort key, version included, the choice is by their values.
+STORED_ORDER = ("transaction_id", "bill_id", "item_id", "currency_code", "transfer_amount")
 # Makes the choice independent of the physical order of rows.
 LATEST = ("_version", "transaction_time", "source_file", "source_pos")
 

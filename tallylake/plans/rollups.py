@@ -1,4 +1,9 @@
-"""Incremental maintenance and reading of the two rollups."""
+"""Incremental maintenance and reading of the two rollups.
+
+A run never changes a bucket older than the newest stored one.  Rows that come too late for
+their bucket are summed up by bucket into a table of their own, ``<rollup>_late``: counts and
+amounts only add up, so stored rows and late ones together are the rollup of all rows.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +16,7 @@ from pyspark.sql import types as T
 from tallylake.functions.timeparts import time_range
 from tallylake.operators import aggregates
 from tallylake.operators.dedup import last_inserted
+from tallylake.schema import AMOUNT
 from tallylake.sources import tables
 from tallylake.sources.tables import Table
 
@@ -18,6 +24,9 @@ EPOCH = dt.datetime(1970, 1, 1)
 # Floor of a full build: below every bucket.
 NO_FLOOR = -(2**62)
 
+# With more floors than this, buckets are compared with a table of them.
+MAX_LITERALS = 32
+
 USER_KEYS = ("window_start", "site_id", "username")
 SITE_KEYS = ("day", "site_id")
 
@@ -65,25 +74,35 @@ def commit_run(
     tables.write_commit(df.sortWithinPartitions(*keys), table, run, floor)
 
 
+def _arrived(spark: SparkSession, root: str, table: Table, through: int) -> DataFrame | None:
+    """The rows of the loads since the last run; None if that is not known or there are none."""
+    seen = tables.seen_batch(spark, table)
+    if seen is None or seen >= through:
+        return None
+    rows = tables.read_after(spark, tables.transactions(root), seen)
+    return rows.where(F.col("batch_id") <= through)
+
+
 def _audit(
-    spark: SparkSession, root: str, table: Table, run: int, mark: int | None, through: int
+    spark: SparkSession, table: Table, run: int, mark: int | None, through: int, late: DataFrame | None
 ) -> None:
-    """Note how many rows arrived since the last run too late for the rollup.
+    """Store what came too late for the run's buckets, and how many rows lie below its mark.
 
-    Only the batches after that run are read.  Written before the run's rows, whose marker
+    Only the loads since the last run are read.  Written before the run's rows, whose marker
     commits both: a run that stops in between is repeated under its number and counts again.
     """
-    facts, audit = tables.transactions(root), tables.rollup_audit(table)
-    seen = tables.seen_batch(spark, table)
-    late = 0
-    if mark is not None and seen is not None:
-        arrived = tables.read_after(spark, facts, seen).where(F.col("batch_id") <= through)
-        late = time_range(arrived, before=_datetime(mark)).count()
+    count = 0
+    if late is not None:
+        held = tables.rollup_late(table)
+        tables.write_commit(late, held, run)
+        below = F.col(table.month_of) < F.lit(_datetime(mark))
+        stored = tables.read_table(spark, held).where((F.col("run_id") == run) & below)
+        count = stored.agg(F.coalesce(F.sum("txn_count"), F.lit(0))).first()[0]
     row = spark.range(0, 1, 1, 1).select(
         F.lit(through).cast("bigint").alias("through_batch"),
-        F.lit(late).cast("bigint").alias("late_rows"),
+        F.lit(count).cast("bigint").alias("late_rows"),
     )
-    tables.write_commit(row, audit, run)
+    tables.write_commit(row, tables.rollup_audit(table), run)
 
 
 def refresh_user_30min(spark: SparkSession, root: str) -> int:
@@ -96,7 +115,11 @@ def refresh_user_30min(spark: SparkSession, root: str) -> int:
     mark = high_water(spark, table, "window_start")
     facts, through = _facts(spark, root, mark)
     run = tables.last_seq(spark, table) + 1
-    _audit(spark, root, table, run, mark, through)
+    arrived = None if mark is None else _arrived(spark, root, table, through)
+    late = None
+    if arrived is not None:
+        late = aggregates.user_30min(time_range(arrived, before=_datetime(mark)))
+    _audit(spark, table, run, mark, through, late)
     commit_run(aggregates.user_30min(facts), table, USER_KEYS, run, mark)
     return run
 
@@ -114,64 +137,134 @@ def refresh_site_daily(spark: SparkSession, root: str, mode: str = "insert_new")
     facts, through = _facts(spark, root, mark)
     run = tables.last_seq(spark, table) + 1
     new = aggregates.site_daily(facts)
+    arrived = None if mark is None else _arrived(spark, root, table, through)
+    late = None
+    if arrived is not None:
+        late = aggregates.site_daily(time_range(arrived, before=_datetime(mark)))
+    if mark is not None and mode == "refresh":
+        late = _with_recomputed(spark, table, late, mark)
     if mark is not None and mode == "insert_new":
         # New rows start at the newest stored day, so only that day can hold their keys.
-        stored = tables.read_table(spark, table).where(F.col("day") >= F.lit(_datetime(mark).date()))
-        new = new.join(stored.select(*SITE_KEYS), list(SITE_KEYS), "left_anti")
-    _audit(spark, root, table, run, mark, through)
+        newest = F.lit(_datetime(mark).date())
+        stored = tables.read_table(spark, table).where(F.col("day") >= newest)
+        stored = stored.select(*SITE_KEYS).distinct()
+        new = new.join(stored, list(SITE_KEYS), "left_anti")
+        if late is not None:
+            # What is new of a stored pair of that day is not added to it, and so is late.
+            start = _datetime(mark)
+            on_day = time_range(arrived, start, start + dt.timedelta(days=1))
+            same = aggregates.site_daily(on_day).join(stored, list(SITE_KEYS), "left_semi")
+            late = late.unionByName(same)
+    _audit(spark, table, run, mark, through, late)
     commit_run(new, table, SITE_KEYS, run, mark)
     return run
 
 
+def _with_recomputed(
+    spark: SparkSession, table: Table, late: DataFrame | None, mark: int
+) -> DataFrame | None:
+    """Late rows, and less what earlier runs held late of the day that is now computed anew."""
+    held = late_rows(spark, table)
+    if held is None:
+        return late
+    held = held.where(F.col("day") == F.lit(_datetime(mark).date()))
+    held = add_up(held, SITE_KEYS).withColumns(
+        {m: (-F.col(m)).cast(table.columns[m].dataType) for m in aggregates.ROLLUP_MEASURES}
+    )
+    return held if late is None else late.unionByName(held)
+
+
 def refresh_all(spark: SparkSession, root: str) -> None:
     """Both rollups, in order."""
     refresh_user_30min(spark, root)
     refresh_site_daily(spark, root)
 
 
-def read_user_30min(spark: SparkSession, root: str) -> DataFrame:
-    return _current(spark, tables.user_30min(root), USER_KEYS)
+def read_user_30min(spark: SparkSession, root: str, repaired: bool = False) -> DataFrame:
+    """The per-user rollup; ``repaired`` adds the rows that came too late for their window."""
+    return _read(spark, tables.user_30min(root), USER_KEYS, repaired)
 
 
 def read_user_30min_stream(spark: SparkSession, root: str) -> DataFrame:
-    return _current(spark, tables.user_30min_stream(root), USER_KEYS)
+    return _read(spark, tables.user_30min_stream(root), USER_KEYS)
+
 
+def read_site_daily(spark: SparkSession, root: str, repaired: bool = False) -> DataFrame:
+    """The per-site rollup; ``repaired`` adds the rows that came too late for their day."""
+    return _read(spark, tables.site_daily(root), SITE_KEYS, repaired)
 
-def read_site_daily(spark: SparkSession, root: str) -> DataFrame:
-    return _current(spark, tables.site_daily(root), SITE_KEYS)
 
+def _read(
+    spark: SparkSession, table: Table, keys: tuple[str, ...], repaired: bool = False
+) -> DataFrame:
+    rows = _current(table, keys, tables.read_table(spark, table), _floors(spark, table))
+    late = late_rows(spark, table) if repaired else None
+    if late is None:
+        return rows
+    # Only keys with late rows are grouped; all others pass through.
+    late_keys = late.select(*keys).distinct()
+    alone = rows.join(late_keys, list(keys), "left_anti")
+    touched = rows.join(late_keys, list(keys), "left_semi").unionByName(late)
+    return alone.unionByName(add_up(touched, keys)).select(*table.columns.names)
 
-def _current(spark: SparkSession, table: Table, keys: tuple[str, ...]) -> DataFrame:
-    """The stored rollup with the last run winning for each key.
+
+def late_rows(spark: SparkSession, table: Table) -> DataFrame | None:
+    """What came too late for the committed runs, by bucket, once for each run; None if nothing."""
+    held = tables.rollup_late(table)
+    if tables.last_seq(spark, held) < 0:
+        return None
+    rows = tables.read_table(spark, held, tables.last_seq(spark, table))
+    return rows.select(*table.columns.names)
+
+
+def add_up(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Measures of rollup rows, summed by key."""
+    return rows.groupBy(*keys).agg(
+        F.sum("txn_count").alias("txn_count"),
+        F.sum("total_amount").cast(AMOUNT).alias("total_amount"),
+    )
+
+
+def _floors(spark: SparkSession, table: Table) -> list[int]:
+    """Floors of the live runs but the first, which has nothing before it to replace."""
+    base, deltas = tables.live_commits(spark, table)
+    return sorted({c.tag for c in (base + deltas)[1:]} - {NO_FLOOR})
+
+
+def _current(
+    table: Table, keys: tuple[str, ...], rows: DataFrame, floors: list[int]
+) -> DataFrame:
+    """Stored rows with the last run winning for each key.
 
     A run writes no bucket below its floor, and its floor is the largest bucket stored
     before it.  So two runs can share a key only where a bucket equals a floor.  All
     other rows pass through unshuffled; only the floor buckets are grouped, in the same way
     for any number of runs since the last compaction.
     """
-    base, deltas = tables.live_commits(spark, table)
-    commits = base + deltas
-    rows = tables.read_table(spark, table)
-    if len(commits) < 2:
-        return rows.select(*table.columns.names)
-    # The first live commit has nothing before it to replace.
-    floors = sorted({c.tag for c in commits[1:]} - {NO_FLOOR})
+    names = table.columns.names
     if not floors:
-        return rows.select(*table.columns.names)
+        return rows.select(*names)
     bucket = F.col(keys[0])
     kind = table.columns[keys[0]].dataType
-    contested = bucket.isin(*[_instant_of(f, kind) for f in floors])
-    latest = last_inserted(rows.where(contested), keys, aggregates.ROLLUP_MEASURES, table.seq)
-    alone = rows.where(~contested)
-    return alone.select(*table.columns.names).unionByName(latest.select(*table.columns.names))
+    if len(floors) <= MAX_LITERALS:
+        # Literals reach the scan.
+        contested = bucket.isin(*[_instant_of(F.lit(f), kind) for f in floors])
+        shared, alone = rows.where(contested), rows.where(~contested)
+    else:
+        listed = rows.sparkSession.createDataFrame([(f,) for f in floors], "floor bigint")
+        listed = listed.select(_instant_of(F.col("floor"), kind).alias("floor"))
+        shared = rows.join(listed, bucket == F.col("floor"), "left_semi")
+        alone = rows.join(listed, bucket == F.col("floor"), "left_anti")
+    latest = last_inserted(shared, keys, aggregates.ROLLUP_MEASURES, table.seq)
+    return alone.select(*names).unionByName(latest.select(*names))
 
 
 def _datetime(mark: int) -> dt.datetime:
     return EPOCH + dt.timedelta(microseconds=mark)
 
 
-def _instant_of(mark: int, kind: T.DataType) -> Column:
-    return F.timestamp_micros(F.lit(mark)).cast(kind)
+def _instant_of(mark: Column, kind: T.DataType) -> Column:
+    return F.timestamp_micros(mark).cast(kind)
 
 
 def compact_user_30min(spark: SparkSession, root: str) -> int | None:
@@ -187,6 +280,8 @@ def compact_site_daily(spark: SparkSession, root: str) -> int | None:
 
 
 def _compact(spark: SparkSession, table: Table, keys: tuple[str, ...]) -> int | None:
+    """Fold the runs into one; months without new buckets stay as they are."""
+    floors = _floors(spark, table)
     return tables.compact(
-        spark, table, lambda _: _current(spark, table, keys).sortWithinPartitions(*keys)
+        spark, table, lambda rows: _current(table, keys, rows, floors).sortWithinPartitions(*keys)
     )

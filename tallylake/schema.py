@@ -56,6 +56,15 @@ SITE_DAILY = T.StructType(
     ]
 )
 
+# A mergeable sketch of the users of a day and site.
+USER_SKETCH = T.StructType(
+    [
+        T.StructField("day", T.DateType()),
+        T.StructField("site_id", T.LongType()),
+        T.StructField("users", T.BinaryType()),
+    ]
+)
+
 REJECT = T.StructType(
     [
         T.StructField("file", T.StringType()),

@@ -2,23 +2,25 @@
 
 A table is a folder::
 
-    delta/<seq>=<n>/...    one folder per load or rollup run
-    base/<seq>=<n>/...     a compacted copy of every commit up to n
+    delta/<seq>=<n>/...          one folder per load or rollup run
+    base/<seq>=<n>/yyyymm=<m>    months a compaction has written
+    kept/<seq>=<n>/...           months of earlier bases it has left as they were
 
 Spark's own ``_SUCCESS`` marker is the commit point: readers use the newest marked
-base and the marked deltas after it.  A retried load writes the same folder again, a
-half-written one is not seen, and a compaction takes effect with its marker, so no
-folder is ever rewritten while a plan reads it.  One writer per table at a time.
+base, the months it kept, and the marked deltas after it.  A retried load writes the same
+folder again, a half-written one is not seen, and a compaction takes effect with its marker,
+so no folder is ever rewritten while a plan reads it.  One writer per table at a time.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +28,12 @@ from tallylake import schema
 from tallylake.functions.timeparts import day, month_number
 from tallylake.sources.paths import delete_folder, glob_paths, literal_path
 
+MONTH = T.StructField("yyyymm", T.IntegerType())
+KEPT = T.StructType([MONTH, T.StructField("folder", T.StringType())])
+#: Bytes of a range of the layout, before compression; more rows make more ranges.
+RANGE_BYTES = 1 << 28
+MOST_RANGES = 100_000
+
 
 @dataclass(frozen=True)
 class Table:
@@ -35,6 +43,8 @@ class Table:
     # A number stored in the folder name of each commit, next to its sequence.
     tag: str | None = None
     partitions: tuple[T.StructField, ...] = ()
+    # The time by whose month a base is cut into folders; a table without is never compacted.
+    month_of: str | None = None
 
     @property
     def schema(self) -> T.StructType:
@@ -54,21 +64,25 @@ def transactions(root: str) -> Table:
     return Table(
         f"{root}/transactions",
         schema.TRANSACTION,
-        partitions=(T.StructField("yyyymm", T.IntegerType()),),
+        partitions=(MONTH,),
+        month_of="transaction_time",
     )
 
 
 def user_30min(root: str) -> Table:
-    return Table(f"{root}/agg_username_30min", schema.USER_30MIN, "run_id", "floor_us")
+    path = f"{root}/agg_username_30min"
+    return Table(path, schema.USER_30MIN, "run_id", "floor_us", month_of="window_start")
 
 
 def user_30min_stream(root: str) -> Table:
     """The same rollup kept by the stream; its run number is the stream's batch."""
-    return Table(f"{root}/agg_username_30min_stream", schema.USER_30MIN, "run_id", "floor_us")
+    path = f"{root}/agg_username_30min_stream"
+    return Table(path, schema.USER_30MIN, "run_id", "floor_us", month_of="window_start")
 
 
 def site_daily(root: str) -> Table:
-    return Table(f"{root}/agg_site_daily", schema.SITE_DAILY, "run_id", "floor_us")
+    path = f"{root}/agg_site_daily"
+    return Table(path, schema.SITE_DAILY, "run_id", "floor_us", month_of="day")
 
 
 def rejects(root: str) -> Table:
@@ -83,6 +97,15 @@ def rollup_audit(rollup: Table) -> Table:
     return Table(f"{rollup.path}_audit", schema.ROLLUP_AUDIT, "run_id")
 
 
+def rollup_late(rollup: Table) -> Table:
+    """Rows that came too late for a run of the rollup, summed up by its keys."""
+    return Table(f"{rollup.path}_late", rollup.columns, "run_id")
+
+
+def user_sketches(root: str) -> Table:
+    return Table(f"{root}/agg_daily_users_hll", schema.USER_SKETCH, "run_id", month_of="day")
+
+
 def _marked(spark: SparkSession, table: Table, part: str) -> list[Commit]:
     tag = f"/{table.tag}=*" if table.tag else ""
     pattern = f"{literal_path(table.path)}/{part}/{table.seq}=*{tag}/_SUCCESS"
@@ -124,12 +147,38 @@ def unfinished(spark: SparkSession, table: Table) -> list[str]:
     return [f for seq, f in _folders(spark, table, "delta").items() if seq not in done]
 
 
-def _read(spark: SparkSession, table: Table, part: str, commits: list[Commit]) -> DataFrame:
-    return (
+def _read(spark: SparkSession, table: Table, part: str, folders: list[str]) -> DataFrame:
+    rows = (
         spark.read.schema(table.schema)
         .option("basePath", f"{table.path}/{part}")
-        .parquet(*[literal_path(c.path) for c in commits])
+        .parquet(*[literal_path(f) for f in folders])
     )
+    # A base of a table without partitions has its months as another column.
+    return rows.select(*table.schema.names)
+
+
+def _kept_path(table: Table, seq: int) -> str:
+    return f"{table.path}/kept/{table.seq}={seq}"
+
+
+def _kept(spark: SparkSession, table: Table, base: Commit) -> dict[int, str]:
+    """The months a compaction left in earlier bases, and their folders; at most one a month."""
+    path = literal_path(_kept_path(table, base.seq))
+    if not glob_paths(spark, f"{path}/_SUCCESS"):
+        return {}
+    return {r.yyyymm: r.folder for r in spark.read.schema(KEPT).parquet(path).collect()}
+
+
+def base_months(spark: SparkSession, table: Table, base: list[Commit]) -> dict[int, str]:
+    """The live months of the newest base and the folder of each."""
+    if not base:
+        return {}
+    written = glob_paths(spark, f"{literal_path(base[0].path)}/{MONTH.name}=*")
+    return _kept(spark, table, base[0]) | {int(f.rsplit("=", 1)[1]): f for f in written}
+
+
+def _base_folders(spark: SparkSession, table: Table, base: list[Commit]) -> list[str]:
+    return [base[0].path, *_kept(spark, table, base[0]).values()] if base else []
 
 
 def _no_rows(spark: SparkSession, table: Table) -> DataFrame:
@@ -143,11 +192,15 @@ def read_table(spark: SparkSession, table: Table, through: int | None = None) ->
     ``through`` leaves out deltas that were committed later.
     """
     base, deltas = live_commits(spark, table)
-    deltas = [c for c in deltas if through is None or c.seq <= through]
-    parts = [_read(spark, table, p, found) for p, found in (("base", base), ("delta", deltas)) if found]
-    if not parts:
-        return _no_rows(spark, table)
-    return reduce(DataFrame.unionByName, parts)
+    deltas = [c.path for c in deltas if through is None or c.seq <= through]
+    return _union(spark, table, _base_folders(spark, table, base), deltas)
+
+
+def _union(
+    spark: SparkSession, table: Table, base: list[str], deltas: list[str]
+) -> DataFrame:
+    parts = [_read(spark, table, p, f) for p, f in (("base", base), ("delta", deltas)) if f]
+    return reduce(DataFrame.unionByName, parts) if parts else _no_rows(spark, table)
 
 
 def rejected(spark: SparkSession, root: str) -> DataFrame:
@@ -182,7 +235,7 @@ def read_after(spark: SparkSession, table: Table, seq: int) -> DataFrame:
     deltas = [c for c in _marked(spark, table, "delta") if c.seq > seq]
     if not deltas:
         return _no_rows(spark, table)
-    return _read(spark, table, "delta", deltas)
+    return _read(spark, table, "delta", [c.path for c in deltas])
 
 
 def write_commit(
@@ -192,15 +245,22 @@ def write_commit(
     folder = f"{table.path}/{part}/{table.seq}={seq}"
     if table.tag:
         folder = f"{folder}/{table.tag}={tag}"
+    partitions = [p.name for p in table.partitions]
+    if part == "base" and not partitions:
+        df, partitions = df.withColumn(MONTH.name, _month(table)), [MONTH.name]
     (
-        df.select(*table.columns.names, *[p.name for p in table.partitions])
+        df.select(*table.columns.names, *partitions)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
-        .partitionBy(*[p.name for p in table.partitions])
+        .partitionBy(*partitions)
         .parquet(folder)
     )
 
 
+def _month(table: Table) -> Column:
+    return month_number(F.col(table.month_of)).cast("int")
+
+
 def with_month_layout(df: DataFrame) -> DataFrame:
     """Spread and sort rows for the month-partitioned transactions table.
 
@@ -210,7 +270,7 @@ def with_month_layout(df: DataFrame) -> DataFrame:
     row in its input; and small months share a task.  The bounds come from a sample of
     the key columns.
     """
-    ordered = df.withColumn("yyyymm", month_number(F.col("transaction_time")).cast("int"))
+    ordered = df.withColumn(MONTH.name, month_number(F.col("transaction_time")).cast("int"))
     keys = [
         F.col("yyyymm"),
         day(F.col("transaction_time")),
@@ -229,13 +289,52 @@ def write_transactions(df: DataFrame, root: str, batch_id: int) -> None:
             for f in schema.TRANSACTION.fields
         ]
     )
-    write_commit(with_month_layout(filled), transactions(root), batch_id)
+    with enough_ranges(filled):
+        write_commit(with_month_layout(filled), transactions(root), batch_id)
+
+
+@contextmanager
+def enough_ranges(df: DataFrame) -> Iterator[None]:
+    """While rows of this size are laid out, ranges of some hundred megabytes.
+
+    The session's number of shuffle partitions is the least; AQE joins small ranges.  What
+    counts is the size of the files that are read, which for staged rows is their own.
+    """
+    spark, name = df.sparkSession, "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    wanted = min(MOST_RANGES, _input_bytes(df) // RANGE_BYTES + 1)
+    before = spark.conf.get(name, None)
+    if wanted <= int(before or spark.conf.get("spark.sql.shuffle.partitions")):
+        yield
+        return
+    spark.conf.set(name, str(wanted))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def _input_bytes(df: DataFrame) -> int:
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+    total = 0
+    while leaves.hasNext():
+        size = int(str(leaves.next().stats().sizeInBytes()))
+        # Rows that come from no file have no size but the largest number.
+        total += size if size < 1 << 60 else 0
+    return total
 
 
 def compact(
-    spark: SparkSession, table: Table, transform: Callable[[DataFrame], DataFrame]
+    spark: SparkSession,
+    table: Table,
+    transform: Callable[[DataFrame], DataFrame],
+    touched: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
 ) -> int | None:
-    """Rewrite all live commits as one base; returns the last commit it covers.
+    """Fold the live deltas into the base; returns the last commit it covers.
+
+    Only months that change are rewritten: by default those of the deltas' rows, else those
+    ``touched`` names (one column yyyymm) from the rows of the base and of the deltas.  The
+    folders of all other months stay as they are, and the new base refers to them.
+    ``transform`` gets the rows of the base in those months and all rows of the deltas.
 
     Only committed loads are covered, and a replay of one of them stays hidden behind
     the base, so it cannot bring rows back.  With nothing new to fold in, nothing is
@@ -244,9 +343,26 @@ def compact(
     base, deltas = live_commits(spark, table)
     if not deltas:
         return base[0].seq if base else None
+    months, last = base_months(spark, table, base), deltas[-1].seq
+    folders = [c.path for c in deltas]
+    changed = set(months)
+    # A base written without months is rewritten as a whole.
+    if months:
+        new = _union(spark, table, [], folders)
+        found = new.select(_month(table).alias(MONTH.name)).distinct()
+        if touched:
+            found = touched(_union(spark, table, list(months.values()), []), new)
+        changed = {r[0] for r in found.distinct().collect()}
+    kept = [(m, f) for m, f in sorted(months.items()) if m not in changed]
+    old = [f for m, f in months.items() if m in changed] if months else [c.path for c in base]
+    rows = _union(spark, table, old, folders)
     tag = min((c.tag for c in base + deltas), default=None) if table.tag else None
-    write_commit(transform(read_table(spark, table)), table, deltas[-1].seq, tag, "base")
-    return deltas[-1].seq
+    # The list of what is kept comes first: the marker of the rows commits both.
+    listed = spark.createDataFrame(kept, KEPT).coalesce(1)
+    listed.write.mode("overwrite").parquet(_kept_path(table, last))
+    with enough_ranges(rows):
+        write_commit(transform(rows), table, last, tag, "base")
+    return last
 
 
 def seen_batch(spark: SparkSession, rollup: Table) -> int | None:
@@ -265,7 +381,8 @@ def _counted_through(spark: SparkSession, table: Table) -> list[int]:
     root, _, name = table.path.rpartition("/")
     if name != "transactions":
         return []
-    built = [t for t in (user_30min(root), site_daily(root)) if last_seq(spark, t) >= 0]
+    built = [user_30min(root), site_daily(root), user_sketches(root)]
+    built = [t for t in built if last_seq(spark, t) >= 0]
     seen = [seen_batch(spark, t) for t in built]
     return [-1 if batch is None else batch for batch in seen]
 
@@ -282,8 +399,17 @@ def remove_covered(spark: SparkSession, table: Table) -> int:
         return 0
     through = base[0].seq
     counted = min([through, *_counted_through(spark, table)])
+    kept = [f"{folder}/" for folder in _kept(spark, table, base[0]).values()]
     old = [f for seq, f in _folders(spark, table, "delta").items() if seq <= counted]
-    old += [f for seq, f in _folders(spark, table, "base").items() if seq < through]
+    for seq, folder in _folders(spark, table, "base").items():
+        if seq >= through:
+            continue
+        if any(k.startswith(f"{folder}/") for k in kept):
+            tag = f"/{table.tag}=*" if table.tag else ""
+            months = glob_paths(spark, f"{literal_path(folder)}{tag}/{MONTH.name}=*")
+            old += [m for m in months if f"{m}/" not in kept]
+        else:
+            old.append(folder)
     for folder in old:
         delete_folder(spark, folder)
     return len(old)

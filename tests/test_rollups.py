@@ -136,6 +136,76 @@ def test_views(spark, lake):
     assert counts.a == counts.b == counts.c
 
 
+def test_many_floors_are_a_table(spark, lake, monkeypatch):
+    """Beyond some floors the plan holds no literal per run, and the result is the same."""
+    for i, rows in enumerate(cuts(spark)):
+        tables.write_transactions(rows, lake, i)
+        rollups.refresh_user_30min(spark, lake)
+    few = rollups.read_user_30min(spark, lake)
+    monkeypatch.setattr(rollups, "MAX_LITERALS", 0)
+    many = rollups.read_user_30min(spark, lake)
+    assert spark_bag(many) == spark_bag(few)
+    table = tables.user_30min(lake)
+    rows = tables.read_table(spark, table)
+    sizes = [
+        len(plan(rollups._current(table, rollups.USER_KEYS, rows, list(range(n)))))
+        for n in (2, 2000)
+    ]
+    assert sizes[1] < sizes[0] + 200
+
+
+def test_late_rows_repair_the_rollups(spark, lake):
+    """Stored rows and late ones are the rollup of all rows, after every run."""
+    for i, rows in enumerate(cuts(spark)):
+        tables.write_transactions(rows, lake, i)
+        rollups.refresh_all(spark, lake)
+        stored = tables.read_table(spark, tables.transactions(lake))
+        assert spark_bag(rollups.read_user_30min(spark, lake, repaired=True)) == spark_bag(
+            aggregates.user_30min(stored)
+        )
+        assert spark_bag(rollups.read_site_daily(spark, lake, repaired=True)) == spark_bag(
+            aggregates.site_daily(stored)
+        )
+    # A mode that recomputes the newest day, runs without loads and compactions change nothing.
+    extra = fixtures.event_transactions(spark, SMALL).where("transaction_id % 3 = 1")
+    tables.write_transactions(extra, lake, 4)
+    rollups.refresh_site_daily(spark, lake, mode="refresh")
+    rollups.refresh_user_30min(spark, lake)
+    for _ in range(2):
+        stored = tables.read_table(spark, tables.transactions(lake))
+        assert spark_bag(rollups.read_site_daily(spark, lake, repaired=True)) == spark_bag(
+            aggregates.site_daily(stored)
+        )
+        assert spark_bag(rollups.read_user_30min(spark, lake, repaired=True)) == spark_bag(
+            aggregates.user_30min(stored)
+        )
+        rollups.refresh_all(spark, lake)
+        rollups.compact_user_30min(spark, lake)
+        rollups.compact_site_daily(spark, lake)
+
+
+def test_a_stopped_run_leaves_no_late_rows(spark, lake, monkeypatch):
+    first, second = fixtures.arrivals(spark, SMALL)
+    tables.write_transactions(first, lake, 0)
+    rollups.refresh_user_30min(spark, lake)
+    tables.write_transactions(second, lake, 1)
+    before = spark_bag(rollups.read_user_30min(spark, lake, repaired=True))
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(rollups, "commit_run", fail)
+        with pytest.raises(RuntimeError):
+            rollups.refresh_user_30min(spark, lake)
+    assert spark_bag(rollups.read_user_30min(spark, lake, repaired=True)) == before
+    rollups.refresh_user_30min(spark, lake)
+    stored = tables.read_table(spark, tables.transactions(lake))
+    assert spark_bag(rollups.read_user_30min(spark, lake, repaired=True)) == spark_bag(
+        aggregates.user_30min(stored)
+    )
+
+
 def test_unknown_mode(spark, lake):
     with pytest.raises(ValueError):
         rollups.refresh_site_daily(spark, lake, mode="merge")
