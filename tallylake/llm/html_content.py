@@ -432,9 +432,19 @@ def labelled_page(rng: random.Random) -> list[tuple[str, bool]]:
 
     def body_of_article() -> None:
         if rng.random() < 0.8:
+            # A headline may stand in a header of the article's own.
+            headed = rng.random() < 0.25
+            tag("<header>" if headed else "")
             tag(rng.choice(["<h1>", "<h2>"]))
             content(phrase(2, 9).capitalize())
             tag(rng.choice(["</h1>", "</h2>"]))
+            tag("</header>" if headed else "")
+        inner = rng.choice(["section", "div"]) if rng.random() < 0.3 else ""
+        tag(f"<{inner}>" if inner else "")
+        paragraphs()
+        tag(f"</{inner}>" if inner else "")
+
+    def paragraphs() -> None:
         for _ in range(rng.randint(0, 7)):
             shape = rng.random()
             if shape < 0.6:
@@ -474,6 +484,13 @@ def labelled_page(rng: random.Random) -> list[tuple[str, bool]]:
             else:
                 junk(rng.choice(["ad", "side", "form", "notice"]))
 
+    if rng.random() < 0.05:
+        # No element at all, or hardly any.
+        for _ in range(rng.randint(1, 4)):
+            content(sentences(1, 4))
+            tag(rng.choice(["<br>", "<p>"]))
+        return page if rng.random() < 0.5 else page[:1]
+
     tag("<html><body>")
     for _ in range(rng.randint(0, 2)):
         rng.choice([menu, lambda: junk("ad"), lambda: junk("notice"), lambda: junk("frame")])()

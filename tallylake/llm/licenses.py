@@ -1,8 +1,9 @@
 """License scan: Dice coefficient of word bigrams against templates.
 
-Units of a text are its lines and the blocks of lines between blank lines.  A unit matches a
-template if the Dice coefficient of their sets of word bigrams reaches the threshold ``t``.  That
-bounds the unit's number of bigrams from both sides, and it forces the unit to share some of any
+Units of a text are its lines, the blocks of lines between blank lines, one to three sentences
+that follow one another in a block, whatever lines they go over, and the whole text.  A unit
+matches a template if the Dice coefficient of their sets of word bigrams reaches the threshold
+``t`` and is the largest of all templates'.  The threshold bounds the unit's number of bigrams from both sides, and it forces the unit to share some of any
 ``m - ceil(m * t / (2 - t)) + 1`` of a template's ``m`` bigrams: so only units that hold one of
 that many chosen bigrams are compared at all.  Neither bound loses a match.  Built-in functions
 only.
@@ -14,12 +15,14 @@ import math
 import re
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallylake.llm.common import staged
 
 THRESHOLD = Fraction(4, 5)
+#: Sentences of a unit inside a block, at most.
+MOST_SENTENCES = 3
 
 # The wording of public licences and of the usual notices.
 TEMPLATES = (
@@ -27,6 +30,7 @@ TEMPLATES = (
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "This project is licensed under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),  # noqa: E501
+    ("MIT", "MIT License Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),  # noqa: E501
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),  # noqa: E501
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
@@ -39,6 +43,7 @@ TEMPLATES = (
     ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),  # noqa: E501
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),  # noqa: E501
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),  # noqa: E501
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),  # noqa: E501
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
@@ -51,6 +56,8 @@ TEMPLATES = (
 
 _NOT_WORD = r"[^\p{L}\p{N}]+"
 _BLANK_LINE = r"\n[\x20\x09\x0B-\x0D]*\n"
+#: After the mark that ends a sentence, before what may begin the next.
+_SENTENCE_END = r"(?<=[.!?])\s+(?=[\p{Lu}\"'(#*/])"
 
 
 def template_words(text: str) -> list[str]:
@@ -86,6 +93,19 @@ def word_bigrams(words: Column) -> Column:
     )
 
 
+def _sentence_units(block: Column) -> Column:
+    """Some sentences of a block, one after another, but never all of them: that is the block."""
+    sentences = F.split(block, _SENTENCE_END)
+
+    def runs(count: int) -> Column:
+        starts = F.when(
+            F.size(sentences) > count, F.sequence(F.lit(1), F.size(sentences) - (count - 1))
+        ).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda n: F.array_join(F.slice(sentences, n, count), " "))
+
+    return F.concat(*[runs(n) for n in range(1, MOST_SENTENCES + 1)])
+
+
 def template_table(spark: SparkSession, templates, threshold: Fraction) -> DataFrame:
     rows = []
     for number, (name, text) in enumerate(templates):
@@ -108,10 +128,12 @@ def find_licenses(
 
     ``matches`` lists (unit, license, common, unit_size, template_size) of every unit and
     template whose Dice coefficient ``2 * common / (unit_size + template_size)`` reaches the
-    threshold; units are numbered, lines first, then blocks.  ``licenses`` holds their names,
-    sorted.  Equal lines are units of their own.  A null or empty text has no matches; a line
+    threshold and no other template's with that unit is larger; units are numbered, lines first,
+    then blocks of several lines, the whole text if it has several blocks, and sentences.
+    ``licenses`` holds their names, sorted.  Equal lines are units of their own.  A null or empty text has no matches; a line
     of one word has no bigrams and matches nothing.  Rows that repeat an id are rows of their
-    own; other columns are ignored; an empty table gives no rows.
+    own; other columns are ignored; an empty table gives no rows.  A very long text without
+    the words of a licence is searched for these only.
     """
     spark = documents.sparkSession
     own = [bigrams(template_words(text)) for _, text in templates]
@@ -126,8 +148,18 @@ def find_licenses(
         hopeful = hopeful | low.contains(word)
 
     lines = F.split("text", "\n")
-    blocks = F.filter(F.split("text", _BLANK_LINE), lambda b: F.instr(b, "\n") > 0)
-    units = F.transform(F.concat(lines, blocks), lambda u: normalised_words(u))
+    every = F.split("text", _BLANK_LINE)
+    blocks = F.filter(every, lambda b: F.instr(b, "\n") > 0)
+    whole = F.filter(F.array("text"), lambda t: F.size(every) > 1)
+    sentences = F.flatten(F.transform(every, _sentence_units))
+    # A unit without any of those words is not taken apart.
+    has_rare = "|".join(re.escape(w) for w in rare)
+    units = F.transform(
+        F.concat(lines, blocks, whole, sentences),
+        lambda u: F.when(F.lower(u).rlike(has_rare), normalised_words(u)).otherwise(
+            F.array().cast("array<string>")
+        ),
+    )
     # More words than bigrams may repeat, so only the lower bound holds for words.
     units = F.filter(
         F.transform(units, lambda w, n: F.struct(n.alias("unit"), w.alias("words"))),
@@ -172,7 +204,10 @@ def find_licenses(
     reached = 2 * threshold.denominator * F.col("common") >= threshold.numerator * (
         F.col("size") + F.col("t_size")
     )
-    found = pairs.where(reached).groupBy("row_id").agg(
+    dice = F.col("common").cast("double") / (F.col("size") + F.col("t_size"))
+    largest = F.max("dice").over(Window.partitionBy("row_id", "unit"))
+    best = pairs.where(reached).withColumn("dice", dice).withColumn("largest", largest)
+    found = best.where("dice = largest").groupBy("row_id").agg(
         F.sort_array(
             F.collect_list(
                 F.struct(

@@ -1,8 +1,11 @@
 """Personal data replaced by surrogates.
 
 Emails, telephone, card and social security numbers, IBANs, IPv4 and IPv6 addresses and titled
-names are found by pattern.  An entity is its kind and its canonical form, so all spellings of one entity, in all
-documents, get the same surrogate.  The surrogate is drawn from a keyed hash; it has the kind's
+names are found by pattern; a full name that has a title anywhere in a text is also found in that
+text without one.  An entity is its kind and its canonical form, so all spellings of one entity, in
+all documents, get the same surrogate: a name after an open title has the gender its other titles
+in the corpus tell, a family name that one full name of its text ends with is that person's, and
+addresses of one domain share its surrogate.  The surrogate is drawn from a keyed hash; it has the kind's
 type, the entity's format digit by digit, and a name's gender and script.  Draws that meet an
 entity of the corpus, or another entity's surrogate, are drawn again until all are distinct.
 Built-in functions only.
@@ -87,6 +90,7 @@ _KINDS = (
 )
 PATTERNS = tuple((kind, pattern) for kind, _, pattern in _KINDS)
 _AFTER = r"(?![\p{L}\p{N}_@]|\.\d)"
+_TITLED = rf"\A(?:{_TITLES})\.?\x20"
 
 
 # Only the card's pattern has a group, so its back reference holds in the joined pattern too.
@@ -114,19 +118,22 @@ LONGER_FROM = 9
 def canonical(kind: Column, entity: Column) -> Column:
     """What all spellings of an entity have in common."""
     digits = F.regexp_replace(entity, r"[^\d]", "")
-    bare = F.regexp_replace(entity, rf"\A(?:{_TITLES})\.?\x20", "")
     return (
         F.when(kind == "email", F.lower(entity))
         .when(kind == "iban", F.regexp_replace(entity, r"\x20", ""))
         .when(kind == "ip", entity)
         .when(kind == "ip6", _full_ip6(entity))
-        .when(kind == "name", F.concat_ws(":", _gender(entity), bare))
+        .when(kind == "name", F.concat_ws(":", _gender(entity), _bare(entity)))
         .when((kind == "phone") & entity.rlike(_WITH_ONE), F.substring(digits, 2, 10))
         .when((kind == "phone") & entity.startswith("+"), F.concat(F.lit("+"), digits))
         .otherwise(digits)
     )
 
 
+def _bare(name: Column) -> Column:
+    return F.regexp_replace(name, _TITLED, "")
+
+
 def _full_ip6(entity: Column) -> Column:
     """All eight groups of an IPv6 address, four digits each."""
     low = F.lower(entity)
@@ -196,16 +203,20 @@ def _in_format(core: Column, seed: Column) -> Column:
     return F.array_join(F.transform(chars, other), "")
 
 
-def _surrogate(seed: Column) -> Column:
+def _surrogate(seed: Column, key: str) -> Column:
     """A draw for the row's (kind, entity): the canonical surrogate."""
     entity = F.col("entity")
+    # Where values of this length are used up, one digit more a round makes room for ten times
+    # as many: every round with open entities comes nearer to the last.
+    more = F.repeat(F.lit("0"), F.greatest(F.col("attempt") - (LONGER_FROM - 1), F.lit(0)))
+    more = _in_format(more, F.concat(seed, F.lit("+")))
+    # The domain's part depends on the domain alone.
+    domain = F.sha2(F.concat_ws("|", F.lit(key), F.substring_index(entity, "@", -1)), 256)
     email = F.concat(
-        _in_format(F.regexp_extract(entity, r"\A([^@]+)@", 1), seed),
-        F.lit("@"),
-        F.lit("mail"),
-        _draw(seed, 0, 1000).cast("string"),
-        # Short names are few, so later attempts have longer domains.
-        F.substring(F.sha2(F.concat(seed, F.lit("@")), 256), F.lit(1), F.col("attempt")),
+        _in_format(F.substring_index(entity, "@", 1), seed),
+        more,
+        F.lit("@mail-"),
+        F.substring(domain, 1, 16),
         F.lit(".example.net"),
     )
     # The prefix of documentation, then 96 bits.
@@ -223,10 +234,6 @@ def _surrogate(seed: Column) -> Column:
         .when(F.col("attempt") < LONGER_FROM, F.concat_ws(".", later, *octets))
         .otherwise(ip6)
     )
-    # Where numbers of this length are used up, one digit more a round makes room for ten times
-    # as many: every round with open entities comes nearer to the last.
-    more = F.repeat(F.lit("0"), F.greatest(F.col("attempt") - (LONGER_FROM - 1), F.lit(0)))
-    more = _in_format(more, F.concat(seed, F.lit("+")))
     # The country and the check digits' place stay as they are.
     iban = F.concat(
         F.substring(entity, 1, 2), _in_format(F.expr("substring(entity, 3)"), seed), more
@@ -292,7 +299,7 @@ def assign_surrogates(entities: DataFrame, key: str) -> DataFrame:
         seed = F.sha2(F.concat_ws("|", F.lit(key), "kind", "entity", F.col("attempt")), 256)
         drawn = staged(
             open_.withColumn("seed", seed)
-            .withColumn("surrogate", _surrogate(F.col("seed")))
+            .withColumn("surrogate", _surrogate(F.col("seed"), key))
             .select("kind", "entity", "script", "attempt", "seed", "surrogate"),
             "pii-drawn",
         )
@@ -313,8 +320,66 @@ def assign_surrogates(entities: DataFrame, key: str) -> DataFrame:
             return taken
 
 
-def _spelled(kind: Column, found: Column, surrogate: Column) -> Column:
+def _name_mentions(mentions: DataFrame) -> DataFrame:
+    """Mentions (row_id, at, kind, found) of names with their entity, and whether by family name.
+
+    A single word is the family name of the one full name of its text that ends with it and
+    has no other gender.  A name without a telling title has the gender that all telling titles
+    of that name in the corpus agree on.
+    """
+    names = mentions.where("kind = 'name'").withColumns(
+        {"gender": _gender(F.col("found")), "bare": _bare(F.col("found"))}
+    )
+    is_full = F.col("bare").contains(" ")
+    full = (
+        names.where(is_full)
+        .groupBy("row_id", "bare")
+        .agg(F.collect_set(F.when(F.col("gender") != "n", F.col("gender"))).alias("genders"))
+        .select(
+            F.col("row_id").alias("in_row"),
+            F.substring_index("bare", " ", -1).alias("family"),
+            F.col("bare").alias("full"),
+            "genders",
+        )
+    )
+    fits = (
+        (F.col("row_id") == F.col("in_row"))
+        & (F.col("bare") == F.col("family"))
+        & ((F.col("gender") == "n") | (F.size("genders") == 0)
+           | F.array_contains("genders", F.col("gender")))
+    )
+    alone = names.where(~is_full).join(full, fits, "left")
+    alone = alone.groupBy("row_id", "at", "found", "gender", "bare").agg(
+        F.count("full").alias("n"), F.min("full").alias("full")
+    )
+    alone = alone.withColumn("family_only", F.col("n") == 1).withColumn(
+        "bare", F.when(F.col("n") == 1, F.col("full")).otherwise(F.col("bare"))
+    )
+    columns = ["row_id", "at", "found", "gender", "bare", "family_only"]
+    named = names.where(is_full).withColumn("family_only", F.lit(False)).select(columns)
+    named = named.unionByName(alone.select(columns))
+    told = (
+        named.where("gender <> 'n'")
+        .groupBy("bare")
+        .agg(F.min("gender").alias("told"), F.max("gender").alias("other"))
+        .where("told = other")
+        .select("bare", "told")
+    )
+    gender = F.when(F.col("gender") == "n", F.coalesce("told", F.lit("n"))).otherwise(F.col("gender"))
+    return named.join(told, "bare", "left").select(
+        "row_id",
+        "at",
+        "found",
+        F.lit("name").alias("kind"),
+        F.concat_ws(":", gender, "bare").alias("entity"),
+        "family_only",
+    )
+
+
+def _spelled(kind: Column, found: Column, surrogate: Column, family_only: Column) -> Column:
     """The canonical surrogate in the spelling in which the entity was found."""
+    name = F.expr("substring(surrogate, 3)")
+    name = F.when(family_only, F.substring_index(name, " ", -1)).otherwise(name)
     far = (kind == "phone") & found.rlike(_WITH_ONE)
     one = F.when(far, F.regexp_extract(found, r"\A\+?1", 0)).otherwise("")
     rest = F.substring(found, F.char_length(one) + 1, F.char_length(found))
@@ -341,11 +406,33 @@ def _spelled(kind: Column, found: Column, surrogate: Column) -> Column:
     title = F.regexp_extract(found, rf"\A((?:{_TITLES})\.?\x20)", 1)
     return (
         F.when(kind.isin("email", "ip", "ip6"), surrogate)
-        .when(kind == "name", F.concat(title, F.expr("substring(surrogate, 3)")))
+        .when(kind == "name", F.concat(title, name))
         .otherwise(F.concat(one, shaped))
     )
 
 
+def _with_names(found: Column) -> Column:
+    """The pattern of a text's entities: all kinds, and its titled full names without their title."""
+    full = F.filter(
+        F.transform(F.filter(found, lambda x: x.rlike(_TITLED)), _bare), lambda x: x.contains(" ")
+    )
+    # Longer names first: a shorter one may begin a longer.
+    names = F.transform(
+        F.sort_array(
+            F.transform(F.array_distinct(full), lambda x: F.struct(F.char_length(x).alias("n"), x.alias("x"))),
+            asc=False,
+        ),
+        lambda x: x["x"],
+    )
+    # A name is letters, marks, hyphens, apostrophes and blanks: nothing a pattern reads otherwise.
+    untitled = F.concat(
+        F.lit(ENTITY + r"|(?<![\p{L}\p{N}_])(?=\p{Lu})(?:"),
+        F.array_join(names, "|"),
+        F.lit(")" + _AFTER),
+    )
+    return F.when(F.size(names) > 0, untitled).otherwise(F.lit(ENTITY))
+
+
 def surrogates(
     documents: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -353,7 +440,8 @@ def surrogates(
 
     ``text`` has every entity replaced; ``entities`` lists (kind, start, end, surrogate) in the
     order of the original text, in code points, the end exclusive.  Equal entities get equal
-    surrogates, different ones different surrogates, in the whole table.  A null text stays
+    surrogates, different ones different surrogates, in the whole table; a person's family name
+    alone is given the surrogate's.  A null text stays
     null and has no entities, like an empty one.  Rows that repeat an id are rows of their own;
     other columns are ignored; an empty table gives no rows.
     """
@@ -369,16 +457,26 @@ def surrogates(
                 F.col("text").rlike(HOPEFUL),
                 F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0)),
             ).otherwise(F.array().cast("array<string>")),
+        )
+        .withColumn("pattern", _with_names(F.col("found")))
+        .withColumn(
+            "found",
+            F.when(
+                F.col("pattern") != ENTITY,
+                F.regexp_extract_all("text", F.col("pattern"), F.lit(0)),
+            ).otherwise(F.col("found")),
         ),
         "pii-rows",
     )
     hit = rows.where(F.size("found") > 0)
-    mentions = (
-        hit.select("row_id", F.posexplode("found").alias("at", "found"))
-        .withColumn("kind", _kind(F.col("found")))
-        .withColumn("entity", canonical(F.col("kind"), F.col("found")))
+    # What no pattern of a kind fits is a name without its title.
+    kind = F.coalesce(_kind(F.col("found")), F.lit("name"))
+    seen = hit.select("row_id", F.posexplode("found").alias("at", "found")).withColumn("kind", kind)
+    seen = staged(seen, "pii-seen")
+    others = seen.where("kind <> 'name'").withColumns(
+        {"entity": canonical(F.col("kind"), F.col("found")), "family_only": F.lit(False)}
     )
-    mentions = staged(mentions, "pii-mentions")
+    mentions = staged(others.unionByName(_name_mentions(seen)), "pii-mentions")
     assigned = assign_surrogates(mentions.select("kind", "entity").distinct(), key)
     replaced = (
         mentions.join(assigned, ["kind", "entity"])
@@ -390,13 +488,15 @@ def surrogates(
                         "at",
                         "kind",
                         F.char_length("found").alias("size"),
-                        _spelled(F.col("kind"), F.col("found"), F.col("surrogate")).alias("put"),
+                        _spelled(
+                            F.col("kind"), F.col("found"), F.col("surrogate"), F.col("family_only")
+                        ).alias("put"),
                     )
                 )
             ).alias("r")
         )
     )
-    between = F.split("text", ENTITY, -1)
+    between = F.split("text", F.col("pattern"), -1)
     text = F.concat(
         F.array_join(
             F.transform("r", lambda x, n: F.concat(F.get("gaps", n), x["put"])), ""

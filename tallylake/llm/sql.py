@@ -135,15 +135,26 @@ def _templates() -> str:
 
 OP10 = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+k AS (
+    SELECT rid, unnest(string_split_regex(t, '\n[\x20\x09\x0B-\x0D]*\n')) AS part,
+        generate_subscripts(string_split_regex(t, '\n[\x20\x09\x0B-\x0D]*\n'), 1) AS n FROM d),
+c AS (
+    SELECT rid, n, string_split(
+        regexp_replace(part, '([.!?])\s+([\p{{Lu}}"''(#*/])', '\1' || chr(30) || '\2', 'g'),
+        chr(30)) AS c
+    FROM k),
 u AS (
+    SELECT rid, 's' || n || '.' || w || '.' || p AS unit, array_to_string(c[p:p + w - 1], ' ') AS part
+    FROM c, unnest(range(1, {licenses.MOST_SENTENCES} + 1)) AS x(w),
+        unnest(CASE WHEN len(c) > w THEN range(1, len(c) - w + 2) ELSE [] END) AS y(p)
+    UNION ALL
+    SELECT rid, 'w', t FROM d WHERE rid IN (SELECT rid FROM k WHERE n = 2)
+    UNION ALL
     SELECT rid, 'l' || n AS unit, part FROM (
         SELECT rid, unnest(string_split(t, chr(10))) AS part,
             generate_subscripts(string_split(t, chr(10)), 1) AS n FROM d)
     UNION ALL
-    SELECT rid, 'b' || n AS unit, part FROM (
-        SELECT rid, unnest(string_split_regex(t, '\n[\x20\x09\x0B-\x0D]*\n')) AS part,
-            generate_subscripts(string_split_regex(t, '\n[\x20\x09\x0B-\x0D]*\n'), 1) AS n FROM d)
-    WHERE contains(part, chr(10))),
+    SELECT rid, 'b' || n AS unit, part FROM k WHERE contains(part, chr(10))),
 w AS (SELECT rid, unit, regexp_extract_all(lower(part), '[\p{{L}}\p{{N}}]+') AS w FROM u),
 b AS (SELECT DISTINCT rid, unit, w[p] || ' ' || w[p + 1] AS g
     FROM w, unnest(range(1, len(w))) AS x(p)),
@@ -156,10 +167,12 @@ m AS (
             >= {licenses.THRESHOLD.numerator} * (any_value(size) + any_value(t_size)) AS reached
     FROM b JOIN t ON b.g = t.g JOIN sizes ON sizes.rid = b.rid AND sizes.unit = b.unit
     GROUP BY b.rid, b.unit, template, license),
+best AS (
+    SELECT *, max(dice) OVER (PARTITION BY rid, unit) AS most FROM m WHERE reached),
 f AS (
     SELECT rid, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
         count(*) AS n_matches, max(dice) AS best_dice
-    FROM m WHERE reached GROUP BY rid)
+    FROM best WHERE dice = most GROUP BY rid)
 SELECT doc_id, coalesce(licenses, '') AS licenses, coalesce(n_matches, 0) AS n_matches, best_dice
 FROM d LEFT JOIN f USING (rid)
 """

@@ -73,17 +73,65 @@ def test_length_follows_and_rows_repeat(spark):
 # --- licences -------------------------------------------------------------------------
 
 
+def _units(text):
+    """Lines, blocks, the whole text, and one to three sentences of a block, each once."""
+    blocks = re.split(r"\n[\x20\t\x0b-\r]*\n", text)
+    units = text.split("\n") + [b for b in blocks if "\n" in b]
+    if len(blocks) > 1:
+        units.append(text)
+    for block in blocks:
+        parts, start = [], 0
+        for m in re.finditer(r"\s+", block):
+            before, after = block[: m.start()], block[m.end() :]
+            if before[-1:] in (".", "!", "?") and (after[:1].isupper() or after[:1] in tuple("\"'(#*/")):
+                parts.append(block[start : m.start()])
+                start = m.end()
+        parts.append(block[start:])
+        for size in (1, 2, 3):
+            if size < len(parts):
+                units += [" ".join(parts[i : i + size]) for i in range(len(parts) - size + 1)]
+    return units
+
+
 def _slow_licenses(text):
-    text = text or ""
-    units = text.split("\n") + [b for b in re.split(r"\n[\x20\t\x0b-\r]*\n", text) if "\n" in b]
-    found = set()
-    for unit in units:
+    names = set()
+    for unit in _units(text or ""):
         own = licenses.bigrams(licenses.template_words(unit))
+        scores = []
         for name, template in licenses.TEMPLATES:
             other = licenses.bigrams(licenses.template_words(template))
-            if own and 2 * len(own & other) * 5 >= 4 * (len(own) + len(other)):
-                found.add(name)
-    return sorted(found)
+            if own and 10 * len(own & other) >= 4 * (len(own) + len(other)):
+                scores.append((2 * len(own & other) / (len(own) + len(other)), name))
+        names |= {name for score, name in scores if score == max(scores)[0]}
+    return sorted(names)
+
+
+def test_licence_probes(spark):
+    gpl = next(t for n, t in licenses.TEMPLATES if n == "GPL-3.0" and t.startswith("This program"))
+    words = gpl.split()
+    wrapped = "\n".join("# " + " ".join(words[i : i + 10]) for i in range(0, len(words), 10))
+    mit = max((t for n, t in licenses.TEMPLATES if n == "MIT"), key=len)
+    texts = {
+        "This work is licensed under the GNU General Public License, version 3.": ["GPL-3.0"],
+        "Released under the MIT License. See the file LICENSE for details.": ["MIT"],
+        "About this file. Released under the MIT License. Have fun!": ["MIT"],
+        gpl: ["GPL-3.0"],
+        f"{wrapped}\n# See the file COPYING for the text.": ["GPL-3.0"],
+        mit.replace(". ", ".\n\n").replace("conditions: ", "conditions:\n\n"): ["MIT"],
+        "We licensed the software under a contract. It is released to the public.": [],
+    }
+    docs = _docs(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    found = {r.doc_id: r.licenses for r in licenses.find_licenses(docs).collect()}
+    assert found == dict(enumerate(texts.values()))
+
+
+def test_a_long_text_of_licences(spark):
+    """Sentences, lines and blocks of one text of a megabyte."""
+    line = "Released under the MIT License. See LICENSE.\n"
+    docs = _docs(spark, [(1, line * 8_000, "s"), (2, "licensed under. " * 20_000, "s"), (3, "." * 500_000, "s")])
+    found = {r.doc_id: r for r in licenses.find_licenses(docs).collect()}
+    assert found[1].licenses == ["MIT"] and len(found[1].matches) >= 8_000
+    assert found[2].licenses == found[3].licenses == []
 
 
 def test_licenses_against_brute_force(spark):
@@ -189,6 +237,102 @@ def test_every_kind_is_found_wherever_it_stands(spark):
     assert one == two and re.fullmatch("2001:0db8(:[0-9a-f]{4}){6}", one)
 
 
+def test_one_person_one_surrogate(spark):
+    rows = [
+        (1, "Mr John Smith met Dr John Smith. John Smith left; Mr. Smith and Smith stayed.", "s"),
+        (2, "Prof. John Smith, and John Smithson", "s"),
+        (3, "Mr Adam Bell and Mr Carl Bell: Mr. Bell is either.", "s"),
+        (4, "Mrs. Jane Smith wrote to Mr. Smith.", "s"),
+        (5, "Dr Kim Lee, Mr Kim Lee, Ms Kim Lee", "s"),
+        (6, "John Smith has no title here.", "s"),
+    ]
+    found = {r.doc_id: r for r in pii.surrogates(_docs(spark, rows, "entities"), "k").collect()}
+    one = [e.surrogate for e in found[1].entities]
+    assert len(one) == 4
+    name = one[0].removeprefix("Mr ")
+    assert one == [f"Mr {name}", f"Dr {name}", name, f"Mr. {name.split()[1]}"]
+    assert found[1].text == f"Mr {name} met Dr {name}. {name} left; Mr. {name.split()[1]} and Smith stayed."
+    assert [e.surrogate for e in found[2].entities] == [f"Prof. {name}"]
+    # Two persons of one family name: who is meant is open, so it is an entity of its own.
+    adam, carl, either = (e.surrogate for e in found[3].entities)
+    assert adam != carl and either.split()[-1] not in (adam.split()[-1], carl.split()[-1])
+    jane, mister = (e.surrogate for e in found[4].entities)
+    assert jane.split()[1] in pii.GIVEN["latin", "f"] and len(mister.split()) == 3
+    assert len({e.surrogate.split(" ", 1)[1] for e in found[5].entities}) == 3
+    assert found[6].text == rows[5][1]
+
+
+def test_spellings_and_shared_parts(spark):
+    rows = [
+        (1, "call +1 415-555-1234, 415-555-1234, 1-415-555-1234 or (415) 555-1234", "s"),
+        (2, "call +49 30 1234 5678 or +493012345678", "s"),
+        (3, "a.b@corp.example.org, c@corp.example.org, a.b@other.example.org", "s"),
+    ]
+    found = {r.doc_id: r for r in pii.surrogates(_docs(spark, rows, "entities"), "k").collect()}
+    digits = lambda e: re.sub(r"\D", "", e.surrogate)
+    one = found[1].entities
+    assert [e.kind for e in one] == ["phone"] * 4
+    assert len({digits(e)[-10:] for e in one}) == 1
+    assert one[0].surrogate.startswith("+1 ") and one[2].surrogate.startswith("1-")
+    two = found[2].entities
+    assert digits(two[0]) == digits(two[1]) and two[0].surrogate.startswith("+49 ")
+    three = [e.surrogate.split("@") for e in found[3].entities]
+    assert three[0][1] == three[1][1] != three[2][1] and len({"@".join(t) for t in three}) == 3
+
+
+def test_draws_end_where_values_run_out(spark, monkeypatch):
+    """More entities than surrogates of their length: later ones are longer, and all differ."""
+    monkeypatch.setattr(pii, "LONGER_FROM", 1)
+    octets = [f"10.0.{i}.{j}" for i in range(10) for j in range(30)]
+    letters = [f"{a}@x{n}.org" for n in range(2) for a in "abcdefghijklmnopqrstuvwxyz0123456789"]
+    # No address outside what the first attempts draw from.
+    monkeypatch.setattr(pii, "_draw", lambda seed, n, of: pii.F.pmod(pii.F.xxhash64(seed, pii.F.lit(n)), pii.F.lit(min(of, 4))).cast("int"))
+    docs = _docs(spark, [(i, f"at {t} now", "s") for i, t in enumerate(octets + letters)], "x1")
+    found = [r.entities[0].surrogate for r in pii.surrogates(docs, "k").collect()]
+    assert len(set(found)) == len(octets) + len(letters)
+
+
+def _plain_surrogates(spark, texts, key):
+    """Found spans of every text, from Python's own search, and which of them are one entity."""
+    import regex
+
+    flat = pii.ENTITY.replace("\\z", "\\Z")
+    return [[(m.start(), m.end(), m[0]) for m in regex.finditer(flat, t or "")] for t in texts]
+
+
+def test_spans_against_brute_force(spark):
+    """Random texts: the spans are those of a plain search, and entities map one to one."""
+    import random
+
+    rng = random.Random(12)
+    pool = ["a@b.co", "x.y@mail.example.org", "10.0.0.1", "10.0.0.2", "::1", "fe80::1:2", "Mr", "Dr",
+            "4111 1111 1111 1111", "123-45-6789", "+1 415 555 1234", "415-555-1234", "@", ".", "-", ":",
+            "DE89370400440532013000", "word", "Zoë", "12", "\n", ",", "1.2.3", "é"]
+    texts = ["".join(rng.choice(pool) + rng.choice([" ", " ", "", "."]) for _ in range(rng.randint(0, 14))) for _ in range(250)]
+    docs = _docs(spark, [(i, t, "s") for i, t in enumerate(texts)], "pattern")
+    rows = {r.doc_id: r for r in pii.surrogates(docs, "k").collect()}
+    wanted = _plain_surrogates(spark, texts, "k")
+    to_surrogate, to_entity = {}, {}
+    for i, text in enumerate(texts):
+        own = rows[i].entities
+        assert [(e.start, e.end) for e in own] == [(a, b) for a, b, _ in wanted[i]], text
+        rebuilt, at = "", 0
+        for e in own:
+            rebuilt += text[at : e.start] + e.surrogate
+            at = e.end
+            plain = re.sub(r"\D", "", text[e.start : e.end]) if e.kind in ("card", "ssn", "phone") else text[e.start : e.end]
+            if e.kind == "phone":
+                plain = plain[-10:]
+            put = re.sub(r"\D", "", e.surrogate)[-10:] if e.kind == "phone" else (
+                re.sub(r"\D", "", e.surrogate) if e.kind in ("card", "ssn") else e.surrogate)
+            if e.kind == "ip6":
+                continue
+            assert to_surrogate.setdefault((e.kind, plain), put) == put
+            assert to_entity.setdefault((e.kind, put), plain) == plain
+        assert rows[i].text == rebuilt + text[at:]
+    assert len(to_surrogate) > 8
+
+
 def test_surrogates_stay_distinct_when_draws_collide(spark, monkeypatch):
     # Draws from so few names that most of them collide.
     monkeypatch.setattr(pii, "SYLLABLES", {k: v[:2] for k, v in pii.SYLLABLES.items()})
