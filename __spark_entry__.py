@@ -19,7 +19,7 @@ from tallylake.plans.compaction import compact_transactions
 from tallylake.plans.views import adhoc_sql, register_views
 from tallylake.schema import CELLS
 from tallylake.session import configure, scratch_dir
-from tallylake.sources import tables
+from tallylake.sources import spans, tables
 from tallylake.sources.json_documents import read_json_rows
 from tallylake.sources.paths import create_empty
 from tallylake.streaming.ingest import ingest_new
@@ -450,6 +450,19 @@ def _month_partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _day_span_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One site's days: a compacted base and a later load, of which only some files are opened."""
+    root = scratch_dir(spark, "lake")
+    df = fixtures.lineitem_transactions(spark, sf_dir)
+    tables.write_transactions(df.where("currency_code <> 'N'"), root, 0)
+    tables.compact(spark, tables.transactions(root), tables.with_month_layout)
+    spans.refresh_spans(spark, root)
+    tables.write_transactions(df.where("currency_code = 'N'"), root, 1)
+    spans.refresh_spans(spark, root)
+    found = aggregates.daily_count(spans.read_days(spark, root, *SHIP_DAYS, site_id=1))
+    return found.select("day", "total_count")
+
+
 def queries() -> dict[str, Query]:
     registered: dict[str, Query] = {
         "daily_count": _daily_count,
@@ -492,6 +505,7 @@ def queries() -> dict[str, Query]:
         "replace_latest_stored_key": _replace_latest_stored_key,
         "compact_transactions": _compact_transactions,
         "month_partition_scan": _month_partition_scan,
+        "day_span_scan": _day_span_scan,
     }
     if _has_llm():
         registered |= importlib.import_module("tallylake.llm.queries").queries()
@@ -726,6 +740,9 @@ def oracle_sql() -> dict[str, str]:
                    AS yyyymm, site_id, count(*) AS txn_count,
                    CAST(sum(transfer_amount) AS DECIMAL(38,2)) AS total_amount
             FROM ({_SHIPMENTS}) WHERE {_between(SHIP_DAYS)} GROUP BY 1, 2""",
+        "day_span_scan": f"""
+            SELECT {_DAY} AS day, count(*) AS total_count
+            FROM ({_SHIPMENTS}) WHERE {_between(SHIP_DAYS)} AND site_id = 1 GROUP BY 1""",
     }
     if _has_llm():
         sql |= importlib.import_module("tallylake.llm.sql").oracle_sql()

@@ -147,7 +147,8 @@ def unfinished(spark: SparkSession, table: Table) -> list[str]:
     return [f for seq, f in _folders(spark, table, "delta").items() if seq not in done]
 
 
-def _read(spark: SparkSession, table: Table, part: str, folders: list[str]) -> DataFrame:
+def read_folders(spark: SparkSession, table: Table, part: str, folders: list[str]) -> DataFrame:
+    """Rows of some folders or files of the deltas or the bases."""
     rows = (
         spark.read.schema(table.schema)
         .option("basePath", f"{table.path}/{part}")
@@ -196,10 +197,16 @@ def read_table(spark: SparkSession, table: Table, through: int | None = None) ->
     return _union(spark, table, _base_folders(spark, table, base), deltas)
 
 
+def read_paths(spark: SparkSession, table: Table, paths: list[str]) -> DataFrame:
+    """Rows of some folders or files, of deltas and bases."""
+    base = [p for p in paths if f"/base/{table.seq}=" in p]
+    return _union(spark, table, base, [p for p in paths if p not in set(base)])
+
+
 def _union(
     spark: SparkSession, table: Table, base: list[str], deltas: list[str]
 ) -> DataFrame:
-    parts = [_read(spark, table, p, f) for p, f in (("base", base), ("delta", deltas)) if f]
+    parts = [read_folders(spark, table, p, f) for p, f in (("base", base), ("delta", deltas)) if f]
     return reduce(DataFrame.unionByName, parts) if parts else _no_rows(spark, table)
 
 
@@ -235,7 +242,7 @@ def read_after(spark: SparkSession, table: Table, seq: int) -> DataFrame:
     deltas = [c for c in _marked(spark, table, "delta") if c.seq > seq]
     if not deltas:
         return _no_rows(spark, table)
-    return _read(spark, table, "delta", [c.path for c in deltas])
+    return read_folders(spark, table, "delta", [c.path for c in deltas])
 
 
 def write_commit(

@@ -63,7 +63,7 @@ def ingest_new(
     The stream's checkpoint holds the names it has seen.  A failed run is repeated with the
     same files under the same batch number and replaces what it had written.  A file that
     was rejected or empty, and has changed since, is loaded as well.
-    ``max_bytes_per_batch`` splits a large first load into several commits.  ``version``
+    ``max_bytes_per_batch`` splits a large load into several commits.  ``version``
     is the stamp of the rows, by default the current second.
     """
     started = time.time()
@@ -100,7 +100,8 @@ def ingest_new(
     try:
         query.awaitTermination()
         staging = Staging(spark, staging_folder)
-        done += _load_left(listed, folder, root, staging, stamp, null_as_text)
+        most = _bytes_of(spark, max_bytes_per_batch)
+        done += _load_left(listed, folder, root, staging, stamp, null_as_text, most)
     finally:
         Staging(spark, staging_folder).clear()
     return _summary(spark, root, done, time.time() - started)
@@ -113,11 +114,12 @@ def _load_left(
     staging: Staging,
     stamp: int,
     null_as_text: bool,
+    max_bytes: int | None,
 ) -> list[int]:
     """Load or note the listed files the stream has seen and never loaded.
 
-    Returns the number of the commit, if there was anything to do.  A run that fails here
-    leaves nothing that counts, and the next finds the same files.
+    Returns the numbers of the commits, each of files of ``max_bytes`` or of one larger file.
+    A run that fails here keeps the commits it has made, and the next finds the other files.
     """
     spark = staging.spark
     seen = spark.createDataFrame(
@@ -146,13 +148,41 @@ def _load_left(
     unread = F.when(F.col("hidden"), HIDDEN_NAME).when(F.col("file_size") == 0, EMPTY_FILE)
     noted = left.withColumn("status", unread).where("status IS NOT NULL")
     again = left.where(unread.isNull())
-    names = [r.file for r in again.select("file").collect()]
-    pieces = named_pieces(spark, folder, names) if names else None
-    seq = tables.last_seq(spark, tables.transactions(root)) + 1
-    if seq and seq % COMMITS_PER_BATCH == 0:
-        raise ValueError(f"too many loads of mended files between two batches of {root}")
-    _load_batch(pieces, seq, folder, root, staging, stamp, null_as_text, again, noted)
-    return [seq]
+    sized = again.select("file", "file_size").orderBy("file").collect()
+    groups = _by_bytes([(r.file, r.file_size) for r in sized], max_bytes)
+    done = []
+    for group in groups or [[]]:
+        seq = tables.last_seq(spark, tables.transactions(root)) + 1
+        if seq and seq % COMMITS_PER_BATCH == 0:
+            raise ValueError(f"too many loads of mended files between two batches of {root}")
+        pieces = named_pieces(spark, folder, group) if group else None
+        names = spark.createDataFrame([(name,) for name in group], "file string")
+        own = again.join(names, "file", "left_semi")
+        # Files that cannot be read are noted with the first commit.
+        first = None if done else noted
+        _load_batch(pieces, seq, folder, root, staging, stamp, null_as_text, own, first)
+        done.append(seq)
+    return done
+
+
+def _bytes_of(spark: SparkSession, size: str | None) -> int | None:
+    """What Spark takes a size such as ``10m`` to be."""
+    if not size:
+        return None
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(str(size))
+
+
+def _by_bytes(sized: list[tuple[str, int]], max_bytes: int | None) -> list[list[str]]:
+    """Files in their order, in groups of at most so many bytes or of one larger file."""
+    groups: list[list[str]] = []
+    room = 0
+    for name, size in sized:
+        if not groups or max_bytes is not None and size > room:
+            groups.append([])
+            room = max_bytes or 0
+        groups[-1].append(name)
+        room -= size
+    return groups
 
 
 def _load_batch(

@@ -258,3 +258,24 @@ def test_a_file_of_one_long_piece(spark, tmp_path, lake):
     assert (summary.files, summary.rows_ok, summary.rows_rejected) == (2, 1, 2)
     assert rejects(spark, lake) == {("objects", i, "BAD_SHAPE") for i in range(2)}
     assert ingest_new(spark, str(folder), lake).batches == 0
+
+
+def test_mended_files_are_loaded_by_bytes(spark, tmp_path, lake):
+    """What the stream has passed over is split like what it loads."""
+    folder = tmp_path / "in"
+    names = [f"f{i}" for i in range(6)]
+    put(folder, first=document(100), **{name: "[[1,2" for name in names})
+    ingest_new(spark, str(folder), lake)
+    put(folder, **{name: document(i, 10 + i) for i, name in enumerate(names)})
+    size = len(document(0, 10))
+    summary = ingest_new(spark, str(folder), lake, max_bytes_per_batch=str(2 * size + 5))
+    assert summary.batches == 3 and summary.files == 6 and summary.rows_ok == 12
+    assert ids(spark, lake) == sorted([*range(6), *range(10, 16), 100])
+    assert ingest_new(spark, str(folder), lake).batches == 0
+
+
+def test_files_in_groups_of_bytes():
+    sized = [("a", 3), ("b", 3), ("c", 9), ("d", 1), ("e", 2), ("f", 0)]
+    assert ingest._by_bytes(sized, 6) == [["a", "b"], ["c"], ["d", "e", "f"]]
+    assert ingest._by_bytes(sized, None) == [["a", "b", "c", "d", "e", "f"]]
+    assert ingest._by_bytes([], 6) == []
