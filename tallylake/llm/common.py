@@ -10,6 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from tallylake.session import scratch_dir
+from tallylake.sources.paths import delete_at_exit
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,12 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def staged(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """``df`` written to the shared scratch folder and read again.
 
-    This cuts the lineage: a lost executor, or a second reader, reads the files.  ``codec``
+    This cuts the lineage: a lost executor, or a second reader, reads the files.  They stay as
+    long as a plan may read them, which is to the end of the application.  ``codec``
     compresses them, by default the session's.
     """
     path = scratch_dir(df.sparkSession, label)
     writer = df.write if codec is None else df.write.option("compression", codec)
     writer.parquet(path)
+    delete_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -95,15 +95,22 @@ def word_bigrams(words: Column) -> Column:
 
 def _sentence_units(block: Column) -> Column:
     """Some sentences of a block, one after another, but never all of them: that is the block."""
-    sentences = F.split(block, _SENTENCE_END)
 
-    def runs(count: int) -> Column:
+    def runs(sentences: Column, count: int) -> Column:
         starts = F.when(
-            F.size(sentences) > count, F.sequence(F.lit(1), F.size(sentences) - (count - 1))
+            F.size(sentences) > count, F.sequence(F.lit(0), F.size(sentences) - count)
         ).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda n: F.array_join(F.slice(sentences, n, count), " "))
+        return F.transform(
+            starts, lambda n: F.concat_ws(" ", *[F.get(sentences, n + i) for i in range(count)])
+        )
 
-    return F.concat(*[runs(n) for n in range(1, MOST_SENTENCES + 1)])
+    # As the argument of a function the sentences are split once, not for each of their runs.
+    return F.flatten(
+        F.transform(
+            F.array(F.split(block, _SENTENCE_END)),
+            lambda s: F.concat(*[runs(s, n) for n in range(1, MOST_SENTENCES + 1)]),
+        )
+    )
 
 
 def template_table(spark: SparkSession, templates, threshold: Fraction) -> DataFrame:

@@ -45,24 +45,30 @@ def normalised(line: Column) -> Column:
     return F.regexp_replace(low, BLANKS, " ")
 
 
-def _window_hashes(window: int) -> Column:
-    """A hash of every window of the words: those of two halves, which may overlap, make a whole."""
-    hashes, width = F.transform("words", lambda w: F.xxhash64(w)), 1
+def _with_window_hashes(rows: DataFrame, window: int) -> DataFrame:
+    """Adds grams: a hash of every window, made of those of two halves, which may overlap.
+
+    Each width is a column of its own, so that it is computed once for all that refers to it.
+    """
+    rows, width = rows.withColumn("grams", F.transform("words", lambda w: F.xxhash64(w))), 1
     while width < window:
         shift = min(width, window - width)
-        count = F.greatest(F.size(hashes) - shift, F.lit(0))
-        hashes = F.zip_with(
-            F.slice(hashes, F.lit(1), count),
-            F.slice(hashes, F.lit(shift + 1), count),
-            lambda a, b: F.xxhash64(a, b),
+        rows = rows.withColumn("n_grams", F.greatest(F.size("grams") - shift, F.lit(0)))
+        rows = rows.withColumn(
+            "grams",
+            F.zip_with(
+                F.slice("grams", F.lit(1), F.col("n_grams")),
+                F.slice("grams", F.lit(shift + 1), F.col("n_grams")),
+                lambda a, b: F.xxhash64(a, b),
+            ),
         )
         width += shift
-    return hashes
+    return rows.drop("n_grams")
 
 
 def _with_repeats(rows: DataFrame, window: int) -> DataFrame:
     """Adds n_repeat_words: the words inside windows that the text has twice or more."""
-    rows = rows.withColumn("grams", _window_hashes(window))
+    rows = _with_window_hashes(rows, window)
     # Most texts repeat nothing; the others have their windows sorted by hash.
     placed = F.when(
         F.size(F.array_distinct("grams")) < F.size("grams"),

@@ -25,17 +25,19 @@ from tallylake.llm import (
 )
 from tallylake.llm.common import table
 from tallylake.session import scratch_dir
+from tallylake.sources.paths import delete_at_exit
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 BYTE_LEVEL_FILE = "byte_bpe_50k.json"
 PIECE_FILE = "piece_bpe_32k.model"
-#: The key of the surrogates; whoever runs the query over real data sets another.
-PII_KEY = "tallylake"
+#: The session's setting that holds the key of the surrogates; the query needs none for test data.
+PII_KEY_SETTING = "spark.tallylake.surrogateKey"
 _SPAN_TEXT = "concat(x.kind, ':', cast(x.start as string), ':', cast(x.end as string))"
 
 
 def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.surrogates(table(spark, sf_dir, "documents"), PII_KEY)
+    key = spark.conf.get(PII_KEY_SETTING, "test data")
+    return pii.surrogates(table(spark, sf_dir, "documents"), key)
 
 
 def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +61,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "warc")
     pages = table(spark, sf_dir, "pages")
-    return warc.page_facts(warc.transactions(pages, folder))
+    found = warc.page_facts(warc.transactions(pages, folder))
+    # Archives that nobody asked to keep go with the application.
+    delete_at_exit(spark, folder)
+    return found
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
