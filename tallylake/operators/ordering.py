@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallylake.session import scratch_dir
+from tallylake.sources.paths import delete_at_exit
 
 # Spark's increasing ids hold the partition above these bits and the row below them.
 ROW_BITS = 33
@@ -47,6 +48,7 @@ def place_rows(
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered = ordered.withColumn("_at", F.monotonically_increasing_id())
     ordered.write.parquet(path)
+    delete_at_exit(spark, path)
     stored = spark.read.schema(ordered.schema).parquet(path)
     part = F.shiftright("_at", ROW_BITS)
     counts = stored.groupBy(part.alias("_part")).count().orderBy("_part").collect()

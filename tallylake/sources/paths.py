@@ -51,6 +51,12 @@ def create_empty(spark: SparkSession, path: str) -> None:
     fs.create(located).close()
 
 
+def delete_at_exit(spark: SparkSession, folder: str) -> None:
+    """Have a folder that exists deleted when the driver ends; until then plans may read it."""
+    fs, path = _located(spark, folder)
+    fs.deleteOnExit(path)
+
+
 def delete_folder(spark: SparkSession, folder: str) -> None:
     fs, path = _located(spark, folder)
     if not fs.delete(path, True) and fs.exists(path):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallylake.sources.paths import delete_folder
+from tallylake.sources.paths import delete_at_exit, delete_folder
 
 
 class Staging:
@@ -22,6 +22,7 @@ class Staging:
     def put(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.folder}/{name}"
         df.write.mode("overwrite").parquet(path)
+        delete_at_exit(self.spark, path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def clear(self) -> None:
