@@ -7,7 +7,8 @@ positions of the token pairs that merge to it; ranks are taken in order, all pos
 merge together, and only the pairs with the touched neighbours enter the index anew.
 
 No merge crosses a piece, so the corpus may be replayed slice by slice with the same ids; that
-bounds the memory of a task, needs no shuffle, and a lost task is simply run again.
+bounds the memory of a task, needs no shuffle, and a lost task is simply run again.  A piece that
+stands in many slices is encoded in each task anew, unless the task remembers it.
 """
 
 from __future__ import annotations
@@ -77,16 +78,35 @@ class Vocabulary:
         return np.where(self.pair_keys[at] == key, self.pair_ranks[at], NO_RANK)
 
     def encode_word(self, word: bytes) -> list[int]:
-        """One word, pair by pair: the lowest rank first, the leftmost of equal ones."""
+        """One word, pair by pair: the lowest rank first, the leftmost of equal ones.
+
+        A heap holds the pairs, so a word of n bytes takes n log n steps.
+        """
         parts = [word[i : i + 1] for i in range(len(word))]
-        while len(parts) > 1:
-            ranked = [self.ranks.get(a + b, NO_RANK) for a, b in zip(parts, parts[1:])]
-            least = min(ranked)
-            if least == NO_RANK:
-                break
-            at = ranked.index(least)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ranks[p] for p in parts]
+        after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
+        heap: list[tuple[int, int, bytes]] = []
+
+        def enter(at: int) -> None:
+            if at >= 0 and after[at] < len(parts):
+                pair = parts[at] + parts[after[at]]
+                if pair in self.ranks:
+                    heapq.heappush(heap, (self.ranks[pair], at, pair))
+
+        for at in range(len(parts)):
+            enter(at)
+        while heap:
+            _, at, pair = heapq.heappop(heap)
+            right = after[at]
+            # A pair that a merge has changed since is no longer there.
+            if not parts[at] or right >= len(parts) or parts[at] + parts[right] != pair:
+                continue
+            parts[at], parts[right] = pair, b""
+            after[at] = after[right]
+            if after[right] < len(parts):
+                before[after[right]] = at
+            enter(at)
+            enter(before[at])
+        return [self.ranks[p] for p in parts if p]
 
     def encode_words(self, words: list[bytes]) -> list[bytes]:
         """Ids of every word as little-endian 32-bit integers."""
@@ -221,7 +241,8 @@ def tokenize(
 
     ``keep`` names the columns that are passed on, all by default; a column of ``documents``
     that has the name of an output is replaced by it.  ``outputs`` are taken from OUTPUTS.
-    A null text is an empty one: no tokens.  An empty table gives no rows.
+    A null text is an empty one: no tokens.  Repeated rows are rows of their own; an empty table
+    gives no rows.  A very long text is a slice by itself; time and memory grow with its length.
     """
     unknown = set(outputs) - set(OUTPUTS)
     if unknown:

@@ -147,26 +147,12 @@ def find_licenses(
     sizes = [size_bounds(len(b), threshold) for b in own]
     least, most = min(low for low, _ in sizes), max(high for _, high in sizes)
     chosen = sorted({a for b in own for a in anchors(b, threshold)})
-    # A text without the longer word of any chosen bigram holds none of them.
-    rare = sorted({max(a.split(), key=len) for a in chosen})
-    low = F.lower("text")
-    hopeful = low.contains(rare[0])
-    for word in rare[1:]:
-        hopeful = hopeful | low.contains(word)
-
     lines = F.split("text", "\n")
     every = F.split("text", _BLANK_LINE)
     blocks = F.filter(every, lambda b: F.instr(b, "\n") > 0)
     whole = F.filter(F.array("text"), lambda t: F.size(every) > 1)
     sentences = F.flatten(F.transform(every, _sentence_units))
-    # A unit without any of those words is not taken apart.
-    has_rare = "|".join(re.escape(w) for w in rare)
-    units = F.transform(
-        F.concat(lines, blocks, whole, sentences),
-        lambda u: F.when(F.lower(u).rlike(has_rare), normalised_words(u)).otherwise(
-            F.array().cast("array<string>")
-        ),
-    )
+    units = F.transform(F.concat(lines, blocks, whole, sentences), normalised_words)
     # More words than bigrams may repeat, so only the lower bound holds for words.
     units = F.filter(
         F.transform(units, lambda w, n: F.struct(n.alias("unit"), w.alias("words"))),
@@ -180,6 +166,8 @@ def find_licenses(
         ),
     )
     wanted = F.array(*[F.lit(a) for a in chosen])
+    # The whole text, lines and all, holds every bigram that a unit of it holds; looked up by hash.
+    hopeful = F.arrays_overlap(word_bigrams(F.col("words")), wanted)
     units = F.filter(
         units,
         lambda u: F.size(u["bigrams"]).between(least, most)
@@ -191,7 +179,10 @@ def find_licenses(
             F.monotonically_increasing_id().alias("row_id"),
             F.col(id_col).cast("bigint").alias("doc_id"),
             F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-        ).select("row_id", "doc_id", F.when(hopeful, units).otherwise(none).alias("units")),
+        )
+        .withColumn("words", normalised_words(F.col("text")))
+        .withColumn("hopeful", hopeful)
+        .select("row_id", "doc_id", F.when(F.col("hopeful"), units).otherwise(none).alias("units")),
         "license-units",
     )
     table = template_table(spark, templates, threshold)

@@ -139,7 +139,8 @@ def quality_rules(
     lines' hashes; ``base_failed`` and ``kept`` are the verdicts.  A null text has no words and
     fails; documents without a host share the null host.  Lines of one text that are equal
     when normalised count once for the frequency and are all removed.  Rows that repeat an id
-    are rows of their own; other columns are ignored; an empty table gives no rows.
+    are rows of their own; other columns are ignored; an empty table gives no rows.  A very long
+    text takes time in proportion to its length.
     """
     rows = documents.select(
         F.col(id_col).cast("bigint").alias("doc_id"),

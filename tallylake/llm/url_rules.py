@@ -78,7 +78,8 @@ def judge_urls(
     then "block".  ``rule`` is the rule's host and path without a leading slash alone, such as
     ``net/es/``; where none fits it is null and the verdict is ``default``.  A null URL, or
     one without ``://``, has an empty host and path.  Repeated rules count once, rules with a
-    null part never fit, repeated rows stay rows of their own; other columns are ignored.
+    null part never fit, repeated rows stay rows of their own; other columns are ignored.  A very
+    long URL gives no more expressions than a short one: as many as rules have shapes.
     """
     rules = (
         rules.select(

@@ -270,7 +270,8 @@ def shared_spans(
     ``span_words`` words, or all their words if they have fewer, in the document.  Null and
     empty texts have no words and share nothing; items without words match nothing; an item
     without id marks words but is not listed.  Rows that repeat an id are rows of their own;
-    other columns are ignored; with an empty table there is nothing to share.
+    other columns are ignored; with an empty table there is nothing to share.  A very long text
+    takes time in proportion to its length, and gives one line for each of its hits.
     """
     own = item_spans(items, item_id_col, item_text_col, span_words, gram_words)
     spans = sorted(r.span for r in own.select("span").distinct().collect())

@@ -77,3 +77,15 @@ def test_empty_table_and_unknown_output(spark):
     assert bpe.tokenize(docs, PATH, P.PATTERN).count() == 0
     with pytest.raises(ValueError):
         bpe.tokenize(docs, PATH, P.PATTERN, outputs=("nothing",))
+
+
+def test_a_word_by_itself(encoding):
+    """The way of words in which a lower rank arises late: the library's ids, in n log n steps."""
+    vocabulary = bpe.Vocabulary(open(PATH, "rb").read())
+    whole = tiktoken.Encoding(
+        "whole", pat_str=r"(?s).+", mergeable_ranks=vocabulary.ranks, special_tokens={}
+    )
+    rng = random.Random(2)
+    words = ["".join(rng.choice("aeinorsthé 0") for _ in range(rng.randint(1, 60))) for _ in range(500)]
+    for word in [*words, "ab" * 30_000, "a" * 30_000]:
+        assert vocabulary.encode_word(word.encode()) == whole.encode_ordinary(word)
