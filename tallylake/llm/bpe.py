@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 
 from tallylake.llm.common import text_slices
 
-SLICE_BYTES = 8 << 20
-REMEMBERED = 600_000
+# What a worker holds: it lives on between tasks, beside the executor's own memory.
+SLICE_BYTES = 4 << 20
+REMEMBERED = 250_000
 NO_RANK = np.int32(2**31 - 1)
 
 OUTPUTS = {

@@ -156,7 +156,7 @@ _PERSONAL = {
 
 def test_personal_data(spark):
     docs = spark.createDataFrame(
-        [(n, a + _filled(b, 300_000)) for n, (a, b) in enumerate(_PERSONAL.values())]
+        [(n, a + _filled(b, 150_000)) for n, (a, b) in enumerate(_PERSONAL.values())]
         + [(100, "write to jo.doe@mail.example.org.")],
         "doc_id long, text string",
     )
