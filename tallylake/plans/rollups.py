@@ -280,8 +280,12 @@ def compact_site_daily(spark: SparkSession, root: str) -> int | None:
 
 
 def _compact(spark: SparkSession, table: Table, keys: tuple[str, ...]) -> int | None:
-    """Fold the runs into one; months without new buckets stay as they are."""
+    """Fold the runs into one, and their late rows; months without new buckets stay as they are."""
     floors = _floors(spark, table)
-    return tables.compact(
+    done = tables.compact(
         spark, table, lambda rows: _current(table, keys, rows, floors).sortWithinPartitions(*keys)
     )
+    # What a run that has not committed yet holds late is left alone.
+    last = tables.last_seq(spark, table)
+    tables.compact(spark, tables.rollup_late(table), lambda rows: add_up(rows, keys), through=last)
+    return done

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tallylake.functions.timeparts import as_date, day_range
 from tallylake.sources import tables
-from tallylake.sources.paths import glob_paths, literal_path
+from tallylake.sources.paths import delete_folder, glob_paths, literal_path
 from tallylake.sources.tables import Table
 
 #: Columns whose least and largest value in a file are kept.
@@ -68,6 +68,9 @@ def refresh_spans(spark: SparkSession, root: str) -> int:
     # Few rows, one for each file.
     rows = reduce(DataFrame.unionByName, parts)
     rows.hint("rebalance").write.parquet(f"{table.path}/spans/number={number}")
+    # A reader that has just looked up the one before may still read it.
+    for _, folder in _snapshots(spark, table)[:-2]:
+        delete_folder(spark, folder)
     return _known(spark, table).count()
 
 

@@ -32,6 +32,8 @@ MONTH = T.StructField("yyyymm", T.IntegerType())
 KEPT = T.StructType([MONTH, T.StructField("folder", T.StringType())])
 #: Bytes of a range of the layout, before compression; more rows make more ranges.
 RANGE_BYTES = 1 << 28
+# Up to this size a load is dealt out by month, without a sample of its keys.
+SMALL_BYTES = 1 << 24
 MOST_RANGES = 100_000
 
 
@@ -99,7 +101,7 @@ def rollup_audit(rollup: Table) -> Table:
 
 def rollup_late(rollup: Table) -> Table:
     """Rows that came too late for a run of the rollup, summed up by its keys."""
-    return Table(f"{rollup.path}_late", rollup.columns, "run_id")
+    return Table(f"{rollup.path}_late", rollup.columns, "run_id", month_of=rollup.month_of)
 
 
 def user_sketches(root: str) -> Table:
@@ -162,24 +164,39 @@ def _kept_path(table: Table, seq: int) -> str:
     return f"{table.path}/kept/{table.seq}={seq}"
 
 
-def _kept(spark: SparkSession, table: Table, base: Commit) -> dict[int, str]:
-    """The months a compaction left in earlier bases, and their folders; at most one a month."""
+def _kept(spark: SparkSession, table: Table, base: Commit) -> dict[int | None, str]:
+    """The months a compaction left in earlier bases, and their folders below ``base``."""
     path = literal_path(_kept_path(table, base.seq))
     if not glob_paths(spark, f"{path}/_SUCCESS"):
         return {}
     return {r.yyyymm: r.folder for r in spark.read.schema(KEPT).parquet(path).collect()}
 
 
-def base_months(spark: SparkSession, table: Table, base: list[Commit]) -> dict[int, str]:
+def base_months(spark: SparkSession, table: Table, base: list[Commit]) -> dict[int | None, str]:
     """The live months of the newest base and the folder of each."""
     if not base:
         return {}
     written = glob_paths(spark, f"{literal_path(base[0].path)}/{MONTH.name}=*")
-    return _kept(spark, table, base[0]) | {int(f.rsplit("=", 1)[1]): f for f in written}
+    found = _kept(spark, table, base[0]) | {_folder_month(f): _below_base(f) for f in written}
+    return {month: f"{table.path}/base/{folder}" for month, folder in found.items()}
+
+
+def _folder_month(folder: str) -> int | None:
+    """Rows without a time are in a folder of their own, whose name is no number."""
+    number = folder.rsplit("=", 1)[1]
+    return int(number) if number.isdigit() else None
+
+
+def _below_base(folder: str) -> str:
+    """What a list of kept months holds: a table may be moved as a whole."""
+    return folder.rpartition("/base/")[2]
 
 
 def _base_folders(spark: SparkSession, table: Table, base: list[Commit]) -> list[str]:
-    return [base[0].path, *_kept(spark, table, base[0]).values()] if base else []
+    if not base:
+        return []
+    kept = _kept(spark, table, base[0]).values()
+    return [base[0].path, *[f"{table.path}/base/{folder}" for folder in kept]]
 
 
 def _no_rows(spark: SparkSession, table: Table) -> DataFrame:
@@ -265,6 +282,8 @@ def write_commit(
 
 
 def _month(table: Table) -> Column:
+    if MONTH in table.partitions:
+        return F.col(MONTH.name)
     return month_number(F.col(table.month_of)).cast("int")
 
 
@@ -275,7 +294,8 @@ def with_month_layout(df: DataFrame) -> DataFrame:
     span of days, which its statistics show to every report that filters by day; a month
     or a day holding a third of all rows is cut into many files, down to the place of a
     row in its input; and small months share a task.  The bounds come from a sample of
-    the key columns.
+    the key columns, for which the input is read twice; rows of small files are spared that,
+    and go by month.
     """
     ordered = df.withColumn(MONTH.name, month_number(F.col("transaction_time")).cast("int"))
     keys = [
@@ -284,7 +304,9 @@ def with_month_layout(df: DataFrame) -> DataFrame:
         *[F.col(c) for c in ("site_id", "username", "transaction_time", "transaction_id")],
         *[F.col(c) for c in ("source_file", "source_pos") if c in df.columns],
     ]
-    return ordered.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    small = 0 < _input_bytes(df) <= SMALL_BYTES
+    dealt = ordered.repartition(MONTH.name) if small else ordered.repartitionByRange(*keys)
+    return dealt.sortWithinPartitions(*keys)
 
 
 def write_transactions(df: DataFrame, root: str, batch_id: int) -> None:
@@ -335,6 +357,7 @@ def compact(
     table: Table,
     transform: Callable[[DataFrame], DataFrame],
     touched: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    through: int | None = None,
 ) -> int | None:
     """Fold the live deltas into the base; returns the last commit it covers.
 
@@ -343,11 +366,12 @@ def compact(
     folders of all other months stay as they are, and the new base refers to them.
     ``transform`` gets the rows of the base in those months and all rows of the deltas.
 
-    Only committed loads are covered, and a replay of one of them stays hidden behind
-    the base, so it cannot bring rows back.  With nothing new to fold in, nothing is
-    written.
+    Only committed loads are covered, up to ``through`` if that is given, and a replay of one
+    of them stays hidden behind the base, so it cannot bring rows back.  With nothing new to
+    fold in, nothing is written.
     """
     base, deltas = live_commits(spark, table)
+    deltas = [c for c in deltas if through is None or c.seq <= through]
     if not deltas:
         return base[0].seq if base else None
     months, last = base_months(spark, table, base), deltas[-1].seq
@@ -360,7 +384,7 @@ def compact(
         if touched:
             found = touched(_union(spark, table, list(months.values()), []), new)
         changed = {r[0] for r in found.distinct().collect()}
-    kept = [(m, f) for m, f in sorted(months.items()) if m not in changed]
+    kept = [(m, _below_base(f)) for m, f in months.items() if m not in changed]
     old = [f for m, f in months.items() if m in changed] if months else [c.path for c in base]
     rows = _union(spark, table, old, folders)
     tag = min((c.tag for c in base + deltas), default=None) if table.tag else None
@@ -406,15 +430,15 @@ def remove_covered(spark: SparkSession, table: Table) -> int:
         return 0
     through = base[0].seq
     counted = min([through, *_counted_through(spark, table)])
-    kept = [f"{folder}/" for folder in _kept(spark, table, base[0]).values()]
+    kept = set(_kept(spark, table, base[0]).values())
     old = [f for seq, f in _folders(spark, table, "delta").items() if seq <= counted]
     for seq, folder in _folders(spark, table, "base").items():
         if seq >= through:
             continue
-        if any(k.startswith(f"{folder}/") for k in kept):
+        if any(k.startswith(f"{table.seq}={seq}/") for k in kept):
             tag = f"/{table.tag}=*" if table.tag else ""
             months = glob_paths(spark, f"{literal_path(folder)}{tag}/{MONTH.name}=*")
-            old += [m for m in months if f"{m}/" not in kept]
+            old += [m for m in months if _below_base(m) not in kept]
         else:
             old.append(folder)
     for folder in old:

@@ -20,6 +20,7 @@ from tallylake.session import scratch_dir
 from tallylake.sources import tables
 from tallylake.sources.json_documents import (
     LOADED,
+    STAMPS,
     file_pattern,
     named_pieces,
     no_pieces,
@@ -137,27 +138,26 @@ def _load_left(
     )
     # A listed file without a line in the audit gave the stream nothing: it was empty, hidden,
     # or one piece too long to be held.
-    left = staging.put(
-        "left",
-        seen.join(known, "file", "left").where(
-            F.col("status").isNull() | ((F.col("status") != LOADED) & ~same)
-        ),
+    left = seen.join(known, "file", "left").where(
+        F.col("status").isNull() | ((F.col("status") != LOADED) & ~same)
     )
-    if left.isEmpty():
+    # Fewer than were listed, and these are on the driver.
+    left = sorted(tuple(r) for r in left.select(*seen.columns).collect())
+    if not left:
         return []
-    unread = F.when(F.col("hidden"), HIDDEN_NAME).when(F.col("file_size") == 0, EMPTY_FILE)
-    noted = left.withColumn("status", unread).where("status IS NOT NULL")
-    again = left.where(unread.isNull())
-    sized = again.select("file", "file_size").orderBy("file").collect()
-    groups = _by_bytes([(r.file, r.file_size) for r in sized], max_bytes)
+    noted = spark.createDataFrame(
+        [(*row, HIDDEN_NAME if hidden else EMPTY_FILE) for *row, hidden in left if hidden or not row[1]],
+        "file string, file_size bigint, modified_ms bigint, status string",
+    )
+    again = {row[0]: tuple(row) for *row, hidden in left if row[1] and not hidden}
+    groups = _by_bytes([(name, size) for name, size, _ in again.values()], max_bytes)
     done = []
     for group in groups or [[]]:
         seq = tables.last_seq(spark, tables.transactions(root)) + 1
         if seq and seq % COMMITS_PER_BATCH == 0:
             raise ValueError(f"too many loads of mended files between two batches of {root}")
         pieces = named_pieces(spark, folder, group) if group else None
-        names = spark.createDataFrame([(name,) for name in group], "file string")
-        own = again.join(names, "file", "left_semi")
+        own = spark.createDataFrame([again[name] for name in group], STAMPS)
         # Files that cannot be read are noted with the first commit.
         first = None if done else noted
         _load_batch(pieces, seq, folder, root, staging, stamp, null_as_text, own, first)

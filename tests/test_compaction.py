@@ -61,6 +61,10 @@ def test_months_without_new_rows_keep_their_files(spark, lake):
     assert stored(spark, lake) == want
     left = files(lake)
     assert months(left) == months(before) and len(left) < len(after)
+    # The table may be moved as a whole.
+    Path(lake).rename(f"{lake}-moved")
+    assert stored(spark, f"{lake}-moved") == want
+    Path(f"{lake}-moved").rename(lake)
     # A third compaction carries the kept months on.
     tables.write_transactions(stamped(some, 3), lake, 2)
     compact_transactions(spark, lake, dedup.BY_STORED_KEY, dedup.STORED_ORDER)
@@ -110,6 +114,18 @@ def test_a_month_that_becomes_empty_does_not_come_back(spark, lake):
     assert rows.count() == df.select("transaction_id").distinct().count()
 
 
+def test_rows_without_a_time_stay(spark, lake):
+    df = stamped(fixtures.lineitem_transactions(spark, SMALL), 1).limit(40).cache()
+    none = df.withColumn("transaction_time", F.lit(None).cast("timestamp"))
+    table = tables.transactions(lake)
+    for batch, rows in enumerate((none.limit(5), df, none.limit(3))):
+        tables.write_transactions(rows, lake, batch)
+        tables.compact(spark, table, tables.with_month_layout)
+        tables.remove_covered(spark, table)
+    found = tables.read_table(spark, table)
+    assert found.count() == 48 and found.where("transaction_time IS NULL").count() == 8
+
+
 def test_a_stopped_compaction_changes_nothing(spark, lake, monkeypatch):
     df = stamped(fixtures.lineitem_transactions(spark, SMALL), 1)
     tables.write_transactions(df, lake, 0)

@@ -15,8 +15,9 @@ DAYS = ("1997-03-10", "1997-03-12")
 
 
 @pytest.fixture
-def many_files(spark):
+def many_files(spark, monkeypatch):
     """Files of some kilobytes, as a large load has large ones."""
+    monkeypatch.setattr(tables, "SMALL_BYTES", 0)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     yield
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

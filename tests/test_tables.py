@@ -74,12 +74,23 @@ def test_compaction(spark, lake):
 def write_small_files(spark, df, lake) -> None:
     """Write with files of some kilobytes, as a large load does with large ones."""
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    small, tables.SMALL_BYTES = tables.SMALL_BYTES, 0
     try:
         tables.write_transactions(df.repartition(8), lake, 0)
     finally:
+        tables.SMALL_BYTES = small
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_a_small_load_is_read_once(spark, lake):
+    """Dealt out by month, without a sample: one shuffle, one file a month."""
+    df = fixtures.lineitem_transactions(spark, SMALL)
+    assert "hashpartitioning(yyyymm" in plan(tables.with_month_layout(df))
+    tables.write_transactions(df, lake, 0)
+    files = list(Path(lake).glob("transactions/delta/batch_id=0/*/*.parquet"))
+    assert len(files) == len({f.parent for f in files}) > 10
+
+
 def test_files_of_a_cut_month_hold_few_days(spark, lake):
     """Spans of days hardly overlap, and a day of a third of all rows is several files."""
     number = F.col("transaction_id").cast("bigint")
