@@ -430,8 +430,10 @@ def _compact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads that repeat half of each other, folded into one row per transaction."""
     root = scratch_dir(spark, "lake")
     df = fixtures.lineitem_transactions(spark, sf_dir)
-    tables.write_transactions(df, root, 0)
-    tables.write_transactions(df.where("currency_code <> 'N'"), root, 1)
+    like = fixtures.lineitem_places(spark, sf_dir)
+    shipped = "currency_code <> 'N'"
+    tables.write_transactions(df, root, 0, like)
+    tables.write_transactions(df.where(shipped), root, 1, like.where(shipped))
     compact_transactions(spark, root, dedup.BY_TRANSACTION_ID, SHIPMENT_ORDER)
     return _boundary(tables.read_table(spark, tables.transactions(root)).select(*CELLS))
 

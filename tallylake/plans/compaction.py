@@ -26,7 +26,8 @@ def compact_transactions(
     """
 
     def fold(rows: DataFrame) -> DataFrame:
-        return tables.with_month_layout(replace_latest(rows, keys, order_by))
+        # Bounds from the stored rows: a sample of the latest would find these twice.
+        return tables.with_month_layout(replace_latest(rows, keys, order_by), rows)
 
     def months(old: DataFrame, new: DataFrame) -> DataFrame:
         return new.select("yyyymm").union(_months_holding(old, new, keys))

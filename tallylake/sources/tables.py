@@ -14,12 +14,16 @@ so no folder is ever rewritten while a plan reads it.  One writer per table at a
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import accumulate
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +39,14 @@ RANGE_BYTES = 1 << 28
 # Up to this size a load is dealt out by month, without a sample of its keys.
 SMALL_BYTES = 1 << 24
 MOST_RANGES = 100_000
+# Months one task may write side by side; the rows of further ones are sorted by Spark.
+OPEN_FILES, MOST_OPEN = "spark.sql.maxConcurrentOutputFileWriters", 100
+# Sites that the first key of the layout tells apart; the others follow by the second.
+MOST_SITES = (1 << 32) - 1
+# Bytes for each range, of files, whose rows bounds are taken from.
+SEEN_BYTES = 1 << 18
+# Before every day: where rows without a time go.
+FIRST = -(1 << 62)
 
 
 @dataclass(frozen=True)
@@ -272,13 +284,31 @@ def write_commit(
     partitions = [p.name for p in table.partitions]
     if part == "base" and not partitions:
         df, partitions = df.withColumn(MONTH.name, _month(table)), [MONTH.name]
-    (
-        df.select(*table.columns.names, *partitions)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(*partitions)
-        .parquet(folder)
-    )
+    rows = df.select(*table.columns.names, *partitions)
+    # Rows laid out by month come month after month, and Spark need not sort them by it again.
+    with _setting(df.sparkSession, OPEN_FILES, str(MOST_OPEN) if table.partitions else None):
+        (
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            # An id hardly repeats in a file: a dictionary of ids is made in vain.
+            .option("parquet.enable.dictionary#transaction_id", "false")
+            .partitionBy(*partitions)
+            .parquet(folder)
+        )
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str | None) -> Iterator[None]:
+    """A setting of the session for a while; without a value it stays as it is."""
+    if value is None:
+        yield
+        return
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def _month(table: Table) -> Column:
@@ -287,7 +317,7 @@ def _month(table: Table) -> Column:
     return month_number(F.col(table.month_of)).cast("int")
 
 
-def with_month_layout(df: DataFrame) -> DataFrame:
+def with_month_layout(df: DataFrame, like: DataFrame | None = None) -> DataFrame:
     """Spread and sort rows for the month-partitioned transactions table.
 
     Ranges of (month, day, site, user, ...) go to one task each.  So a file holds a narrow
@@ -296,21 +326,73 @@ def with_month_layout(df: DataFrame) -> DataFrame:
     row in its input; and small months share a task.  The bounds come from a sample of
     the key columns, for which the input is read twice; rows of small files are spared that,
     and go by month.
+
+    Where the rows are dear to make, ``like`` names rows of about the same days and sites
+    that are read from files: the bounds of days and sites then come from these, the rows are
+    made once, and those of a site and day too many for one range are dealt out by hash.
     """
     ordered = df.withColumn(MONTH.name, month_number(F.col("transaction_time")).cast("int"))
-    keys = [
-        F.col("yyyymm"),
-        day(F.col("transaction_time")),
-        *[F.col(c) for c in ("site_id", "username", "transaction_time", "transaction_id")],
-        *[F.col(c) for c in ("source_file", "source_pos") if c in df.columns],
-    ]
-    small = 0 < _input_bytes(df) <= SMALL_BYTES
-    dealt = ordered.repartition(MONTH.name) if small else ordered.repartitionByRange(*keys)
+    last = [F.col(c) for c in ("source_file", "source_pos") if c in df.columns]
+    users = [F.col(c) for c in ("username", "transaction_time", "transaction_id")] + last
+    keys = [_day_and_site(), F.col("site_id"), *users]
+    if 0 < _input_bytes(df) <= SMALL_BYTES:
+        dealt = ordered.repartition(MONTH.name)
+    elif like is None:
+        dealt = ordered.repartitionByRange(*keys)
+    else:
+        dealt = _dealt_like(ordered, like, users)
     return dealt.sortWithinPartitions(*keys)
 
 
-def write_transactions(df: DataFrame, root: str, batch_id: int) -> None:
-    """Add one batch to the transactions table."""
+def _dealt_like(df: DataFrame, like: DataFrame, users: list[Column]) -> DataFrame:
+    """``df`` in ranges of day and site that hold about as many rows of ``like`` each."""
+    ranges = _ranges(df)
+    shares = [i / ranges for i in range(1, ranges)] or [0.5]
+    part = min(1.0, ranges * SEEN_BYTES / (_input_bytes(like) or 1))
+    seen = like.sample(part, seed=0) if part < 1 else like
+    found = seen.agg(F.percentile_approx(_day_and_site(), shares, 20 * ranges)).first()[0]
+    # A bound that is found several times begins as many ranges, and its rows are dealt out.
+    times = Counter(found or [0])
+    bounds = sorted(times)
+    parts = [1, *[times[b] for b in bounds]]
+    firsts = [0, *accumulate(parts[:-1])]
+    numbered = Bucketizer(
+        splits=[-math.inf, *map(float, bounds), math.inf], inputCol="_at", outputCol="_bucket"
+    ).transform(df.withColumn("_at", F.coalesce(_day_and_site(), F.lit(FIRST)).cast("double")))
+    bucket = F.col("_bucket").cast("int")
+    dealt = F.pmod(F.xxhash64(*users), F.get(F.lit(parts), bucket)).cast("int")
+    return (
+        numbered.withColumn("_range", F.get(F.lit(firsts), bucket) + dealt)
+        .drop("_at", "_bucket")
+        .repartitionById(sum(parts), "_range")
+        .drop("_range")
+    )
+
+
+def _ranges(df: DataFrame) -> int:
+    """How many ranges AQE would leave of the session's shuffle partitions, or more by size."""
+    spark, size = df.sparkSession, _input_bytes(df)
+    wanted = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    wanted = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(wanted)
+    useful = max(size // wanted + 1, spark.sparkContext.defaultParallelism)
+    useful = min(useful, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return min(MOST_RANGES, max(useful, size // RANGE_BYTES + 1))
+
+
+def _day_and_site() -> Column:
+    """One number that orders rows by day, and within a day by site.
+
+    A sort compares the first key in place and looks up a row only where that is equal: by
+    month it would do so for nearly every pair of rows of a range.
+    """
+    site = F.least(F.greatest(F.coalesce("site_id", F.lit(0)), F.lit(0)), F.lit(MOST_SITES))
+    return F.unix_date(day(F.col("transaction_time"))) * F.lit(MOST_SITES + 1) + site
+
+
+def write_transactions(
+    df: DataFrame, root: str, batch_id: int, like: DataFrame | None = None
+) -> None:
+    """Add one batch to the transactions table; for ``like`` see ``with_month_layout``."""
     present = set(df.columns)
     filled = df.select(
         *[
@@ -319,7 +401,7 @@ def write_transactions(df: DataFrame, root: str, batch_id: int) -> None:
         ]
     )
     with enough_ranges(filled):
-        write_commit(with_month_layout(filled), transactions(root), batch_id)
+        write_commit(with_month_layout(filled, like), transactions(root), batch_id)
 
 
 @contextmanager
@@ -331,15 +413,9 @@ def enough_ranges(df: DataFrame) -> Iterator[None]:
     """
     spark, name = df.sparkSession, "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     wanted = min(MOST_RANGES, _input_bytes(df) // RANGE_BYTES + 1)
-    before = spark.conf.get(name, None)
-    if wanted <= int(before or spark.conf.get("spark.sql.shuffle.partitions")):
+    least = int(spark.conf.get(name, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    with _setting(spark, name, str(wanted) if wanted > least else None):
         yield
-        return
-    spark.conf.set(name, str(wanted))
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
 def _input_bytes(df: DataFrame) -> int:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallylake import fixtures
 from tallylake.operators import dedup
 from tallylake.operators.bloom import maybe_among
-from tallylake.plans import rollups
+from tallylake.plans import compaction, rollups
 from tallylake.plans.compaction import compact_transactions
 from tallylake.schema import CELLS
 from tallylake.sources import tables
@@ -193,3 +193,90 @@ def test_a_large_load_gets_more_ranges(spark, lake, monkeypatch):
     with tables.enough_ranges(rows):
         assert int(spark.conf.get(name)) > int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert spark.conf.get(name, None) is None
+
+
+def counted(df, counter):
+    """``df``, adding up each time one of its rows is made."""
+
+    def count(batches):
+        for batch in batches:
+            counter.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema)
+
+
+def many(spark, times, sites=7):
+    """2,000 rows of the given times (SQL of id)."""
+    return spark.range(2000).selectExpr(
+        "cast(id as decimal(20,0)) transaction_id",
+        "cast(id as decimal(20,0)) bill_id",
+        f"id % {sites} site_id",
+        "concat('u', id % 50) username",
+        "id item_id",
+        "'A' currency_code",
+        "cast(id as decimal(18,2)) transfer_amount",
+        f"cast({times} as timestamp) transaction_time",
+        "cast(id % 2 as bigint) _version",
+    )
+
+
+DAYS = "date_add(date'2024-01-01', cast(id * 7919 % 90 as int))"
+
+
+def test_the_latest_rows_are_made_once(spark, lake, monkeypatch):
+    """The bounds of files come from the stored rows, so none is de-duplicated for a sample."""
+    monkeypatch.setattr(tables, "SMALL_BYTES", 0)
+    df = many(spark, DAYS)
+    for batch in (0, 1):
+        tables.write_transactions(df, lake, batch)
+    made = spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(
+        compaction, "replace_latest", lambda *args: counted(dedup.replace_latest(*args), made)
+    )
+    compact_transactions(spark, lake, dedup.BY_TRANSACTION_ID, ORDER)
+    assert made.value == 2000
+    assert stored(spark, lake) == spark_bag(df.select(*CELLS, "_version"))
+
+
+def test_a_load_with_known_places_is_made_once(spark, lake, monkeypatch):
+    monkeypatch.setattr(tables, "SMALL_BYTES", 0)
+    df, made = many(spark, DAYS), spark.sparkContext.accumulator(0)
+    tables.write_transactions(counted(df, made), lake, 0, like=df)
+    assert made.value == 2000
+    assert stored(spark, lake) == spark_bag(df.select(*CELLS, "_version"))
+    # Ranges follow one another: only the day at a bound lies in two of them.
+    rows = tables.read_table(spark, tables.transactions(lake))
+    task = F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1)
+    spans = rows.groupBy(task.alias("task")).agg(
+        F.min("transaction_time").alias("a"), F.max("transaction_time").alias("b")
+    )
+    spans = spans.orderBy("task").collect()
+    assert len(spans) > 4 and all(x.b <= y.a for x, y in zip(spans, spans[1:]))
+
+
+@pytest.mark.parametrize("times", ["date'2024-01-05'", "null", f"if(id % 3 = 0, null, {DAYS})"])
+def test_days_and_sites_of_any_weight(spark, lake, monkeypatch, times):
+    """All rows on one day of a site are several files; rows without a time stay."""
+    monkeypatch.setattr(tables, "SMALL_BYTES", 0)
+    df = many(spark, times, sites=1)
+    tables.write_transactions(df, lake, 0, like=df)
+    compact_transactions(spark, lake, dedup.BY_TRANSACTION_ID, ORDER)
+    assert stored(spark, lake) == spark_bag(df.select(*CELLS, "_version"))
+    if times.startswith("date"):
+        assert len(list(Path(lake).glob("transactions/base/*/yyyymm=202401/*.parquet"))) > 4
+
+
+def test_the_first_key_of_the_layout_keeps_its_order(spark):
+    """By month, day and site, nulls first, also for sites that one number cannot hold."""
+    sites = "element_at(array(null, -5L, -1L, 0L, 3L, 4294967295L, 4294967296L, 1L << 60), cast(id % 8 + 1 as int))"
+    days = "if(id % 11 = 0, null, timestamp'1969-12-25 05:00:00' + make_dt_interval(cast(id % 13 as int)))"
+    df = many(spark, days).withColumn("site_id", F.expr(sites.replace("id %", "item_id %")))
+    laid = tables.with_month_layout(df.coalesce(1))
+    text = laid._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort [yyyymm" not in text
+    names = ["yyyymm", "day", "site_id", "username", "transaction_time", "transaction_id"]
+    rows = laid.withColumn("day", F.to_date("transaction_time"))
+    for part in rows.select(*names).rdd.glom().collect():
+        got = [tuple((v is not None, v) for v in row) for row in part]
+        assert got == sorted(got, key=lambda r: [(there, v if there else 0) for there, v in r])
