@@ -17,18 +17,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
+#: Pages and row groups that a reader and a writer hold little of, and the reader's buffers.
+_SMALL_WRITES = {"parquet.block.size": str(4 << 20), "parquet.page.size": str(128 << 10)}
+_SMALL_READS = {"parquet.read.allocation.size": str(256 << 10)}
+
+
+def staged(
+    df: DataFrame, label: str, codec: str | None = None, small_pages: bool = False
+) -> DataFrame:
     """``df`` written to the shared scratch folder and read again.
 
     This cuts the lineage: a lost executor, or a second reader, reads the files.  They stay as
     long as a plan may read them, which is to the end of the application.  ``codec``
-    compresses them, by default the session's.
+    compresses them, by default the session's.  ``small_pages`` is for tables of whole texts, whose
+    usual pages and buffers are objects so large that the heap grows with them.
     """
     path = scratch_dir(df.sparkSession, label)
     writer = df.write if codec is None else df.write.option("compression", codec)
+    reader = df.sparkSession.read.schema(df.schema)
+    if small_pages:
+        writer, reader = writer.options(**_SMALL_WRITES), reader.options(**_SMALL_READS)
     writer.parquet(path)
     delete_at_exit(df.sparkSession, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return reader.parquet(path)
 
 
 def row_numbers() -> Iterator[int]:

@@ -13,7 +13,7 @@ Built-in functions only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallylake.llm.common import staged
@@ -113,6 +113,8 @@ _CALLING_CODE = r"\A\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-
 _WITH_ONE = r"\A\+?1(?:[^0-9]*[0-9]){10}\z"
 #: The attempt from which draws come from longer ranges.
 LONGER_FROM = 9
+#: Partitions a core of the tables of mentions and entities and of the changed texts.
+PARTITIONS_A_CORE = 4
 
 
 def canonical(kind: Column, entity: Column) -> Column:
@@ -285,6 +287,17 @@ def _surrogate(seed: Column, key: str) -> Column:
     )
 
 
+def _few(df: DataFrame) -> DataFrame:
+    """``df`` in a few partitions a core, however many its shuffles have.
+
+    Rows of mentions are few: a file for each partition is thousands of tiny files, and on a local
+    file system without Hadoop's native library each starts processes that, until they run their
+    own program, count the executor's whole memory once more.  The partitions below keep their
+    size and are read one after the other.
+    """
+    return df.coalesce(PARTITIONS_A_CORE * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def assign_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """Rows (kind, entity, surrogate) for distinct (kind, entity); all surrogates distinct.
 
@@ -292,28 +305,30 @@ def assign_surrogates(entities: DataFrame, key: str) -> DataFrame:
     of several that draw the same the one with the smallest hash has it.  Who is left without
     draws again in the next round, from another hash.
     """
-    entities = staged(entities.withColumn("script", _script("entity")), "pii-entities")
+    entities = entities.withColumn("script", _script("entity"))
     open_ = entities.withColumn("attempt", F.lit(0))
     taken = None
     while True:
         seed = F.sha2(F.concat_ws("|", F.lit(key), "kind", "entity", F.col("attempt")), 256)
-        drawn = staged(
-            open_.withColumn("seed", seed)
-            .withColumn("surrogate", _surrogate(F.col("seed"), key))
-            .select("kind", "entity", "script", "attempt", "seed", "surrogate"),
-            "pii-drawn",
-        )
+        drawn = open_.withColumn("seed", seed).withColumn("surrogate", _surrogate(F.col("seed"), key))
         used = entities.select("kind", F.col("entity").alias("surrogate"))
         if taken is not None:
             used = used.unionByName(taken.select("kind", "surrogate"))
-        free = drawn.join(used, ["kind", "surrogate"], "left_anti")
-        won = (
-            free.groupBy("kind", "surrogate")
-            .agg(F.min_by("entity", F.struct("seed", "entity")).alias("entity"))
-            .select("kind", "entity", "surrogate")
+        # Both sides of this join are distinct; the draws of one surrogate are all void or none.
+        drawn = drawn.join(used.withColumn("void", F.lit(True)), ["kind", "surrogate"], "left")
+        first = F.row_number().over(
+            Window.partitionBy("kind", "surrogate").orderBy("seed", "entity")
+        )
+        drawn = drawn.withColumn("won", F.col("void").isNull() & (first == 1)).select(
+            "kind", "entity", "script", "attempt", "surrogate", "won"
         )
-        taken = staged(won if taken is None else taken.unionByName(won), "pii-taken")
-        open_ = drawn.join(taken, ["kind", "entity"], "left_anti").select(
+        drawn = staged(_few(drawn), "pii-drawn")
+        won = drawn.where("won").select("kind", "entity", "surrogate")
+        if taken is None:
+            # The first round's table holds every entity.
+            entities = drawn.select("kind", "entity")
+        taken = won if taken is None else taken.unionByName(won)
+        open_ = drawn.where(~F.col("won")).select(
             "kind", "entity", "script", (F.col("attempt") + 1).alias("attempt")
         )
         if open_.isEmpty():
@@ -467,16 +482,17 @@ def surrogates(
             ).otherwise(F.col("found")),
         ),
         "pii-rows",
+        small_pages=True,
     )
     hit = rows.where(F.size("found") > 0)
     # What no pattern of a kind fits is a name without its title.
     kind = F.coalesce(_kind(F.col("found")), F.lit("name"))
     seen = hit.select("row_id", F.posexplode("found").alias("at", "found")).withColumn("kind", kind)
-    seen = staged(seen, "pii-seen")
+    seen = staged(_few(seen), "pii-seen")
     others = seen.where("kind <> 'name'").withColumns(
         {"entity": canonical(F.col("kind"), F.col("found")), "family_only": F.lit(False)}
     )
-    mentions = staged(others.unionByName(_name_mentions(seen)), "pii-mentions")
+    mentions = staged(_few(others.unionByName(_name_mentions(seen))), "pii-mentions")
     assigned = assign_surrogates(mentions.select("kind", "entity").distinct(), key)
     replaced = (
         mentions.join(assigned, ["kind", "entity"])
@@ -534,4 +550,4 @@ def surrogates(
     same = rows.where(F.size("found") == 0).select(
         "doc_id", "text", F.lit(0).alias("n_entities"), none.alias("entities")
     )
-    return same.unionByName(changed)
+    return same.unionByName(_few(changed))

@@ -343,3 +343,48 @@ def test_surrogates_stay_distinct_when_draws_collide(spark, monkeypatch):
     docs = _docs(spark, [(i, f"{n} said", "s") for i, n in enumerate(names)], "found")
     found = [r.entities[0].surrogate for r in pii.surrogates(docs, "k").collect()]
     assert len(set(found)) == len(names) and all(s.startswith("Mr. Adam ") for s in found)
+
+
+def test_surrogates_write_few_files_from_many_partitions(spark, monkeypatch, tmp_path):
+    """The staged tables' and the result's files are a few a core, however many partitions shuffles have."""
+    from tallylake.llm import common
+
+    monkeypatch.setattr(common, "scratch_dir", lambda _, label: f"{tmp_path}/{label}-{len(list(tmp_path.iterdir()))}")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    most = 4 * spark.sparkContext.defaultParallelism
+    rows = [(i, f"write to a{i}@x{i % 7}.org or Mrs. Ann Q{chr(97 + i % 26)}o", "s") for i in range(600)]
+    docs = _docs(spark, rows, "files").coalesce(4)
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 5 * most)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        pii.surrogates(docs, "k").write.parquet(f"{tmp_path}/out")
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in tmp_path.iterdir()}
+    assert max(files.values()) <= most + 8 and sum(files.values()) <= 4 * most + 16, files
+    found = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert len(found) == 600 and all(r.n_entities == 2 for r in found)
+    assert len({r.entities[0].surrogate for r in found}) == 600
+    assert len({r.entities[1].surrogate for r in found}) == 26
+
+
+def test_texts_are_staged_in_small_row_groups_and_read_whole(spark, monkeypatch, tmp_path):
+    """Texts staged for the surrogates make small row groups and pages; all rows come back."""
+    from urllib.parse import urlparse
+
+    import pyarrow.parquet as pq
+
+    from tallylake.llm import common
+
+    monkeypatch.setattr(common, "scratch_dir", lambda _, label: f"{tmp_path}/{label}")
+    # Hexadecimal noise: 3,000 texts of 4 KB, and one of 6 MB, which is more than a row group.
+    noise = "array_join(transform(sequence(1, {n}), i -> sha2(concat(doc_id, '/', i), 256)), '')"
+    docs = spark.range(3000).selectExpr("id as doc_id").selectExpr("doc_id", noise.format(n=64) + " as text")
+    long = spark.range(1).selectExpr("3000L as doc_id").selectExpr("doc_id", noise.format(n=100_000) + " as text")
+    docs = docs.unionByName(long).coalesce(1)
+    assert pii.surrogates(docs, "k").count() == 3001
+    files = spark.read.parquet(f"{tmp_path}/pii-rows").inputFiles()
+    assert sum(pq.ParquetFile(urlparse(f).path).num_row_groups for f in files) >= 3
+    kept = spark.read.parquet(f"{tmp_path}/pii-rows").select("doc_id", "text")
+    assert kept.exceptAll(docs).count() == docs.exceptAll(kept).count() == 0
